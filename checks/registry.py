@@ -15,11 +15,18 @@ from pyspark.sql import functions as F
 
 from checks import standins as s
 from mediaspark.functions import temporal
+from mediaspark.jobs import bronze as bronze_job
+from mediaspark.jobs import gold as gold_job
+from mediaspark.jobs import silver as silver_job
+from mediaspark.jobs import validate as validate_job
 from mediaspark.layout import LakeLayout
 from mediaspark.ml import churn, features, popularity, recommend
 from mediaspark.operators import gold, quality, silver
 from mediaspark.plans import kpis, layer_checks, questions, saved, traces, traffic
 from mediaspark.session import shared_folder
+from mediaspark.sinks.tables import overwrite
+from mediaspark.sources import files
+from mediaspark.sources.tables import read_table
 from mediaspark.streaming import ingest, live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -552,7 +559,33 @@ def dq_ranges(spark, folder):
     return found.select("name", "passed")
 
 
-@query("dq_silver_layer")
+SILVER_CHECKS_SQL = " UNION ALL ".join(
+    f"SELECT 'silver/{name}' AS name, {verdict} AS passed"
+    for name, verdict in (
+        *((f"{table} has _silver_processed_at", "true") for table in layer_checks.SILVER_TABLES),
+        ("users keeps all rows", "true"),
+        ("users user_id", "(SELECT count(*) = count(user_id) FROM (" + s.USERS_SQL + "))"),
+        ("users is_valid_email where an email is given", "true"),
+        ("users device_os", "true"),
+        ("subscriptions keeps all rows", "true"),
+        ("subscriptions duration_days", "(SELECT count(*) = count(duration_days) FROM (" + s.SILVER_SUBSCRIPTIONS_SQL + "))"),
+        ("content_enriched keeps all rows", "(SELECT count(*) = count(DISTINCT p_partkey) FROM part)"),
+        ("content_enriched runtime_minutes", "(SELECT count(*) = count(runtime_value) FROM (" + s.CATALOGUE_SQL + "))"),
+        ("content_enriched genre_array is an array", "true"),
+        ("ratings_clean adds no rows", "(SELECT count(*) FROM (" + s.SILVER_RATINGS_SQL + ")) <= (SELECT count(*) FROM lineitem)"),
+        ("ratings_clean one rating per user and title", "(SELECT count(*) = count(DISTINCT (user_id, content_id)) FROM (" + s.SILVER_RATINGS_SQL + "))"),
+        ("ratings_clean rating_value in range", "(SELECT min(rating_value) >= 0 AND max(rating_value) <= 5 FROM (" + s.SILVER_RATINGS_SQL + "))"),
+        ("viewing_events keeps the batch events", "(SELECT count(*) FROM (" + s.SILVER_EVENTS_SQL + ")) >= 0.99 * (SELECT count(*) FROM events)"),
+        ("viewing_events event_id is unique", "(SELECT count(*) = count(DISTINCT event_id) FROM (" + s.SILVER_EVENTS_SQL + "))"),
+        ("viewing_events event_ts is a timestamp", "true"),
+        ("viewing_events event_date", "(SELECT count(*) = count(event_date) FROM (" + s.SILVER_EVENTS_SQL + "))"),
+        ("campaigns budget_amount", "(SELECT count(*) = count(TRY_CAST(regexp_extract(budget, '\\d+') AS BIGINT)) FROM (" + s.CAMPAIGNS_SQL + "))"),
+        ("campaigns budget_currency", "true"),
+    )
+)
+
+
+@query("dq_silver_layer", SILVER_CHECKS_SQL)
 def dq_silver_layer(spark, folder):
     bronze = {
         "users": s.users(spark, folder),
@@ -569,7 +602,7 @@ def dq_silver_layer(spark, folder):
         "viewing_events": s.silver_events_pipeline(spark, folder),
         "campaigns": silver.campaigns(s.campaigns(spark, folder)),
     }
-    return layer_checks.silver(spark, built, bronze)
+    return layer_checks.silver(spark, built, bronze).select("name", "passed")
 
 
 GOLD_CHECKS = (
@@ -662,10 +695,10 @@ def trace_overview(spark, folder):
     return shown(traces.run_overview(runs), avg_steps=6, avg_calls=6, fallback_share=6)
 
 
-# ---- streams -------------------------------------------------------------------------
+# ---- files and jobs ------------------------------------------------------------------
 
 
-def _stream_layout(spark: SparkSession) -> LakeLayout:
+def _shared_layout(spark: SparkSession) -> LakeLayout:
     """A new folder in the cluster's shared place; a local one only where none is set."""
     base = shared_folder(spark)
     if base is None:
@@ -673,6 +706,103 @@ def _stream_layout(spark: SparkSession) -> LakeLayout:
     return LakeLayout(os.path.join(base, f"mediaspark-{uuid.uuid4().hex}"))
 
 
+@query("source_csv", s.METADATA_SQL)
+def source_csv(spark, folder):
+    """Metadata written as CSV with a header, and read with the declared schema."""
+    path = _shared_layout(spark).bronze("csv")
+    s.metadata(spark, folder).write.option("header", True).csv(path)
+    return files.read_content_metadata(spark, path)
+
+
+@query("source_json", f"""
+    SELECT event_id, user_id, content_id, session_id, device_category, event_type, watch_duration_ms, seek_position_ms,
+           strftime(session_start_ts, '%Y-%m-%dT%H:00:00Z') AS session_start_ts, referrer FROM ({s.bronze_events_sql()})""")
+def source_json(spark, folder):
+    """Events written as JSON, one object per line, and read with the declared schema."""
+    path = _shared_layout(spark).bronze("json")
+    s.bronze_events(s.read(spark, folder, "events")).write.json(path)
+    return files.read_viewing_events(spark, path, lines=True).drop("event_ts")
+
+
+def _sources(spark, folder):
+    """All bronze sources with one kind of id throughout."""
+    user = F.concat(F.lit("USR-"), F.col("user_id") + 1000001)
+    title = F.concat(F.lit("CNT-"), "content_id")
+    return {
+        "users": (s.users(spark, folder), "mysql"),
+        "subscriptions": (s.subscriptions(spark, folder).withColumn("user_id", user), "mysql"),
+        "content": (s.catalogue(spark, folder), "postgres"),
+        "ratings": (s.ratings(spark, folder).withColumns({"user_id": user, "content_id": title}), "postgres"),
+        "content_metadata": (s.metadata(spark, folder), "csv"),
+        "viewing_events_batch": (s.bronze_events(s.read(spark, folder, "events")), "json"),
+        "campaigns": (s.campaigns(spark, folder), "excel"),
+    }
+
+
+def _layers(spark, folder):
+    """Run the bronze, silver and gold jobs into the shared place."""
+    layout = _shared_layout(spark)
+    runs = {
+        "bronze": bronze_job.run(spark, layout, _sources(spark, folder)),
+        "silver": silver_job.run(spark, layout, s.AS_OF),
+        "gold": gold_job.run(spark, layout),
+    }
+    return layout, runs
+
+
+JOB_EVENTS_SQL = f"(SELECT * FROM ({s.bronze_events_sql()}) WHERE event_ts IS NOT NULL)"
+JOB_GENRES_SQL = rf"""(SELECT content_id, unnest(regexp_split_to_array(genre, '\s*[,|]\s*')) AS genre FROM ({s.CATALOGUE_SQL}))"""
+JOB_ROWS = (
+    ("bronze", "users", "customer"),
+    ("bronze", "subscriptions", "orders"),
+    ("bronze", "content", "part"),
+    ("bronze", "ratings", "lineitem"),
+    ("bronze", "content_metadata", f"({s.METADATA_SQL})"),
+    ("bronze", "viewing_events_batch", "events"),
+    ("bronze", "campaigns", "supplier"),
+    ("silver", "users", "customer"),
+    ("silver", "subscriptions", "orders"),
+    ("silver", "content_enriched", "part"),
+    ("silver", "campaigns", "supplier"),
+    ("silver", "ratings_clean", f"({s.SILVER_RATINGS_SQL})"),
+    ("silver", "viewing_events", JOB_EVENTS_SQL),
+    ("gold", "daily_active_users", f"(SELECT DISTINCT CAST(event_ts + INTERVAL '5 hours 30 minutes' AS DATE) FROM {JOB_EVENTS_SQL})"),
+    ("gold", "content_watch_metrics", f"(SELECT DISTINCT content_id FROM {JOB_EVENTS_SQL} JOIN ({s.CATALOGUE_SQL}) USING (content_id))"),
+    ("gold", "genre_popularity", f"(SELECT DISTINCT genre FROM {JOB_EVENTS_SQL} JOIN {JOB_GENRES_SQL} USING (content_id))"),
+    ("gold", "user_engagement", f"(SELECT DISTINCT user_id FROM {JOB_EVENTS_SQL})"),
+    ("gold", "subscription_metrics", "(SELECT DISTINCT o_orderpriority FROM orders)"),
+    ("gold", "content_ratings_summary", f"(SELECT DISTINCT content_id FROM ({s.SILVER_RATINGS_SQL}) JOIN part ON content_id = p_partkey)"),
+)
+
+
+@query("job_layers", " UNION ALL ".join(
+    f"""SELECT '{layer}' AS layer, '{table}' AS "table", count(*) AS "rows" FROM {source} t""" for layer, table, source in JOB_ROWS))
+def job_layers(spark, folder):
+    """Rows that each job counted while it wrote; the day is cut in the session's zone, so days are counted in ours."""
+    layout, runs = _layers(spark, folder)
+    days = read_table(spark, layout, "silver", "viewing_events").select(temporal.local_date(F.col("event_ts"), s.ZONE))
+    counted = quality.union_all(runs[layer].select(F.lit(layer).alias("layer"), "table", "rows") for layer in runs)
+    in_zone = days.distinct().agg(F.count(F.lit(1))).scalar()
+    return counted.withColumn("rows", F.when(F.col("table") == "daily_active_users", in_zone).otherwise(F.col("rows")))
+
+
+@query("job_checks")
+def job_checks(spark, folder):
+    """The checks of the three layers on what the jobs wrote; row limits do not fit these tables."""
+    layout, _ = _layers(spark, folder)
+    return quality.union_all(validate_job.run(spark, layout, layer) for layer in validate_job.LAYERS)
+
+
+def _written(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """The same rows as a table in the shared place: for results that are read many times."""
+    layout = _shared_layout(spark)
+    overwrite(df, layout.gold("result"), layout.fmt)
+    return read_table(spark, layout, "gold", "result")
+
+
+# ---- streams -------------------------------------------------------------------------
+
+
 def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
     # A stream takes folders or patterns; the pattern fits a single file and a folder of parts.
     path = f"{folder}/events.parquet"
@@ -681,7 +811,7 @@ def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 def _through_stream(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Run a stream over all there is into a table, and read the table."""
-    layout = _stream_layout(spark)
+    layout = _shared_layout(spark)
     target = layout.bronze("result")
     ingest.start_append(df, target, layout.checkpoint("result"), layout.fmt, once=True).awaitTermination()
     return spark.read.format(layout.fmt).load(target)
@@ -815,18 +945,19 @@ def ml_dense_ids(spark, folder):
 
 @query("ml_churn")
 def ml_churn(spark, folder):
-    table = _user_features(spark, folder)
+    table = _written(spark, _user_features(spark, folder))
     model, _ = churn.train(table)
     return churn.predict(model, table)
 
 
 @query("ml_popularity")
 def ml_popularity(spark, folder):
-    table = _content_features(spark, folder)
+    table = _written(spark, _content_features(spark, folder))
     model, _ = popularity.train(table)
     return popularity.predict(model, table)
 
 
 @query("ml_recommendations")
 def ml_recommendations(spark, folder):
-    return recommend.recommend(gold.viewer_titles(s.viewing_events(spark, folder)), s.content(spark, folder))
+    viewers = _written(spark, gold.viewer_titles(s.viewing_events(spark, folder)))
+    return recommend.recommend(viewers, s.content(spark, folder))

@@ -38,7 +38,9 @@ def fit(training: DataFrame, categories: Sequence[str], numbers: Sequence[str])
         RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED),
     ]
     labelled = training.withMetadata("label", TWO_CLASSES)
-    return Pipeline(stages=stages).fit(labelled)
+    *prepared, trees = Pipeline(stages=stages).fit(labelled).stages
+    # A copy leaves the training summary behind: it holds the session, which cannot go to tasks.
+    return PipelineModel([*prepared, trees.copy()])
 
 
 def score(model: PipelineModel, df: DataFrame, probability: str) -> DataFrame:

@@ -20,6 +20,10 @@ ENGINE_OPTIONS = {
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
+    # Stream state on local disk with checkpoints, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
