@@ -38,7 +38,7 @@ def read_viewing_events(spark: SparkSession, path: str, *, lines: bool = False)
 def read_reviews(spark: SparkSession, folder: str) -> DataFrame:
     """One row per review file; author, title and day are in the file name."""
     name = F.col("_metadata.file_name")
-    return spark.read.option("wholetext", True).option("pathGlobFilter", "*.txt").text(folder).select(
+    return spark.read.option("pathGlobFilter", "*.txt").text(folder, wholetext=True).select(
         F.nullif(F.regexp_extract(name, REVIEW_NAME, 1), F.lit("")).alias("user_id"),
         F.nullif(F.regexp_extract(name, REVIEW_NAME, 2), F.lit("")).alias("content_id"),
         F.regexp_extract(name, REVIEW_NAME, 3).try_cast("date").alias("review_date"),
