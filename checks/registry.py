@@ -340,17 +340,17 @@ def _health(spark, folder):
     return saved.pipeline_health(spark, tables)
 
 
-@query("pipeline_health", HEALTH_SQL)
-def pipeline_health(spark, folder):
+@query("tables_health", HEALTH_SQL)
+def tables_health(spark, folder):
     """The prediction table is not given, so its line is an error."""
     return _health(spark, folder)
 
 
-@query("pipeline_health_overall", f"""
+@query("tables_health_overall", f"""
     SELECT count(*) FILTER (WHERE status = 'OK') AS tables_ok, count(*) AS "tables",
            CASE WHEN count(*) FILTER (WHERE status = 'OK') = count(*) THEN 'HEALTHY' ELSE 'DEGRADED' END AS overall
     FROM ({HEALTH_SQL})""")
-def pipeline_health_overall(spark, folder):
+def tables_health_overall(spark, folder):
     return saved.overall_health(_health(spark, folder))
 
 
@@ -960,4 +960,6 @@ def ml_popularity(spark, folder):
 @query("ml_recommendations")
 def ml_recommendations(spark, folder):
     viewers = _written(spark, gold.viewer_titles(s.viewing_events(spark, folder)))
-    return recommend.recommend(viewers, s.content(spark, folder))
+    users = _written(spark, recommend.user_numbers(viewers))
+    titles = _written(spark, recommend.title_numbers(viewers))
+    return recommend.recommend(viewers, s.content(spark, folder), users, titles)

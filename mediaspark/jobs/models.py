@@ -13,10 +13,12 @@ from mediaspark.sources.tables import read_table
 
 USER_FEATURES = "user_features"
 CONTENT_FEATURES = "content_features"
+USER_NUMBERS = "user_numbers"
+TITLE_NUMBERS = "title_numbers"
 
 
 def run(spark: SparkSession, layout: LakeLayout, as_of=None, als_blocks: int = 10) -> DataFrame:
-    """Returns table and rows. Feature tables are written first: training reads them many times."""
+    """Returns table and rows. What training reads many times is written first."""
 
     def silver(name):
         return read_table(spark, layout, "silver", name)
@@ -26,8 +28,8 @@ def run(spark: SparkSession, layout: LakeLayout, as_of=None, als_blocks: int = 1
 
     counts = {}
 
-    def write(name, df):
-        counts[name] = overwrite(df, layout.gold(name), layout.fmt)
+    def write(name, df, lookup_by=()):
+        counts[name] = overwrite(df, layout.gold(name), layout.fmt, lookup_by=lookup_by)
 
     write(USER_FEATURES, features.user_features(silver("subscriptions"), silver("viewing_events"), as_of))
     write(
@@ -37,13 +39,15 @@ def run(spark: SparkSession, layout: LakeLayout, as_of=None, als_blocks: int = 1
         ),
     )
     model, _ = churn.train(gold(USER_FEATURES))
-    write("user_churn_prediction", churn.predict(model, gold(USER_FEATURES)))
+    write("user_churn_prediction", churn.predict(model, gold(USER_FEATURES)), ["user_id"])
     model, _ = popularity.train(gold(CONTENT_FEATURES))
     write("content_popularity_prediction", popularity.predict(model, gold(CONTENT_FEATURES)))
-    write(
-        "user_recommendations",
-        recommend.recommend(gold(VIEWERS), silver("content_enriched"), blocks=als_blocks),
+    write(USER_NUMBERS, recommend.user_numbers(gold(VIEWERS)))
+    write(TITLE_NUMBERS, recommend.title_numbers(gold(VIEWERS)))
+    best = recommend.recommend(
+        gold(VIEWERS), silver("content_enriched"), gold(USER_NUMBERS), gold(TITLE_NUMBERS), blocks=als_blocks
     )
+    write("user_recommendations", best, ["user_id"])
     return row_counts(spark, counts)
 
 

@@ -66,8 +66,6 @@ def content_features(
 ) -> DataFrame:
     """One row per title that has views; what is unknown of a title is 0 or an empty name."""
     limit = watch.agg(F.percentile_approx("total_views", quantile, QUANTILE_ACCURACY)).scalar()
-    views = watch.select("content_id", "title", "content_type", "total_views")
-    rated = ratings_summary.select("content_id", "title", "content_type", "avg_rating", "rating_count")
     described = content.select(
         "content_id",
         "title",
@@ -81,16 +79,25 @@ def content_features(
         F.coalesce(F.size("genre_array"), F.lit(0)).cast("double").alias("n_genres"),
         F.coalesce(F.size("cast_members"), F.lit(0)).cast("double").alias("n_cast"),
     )
-    keys = ["content_id", "title", "content_type"]
-    return (
-        described.join(views, keys)
-        .join(rated, keys, "left")
-        .withColumns({
-            "avg_rating": F.coalesce("avg_rating", F.lit(0.0)),
-            "rating_count": F.coalesce("rating_count", F.lit(0)).cast("double"),
-            "label": F.when(F.col("total_views") >= limit, 1.0).otherwise(0.0),
-        })
+    viewed = _with_title_columns(described, watch, ["total_views"], "inner")
+    return _with_title_columns(viewed, ratings_summary, ["avg_rating", "rating_count"], "left").withColumns({
+        "avg_rating": F.coalesce("avg_rating", F.lit(0.0)),
+        "rating_count": F.coalesce("rating_count", F.lit(0)).cast("double"),
+        "label": F.when(F.col("total_views") >= limit, 1.0).otherwise(0.0),
+    })
+
+
+def _with_title_columns(titles: DataFrame, mart: DataFrame, columns: list[str], how: str) -> DataFrame:
+    """Columns of a mart that is keyed by id, name and kind of title; a name or kind may be null."""
+    other = mart.select(
+        *(F.col(key).alias(f"_{key}") for key in ("content_id", "title", "content_type")), *columns
+    )
+    same = (
+        (titles["content_id"] == other["_content_id"])
+        & titles["title"].eqNullSafe(other["_title"])
+        & titles["content_type"].eqNullSafe(other["_content_type"])
     )
+    return titles.join(other, same, how).drop("_content_id", "_title", "_content_type")
 
 
 def dense_ids(df: DataFrame, column: str, name: str, buckets: int = 1024) -> DataFrame:

@@ -97,25 +97,44 @@ def _score_block(user_factors: DataFrame, block: DataFrame, k: int) -> DataFrame
     return user_factors.mapInPandas(score, SCORED)
 
 
-def recommend(viewers: DataFrame, content: DataFrame, k: int = TOP_TITLES, blocks: int = 10) -> DataFrame:
+def known_viewers(viewers: DataFrame) -> DataFrame:
+    return viewers.filter(F.col("user_id").isNotNull() & F.col("content_id").isNotNull())
+
+
+def user_numbers(viewers: DataFrame) -> DataFrame:
+    """Number of each user. Used several times: write it once."""
+    return dense_ids(known_viewers(viewers), "user_id", "user")
+
+
+def title_numbers(viewers: DataFrame) -> DataFrame:
+    """Number of each title. Used several times: write it once."""
+    return dense_ids(known_viewers(viewers), "content_id", "item")
+
+
+def recommend(
+    viewers: DataFrame,
+    content: DataFrame,
+    user_ids: DataFrame,
+    content_ids: DataFrame,
+    *,
+    k: int = TOP_TITLES,
+    blocks: int = 10,
+) -> DataFrame:
     """Train on views per viewer and title, and name the k best titles of each user.
 
-    ``user`` and ``item`` numbers are dense, so they stay within ALS's integer range for
-    up to 2,147,483,647 users.
+    The numbers are dense, so they stay within ALS's integer range for up to
+    2,147,483,647 users.
     """
-    known = viewers.filter(F.col("user_id").isNotNull() & F.col("content_id").isNotNull())
-    user_ids = dense_ids(known, "user_id", "user")
-    content_ids = dense_ids(known, "content_id", "item")
     highest = user_ids.agg(F.max("user")).first()[0]
     if highest is not None and highest > LARGEST_ALS_ID:
         raise ValueError(f"{highest + 1} users exceed the range of ALS ids")
-    best = best_items(train(interactions(known, user_ids, content_ids), blocks), k)
+    best = best_items(train(interactions(known_viewers(viewers), user_ids, content_ids), blocks), k)
     rank = F.row_number().over(Window.partitionBy("user").orderBy(F.desc("score"), "item"))
     titles = content.select("content_id", F.col("title").alias("recommended_content"), "content_type")
+    named = content_ids.join(titles, "content_id", "left")
     return (
         best.withColumn("recommendation_rank", rank)
         .join(user_ids, "user")
-        .join(content_ids, "item")
-        .join(titles, "content_id", "left")
+        .join(named, "item")
         .select("user_id", "recommended_content", "content_type", "recommendation_rank", "score")
     )

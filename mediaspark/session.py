@@ -9,14 +9,15 @@ DEFAULT_ZONE = "Asia/Kolkata"
 DEFAULT_FORMAT = "parquet"
 
 # Shuffles start wide and AQE merges small partitions, so one setting serves
-# small runs and large ones. Skewed sort-merge joins are split by AQE. A join side
-# is broadcast only when its measured size is below the threshold.
+# small runs and large ones. Skewed sort-merge joins are split by AQE. A join side is
+# broadcast at planning only below Spark's own small limit; above it, only once AQE has
+# measured the shuffled side and found it below the limit here.
 ENGINE_OPTIONS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",

@@ -115,3 +115,34 @@ def test_models_write_what_the_saved_queries_read(spark, lake):
     assert saved.churn_risk(tables, user_id="USR-7").count() == 1
     assert saved.popularity_predictions(tables).count() == 10
     assert [r["recommendation_rank"] for r in saved.recommendations(tables, "USR-3").collect()] == list(range(1, 11))
+
+
+def test_all_layers_run_in_order_and_stop_at_a_failed_check(spark, tmp_path):
+    from mediaspark.jobs import all_layers
+
+    write_files(tmp_path / "files")
+    sources = database_frames(spark) | bronze.file_sources(spark, str(tmp_path / "files"))
+    users, tag = sources["users"]
+    broken = sources | {"users": (users.withColumn("user_id", users["user_id"].substr(1, 0)).replace("", None, "user_id"), tag)}
+    layout = LakeLayout(str(tmp_path / "broken"))
+    with pytest.raises(all_layers.ChecksFailed) as caught:
+        all_layers.run(spark, layout, broken, "2024-01-31", als_blocks=2)
+    assert caught.value.layer == "silver" and caught.value.failed == ["silver/users user_id"]
+    assert not (tmp_path / "broken" / "gold").exists()
+    written = all_layers.run(spark, LakeLayout(str(tmp_path / "good")), sources, "2024-01-31", als_blocks=2)
+    assert list(written) == ["bronze", "silver", "gold", "models"]
+
+
+def test_lookup_tables_are_sorted_within_their_files(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from mediaspark.sinks.tables import overwrite
+
+    path = str(tmp_path / "t")
+    df = spark.range(5000).selectExpr("concat('USR-', id) as user_id", "id as score").repartition(2)
+    assert overwrite(df, path, "parquet", lookup_by=["user_id"]) == 5000
+    stored = spark.read.parquet(path)
+    assert collected(stored.filter("user_id = 'USR-77'")) == [("USR-77", 77)]
+    for file in (tmp_path / "t").glob("*.parquet"):
+        ids = pq.read_table(file)["user_id"].to_pylist()
+        assert ids == sorted(ids)

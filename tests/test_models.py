@@ -40,15 +40,16 @@ def test_content_features(spark):
         "runtime_minutes int, release_year int, budget long, cast_members array<string>",
         ("c1", "A", "m", ["G", "H"], "hi", "U", 90, 2020, 5, ["x"]), ("c2", "B", "m", None, None, None, None, None, None, None),
         ("c3", "C", "m", [], "hi", "U", 1, 1, 1, []), ("c4", "D", "m", ["G"], "hi", "U", 1, 1, 1, []),
-        ("unseen", "E", "m", ["G"], "hi", "U", 1, 1, 1, []),
+        ("unseen", "E", "m", ["G"], "hi", "U", 1, 1, 1, []), ("c5", None, None, ["G"], "hi", "U", 1, 1, 1, []),
     )
     watch = frame(spark, "content_id string, title string, content_type string, total_views long",
-                  ("c1", "A", "m", 1), ("c2", "B", "m", 2), ("c3", "C", "m", 3), ("c4", "D", "m", 4))
+                  ("c1", "A", "m", 1), ("c2", "B", "m", 2), ("c3", "C", "m", 3), ("c4", "D", "m", 4), ("c5", None, None, 0))
     rated = frame(spark, "content_id string, title string, content_type string, avg_rating double, rating_count long", ("c1", "A", "m", 4.5, 2))
     out = features.content_features(content, watch, rated)
     assert collected(out, "content_id", "primary_genre", "language", "n_genres", "n_cast", "avg_rating", "rating_count", "label") == [
         ("c1", "G", "hi", 2.0, 1.0, 4.5, 2.0, 0.0), ("c2", "", "", 0.0, 0.0, 0.0, 0.0, 0.0),
         ("c3", "", "hi", 0.0, 0.0, 0.0, 0.0, 1.0), ("c4", "G", "hi", 1.0, 0.0, 0.0, 0.0, 1.0),
+        ("c5", "G", "hi", 1.0, 0.0, 0.0, 0.0, 0.0),
     ]
 
 
@@ -137,7 +138,9 @@ def test_recommend_names_titles(spark):
     content = spark.range(17).select(
         F.concat(F.lit("CNT-"), "id").alias("content_id"), F.concat(F.lit("Title "), "id").alias("title"), F.lit("movie").alias("content_type")
     )
-    out = recommend.recommend(viewers, content, k=3, blocks=2)
+    out = recommend.recommend(
+        viewers, content, recommend.user_numbers(viewers), recommend.title_numbers(viewers), k=3, blocks=2
+    )
     assert out.columns == ["user_id", "recommended_content", "content_type", "recommendation_rank", "score"]
     rows = out.collect()
     assert len(rows) == 36 and {r["recommendation_rank"] for r in rows} == {1, 2, 3}
