@@ -374,8 +374,10 @@ SINCE = f"""(SELECT *, max(event_ts) OVER () AS as_of FROM ({s.VIEWING_EVENTS_SQ
 
 
 def _live(spark, folder):
+    """Events, and their last time as a constant, so that the time filter reaches the scan."""
     events = s.viewing_events(spark, folder)
-    return events, events.agg(F.max("event_ts")).scalar()
+    last = events.agg(F.max("event_ts").cast("string")).first()[0]
+    return events, F.lit(last).cast("timestamp_ntz")
 
 
 TOTALS_SQL = f"""

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mediaspark.functions import temporal
-from mediaspark.operators.keep import keep_first
 
 POPULAR_QUANTILE = 0.75
 QUANTILE_ACCURACY = 10_000
@@ -21,43 +20,41 @@ LARGEST_ALS_ID = 2**31 - 1
 def user_features(subscriptions: DataFrame, events: DataFrame, as_of=None) -> DataFrame:
     """One row per subscriber.
 
-    Events are summed per user and day first, so that a very active user is a few hundred
-    rows in the join; the day limit differs by user and is applied after it.
+    The latest subscription and the number held come from one aggregation. Events are
+    summed per user and day first, so that a very active user is a few hundred rows in the
+    join; the day limit differs by user and is applied after it.
     """
     today = temporal.as_date(as_of)
-    latest = keep_first(
-        subscriptions.filter(F.col("user_id").isNotNull()),
-        ["user_id"],
-        [F.desc_nulls_last("start_date"), F.desc_nulls_last("subscription_id")],
+    held = subscriptions.filter(F.col("user_id").isNotNull()).groupBy("user_id").agg(
+        F.max(F.struct("start_date", "subscription_id", "plan_id", "duration_days", "is_active", "end_date")).alias("last"),
+        F.count(F.lit(1)).alias("subscriptions_held"),
     )
-    held = subscriptions.groupBy("user_id").agg(F.count(F.lit(1)).alias("subscriptions_held"))
-    current = latest.select(
+    current = held.select(
         "user_id",
-        "plan_id",
-        F.col("duration_days").alias("subscription_duration_days"),
-        F.when(F.col("is_active"), today).otherwise(F.col("end_date")).alias("until"),
-        F.when(F.col("is_active"), 0.0).otherwise(1.0).alias("label"),
-    ).join(held, "user_id")
+        "last.plan_id",
+        F.col("last.duration_days").alias("subscription_duration_days"),
+        "subscriptions_held",
+        F.when(F.col("last.is_active"), today).otherwise(F.col("last.end_date")).alias("until"),
+        F.when(F.col("last.is_active"), 0.0).otherwise(1.0).alias("label"),
+    )
     days = events.groupBy("user_id", "event_date").agg(
         F.count(F.lit(1)).alias("views"),
         F.sum("watch_duration_sec").alias("watch_sec"),
         F.count_distinct("content_id").alias("titles"),
     )
-    before = days.join(current.select("user_id", "until"), "user_id").filter("event_date < until")
-    used = before.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("active_days"),
-        F.sum("views").alias("views"),
-        F.sum("watch_sec").alias("watch_sec"),
-        F.avg("titles").alias("titles_per_day"),
-    )
-    counts = ["active_days", "views", "watch_sec", "titles_per_day"]
-    return current.join(used, "user_id", "left").select(
-        "user_id",
-        "plan_id",
-        "subscription_duration_days",
-        "subscriptions_held",
-        *(F.coalesce(F.col(c), F.lit(0)).cast("double").alias(c) for c in counts),
-        "label",
+    before = F.col("event_date") < F.col("until")
+    measures = {
+        "active_days": F.count_if(before),
+        "views": F.sum(F.when(before, F.col("views"))),
+        "watch_sec": F.sum(F.when(before, F.col("watch_sec"))),
+        "titles_per_day": F.avg(F.when(before, F.col("titles"))),
+    }
+    described = ["user_id", "plan_id", "subscription_duration_days", "subscriptions_held"]
+    return (
+        current.join(days, "user_id", "left")
+        .groupBy(*described, "label")
+        .agg(*(F.coalesce(value, F.lit(0)).cast("double").alias(name) for name, value in measures.items()))
+        .select(*described, *measures, "label")
     )
 
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mediaspark.functions import temporal
@@ -21,9 +21,17 @@ def timed(parsed: DataFrame) -> DataFrame:
     return parsed.withColumn("event_ts", temporal.instant(F.col("event_ts"))).filter(F.col("event_ts").isNotNull())
 
 
-def without_repeats(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """First arrival of each event id, for repeats that arrive within ``lateness``."""
-    return events.withWatermark("event_ts", lateness).dropDuplicatesWithinWatermark(["event_id"])
+def without_repeats(events: DataFrame, lateness: str = LATENESS, spread: Column | None = None) -> DataFrame:
+    """First arrival of each event id, for repeats that arrive within ``lateness``.
+
+    Where one id may be sent very many times, ``spread`` (a number that differs between
+    copies, such as the offset modulo some count) first drops repeats within each of its
+    values, so that no task takes all copies of an id. It costs a second shuffle.
+    """
+    marked = events.withWatermark("event_ts", lateness)
+    if spread is not None:
+        marked = marked.withColumn("_spread", spread).dropDuplicatesWithinWatermark(["event_id", "_spread"]).drop("_spread")
+    return marked.dropDuplicatesWithinWatermark(["event_id"])
 
 
 def with_genre(events: DataFrame, content: DataFrame) -> DataFrame:

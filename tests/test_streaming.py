@@ -72,12 +72,18 @@ def run(spark, df, lake, name):
     return spark.read.parquet(lake.bronze(name))
 
 
-def test_repeats_are_dropped_across_drops(spark, tmp_path, lake):
+@pytest.mark.parametrize("spread", [None, 4])
+def test_repeats_are_dropped_across_drops(spark, tmp_path, lake, spread):
     inbox = tmp_path / "in"
+
+    def single():
+        over = None if spread is None else F.col("_kafka_offset") % spread
+        return live.without_repeats(stream_of(spark, inbox), spread=over)
+
     drop(inbox, "1.json", [message(0, "e1", 0), message(1, "e1", 0), message(2, "e2", 1)])
-    run(spark, live.without_repeats(stream_of(spark, inbox)), lake, "single")
+    run(spark, single(), lake, "single")
     drop(inbox, "2.json", [message(3, "e2", 1), message(4, "e3", 2), {"value": "junk", "partition": 0, "offset": 5}])
-    result = run(spark, live.without_repeats(stream_of(spark, inbox)), lake, "single")
+    result = run(spark, single(), lake, "single")
     assert collected(result, "event_id") == [("e1",), ("e2",), ("e3",)]
 
 
