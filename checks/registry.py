@@ -26,7 +26,7 @@ from mediaspark.plans import kpis, layer_checks, questions, saved, traces, traff
 from mediaspark.session import shared_folder
 from mediaspark.sinks.tables import overwrite
 from mediaspark.sources import files
-from mediaspark.sources.tables import read_table
+from mediaspark.sources.tables import read_table, with_source
 from mediaspark.streaming import ingest, live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -633,6 +633,45 @@ def _gold_checks_sql() -> str:
     )
 
 
+BRONZE_EXPECTED = {
+    "users": (1, 1_000_000_000, "mysql", "customer"),
+    "subscriptions": (1, 10, "mysql", "orders"),  # too few allowed
+    "content": (1, 1_000_000_000, "postgres", "part"),
+    "ratings": (1, 1_000_000_000, "postgres", "lineitem"),
+    "content_metadata": (1, 1_000_000_000, "json", "part"),  # the tag differs
+    "viewing_events_batch": (1, 1_000_000_000, "json", "events"),
+    "campaigns": (1, 1_000_000_000, "excel", "supplier"),
+}
+BRONZE_CHECKS_SQL = " UNION ALL ".join(
+    f"""SELECT 'bronze/{table} row count' AS name, count(*) BETWEEN {low} AND {high} AS passed FROM {source}
+    UNION ALL SELECT 'bronze/{table} has _ingested_at', true
+    UNION ALL SELECT 'bronze/{table} source tag', {str(table != 'content_metadata').lower()}"""
+    for table, (low, high, _, source) in BRONZE_EXPECTED.items()
+) + " UNION ALL SELECT 'bronze/viewing_events present', false"
+
+
+@query("dq_bronze_layer", BRONZE_CHECKS_SQL)
+def dq_bronze_layer(spark, folder):
+    """Some checks are made to fail; the stream table is not given."""
+    found = {name: with_source(df, tag) for name, (df, tag) in _sources(spark, folder).items()}
+    expected = {name: limits[:3] for name, limits in BRONZE_EXPECTED.items()}
+    return layer_checks.bronze(spark, found, expected).select("name", "passed")
+
+
+@query("dq_source_profile", f"""
+    SELECT 'source users' AS name, count(*) = 5000 AS passed FROM customer
+    UNION ALL SELECT 'source subscriptions', count(*) BETWEEN 6000 AND 8000 FROM orders
+    UNION ALL SELECT 'source content', count(*) = 2000 FROM part
+    UNION ALL SELECT 'source ratings', count(*) BETWEEN 15000 AND 20000 FROM lineitem
+    UNION ALL SELECT 'source ratings user_id form', count(DISTINCT l_suppkey) > 0 FROM lineitem
+    UNION ALL SELECT 'source ratings have repeats', count(*) > 0 FROM (SELECT 1 FROM lineitem GROUP BY l_suppkey, l_partkey HAVING count(*) > 1)
+    UNION ALL SELECT 'source users top country', (SELECT country FROM ({s.USERS_SQL}) GROUP BY country ORDER BY count(*) DESC, country LIMIT 1) = 'India'""")
+def dq_source_profile(spark, folder):
+    sources = _sources(spark, folder)
+    tables = (sources[name][0] for name in ("users", "subscriptions", "content", "ratings"))
+    return layer_checks.source_profile(*tables).select("name", "passed")
+
+
 @query("dq_gold_layer", _gold_checks_sql())
 def dq_gold_layer(spark, folder):
     built = {

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from mediaspark.jobs.common import arguments, report, session_and_layout
 from mediaspark.layout import Database, LakeLayout
-from mediaspark.sinks.tables import overwrite, row_counts
+from mediaspark.sinks.tables import overwrite, row_counts, run_together
 from mediaspark.sources import files, jdbc, workbook
 from mediaspark.sources.tables import with_source
 
@@ -44,10 +45,11 @@ def file_sources(spark: SparkSession, folder: str) -> dict[str, tuple[DataFrame,
 
 def run(spark: SparkSession, layout: LakeLayout, sources: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """Write every source with its audit columns; returns table and rows."""
-    counts = {
-        name: overwrite(with_source(df, tag), layout.bronze(name), layout.fmt) for name, (df, tag) in sources.items()
+    writes = {
+        name: partial(overwrite, with_source(df, tag), layout.bronze(name), layout.fmt)
+        for name, (df, tag) in sources.items()
     }
-    return row_counts(spark, counts)
+    return row_counts(spark, run_together(spark, writes))
 
 
 def main() -> None:

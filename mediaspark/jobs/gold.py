@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from mediaspark.jobs.common import arguments, report, session_and_layout
 from mediaspark.layout import LakeLayout
 from mediaspark.operators import gold
-from mediaspark.sinks.tables import overwrite, row_counts
+from mediaspark.sinks.tables import overwrite, row_counts, run_together
 from mediaspark.sources.tables import read_table
 
 VIEWERS = "viewer_titles"
@@ -33,8 +35,8 @@ def run(spark: SparkSession, layout: LakeLayout) -> DataFrame:
         "subscription_metrics": gold.subscription_metrics(subscriptions),
         "content_ratings_summary": gold.content_ratings_summary(ratings, content),
     }
-    counts = {name: overwrite(df, layout.gold(name), layout.fmt) for name, df in built.items()}
-    return row_counts(spark, counts)
+    writes = {name: partial(overwrite, df, layout.gold(name), layout.fmt) for name, df in built.items()}
+    return row_counts(spark, run_together(spark, writes))
 
 
 def main() -> None:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from mediaspark.jobs.common import arguments, report, session_and_layout
 from mediaspark.layout import LakeLayout
 from mediaspark.operators import silver
-from mediaspark.sinks.tables import overwrite, row_counts
+from mediaspark.sinks.tables import overwrite, row_counts, run_together
 from mediaspark.sources.tables import read_if_present, read_table
 
 
@@ -28,10 +30,11 @@ def run(spark: SparkSession, layout: LakeLayout, as_of=None) -> DataFrame:
         ),
     }
     by_day = {"viewing_events": ["event_date"]}
-    counts = {
-        name: overwrite(df, layout.silver(name), layout.fmt, by_day.get(name, ())) for name, df in built.items()
+    writes = {
+        name: partial(overwrite, df, layout.silver(name), layout.fmt, by_day.get(name, ()))
+        for name, df in built.items()
     }
-    return row_counts(spark, counts)
+    return row_counts(spark, run_together(spark, writes))
 
 
 def main() -> None:

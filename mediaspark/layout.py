@@ -57,12 +57,17 @@ class Database:
         return props
 
 
+# Rows are fetched in pieces; a driver left to itself may hold a whole partition in memory.
+FETCH = {"fetchsize": "10000"}
+
+
 def mysql(host: str, database: str, user: str, password: str, port: int = 3306) -> Database:
-    return Database(f"jdbc:mysql://{host}:{port}/{database}", "com.mysql.cj.jdbc.Driver", user, password)
+    url = f"jdbc:mysql://{host}:{port}/{database}"
+    return Database(url, "com.mysql.cj.jdbc.Driver", user, password, {**FETCH, "useCursorFetch": "true"})
 
 
 def postgres(host: str, database: str, user: str, password: str, port: int = 5432) -> Database:
-    return Database(f"jdbc:postgresql://{host}:{port}/{database}", "org.postgresql.Driver", user, password)
+    return Database(f"jdbc:postgresql://{host}:{port}/{database}", "org.postgresql.Driver", user, password, dict(FETCH))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

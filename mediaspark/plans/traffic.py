@@ -77,6 +77,28 @@ def by_country(events: DataFrame, users: DataFrame, as_of=None, minutes: int = L
     return _busiest(viewers.join(users.select("user_id", "country"), "user_id"), "country")
 
 
+def streaming_traffic(
+    events: DataFrame,
+    dimension: str | None = None,
+    *,
+    content: DataFrame | None = None,
+    users: DataFrame | None = None,
+    as_of=None,
+    minutes: int = LIVE_MINUTES,
+) -> DataFrame:
+    """Totals, or the busiest values of a dimension: an event column, ``genre`` of the titles
+    given, or ``country`` of the users given."""
+    if not dimension:
+        return totals(events, as_of, minutes)
+    if dimension in events.columns:
+        return by_dimension(events, dimension, as_of, minutes)
+    if dimension == "genre" and content is not None:
+        return by_genre(events, content, as_of, minutes)
+    if dimension == "country" and users is not None:
+        return by_country(events, users, as_of, minutes)
+    raise ValueError(f"no events by {dimension}")
+
+
 def sliding_from_minutes(activity: DataFrame, dimensions=(), minutes: int = LIVE_MINUTES) -> DataFrame:
     """Sliding windows, one per minute, from the per-minute table; users are counted exactly.
 

@@ -22,7 +22,9 @@ def test_layout():
 def test_database_properties():
     db = mysql("h", "d", "me", "secret")
     assert db.url == "jdbc:mysql://h:3306/d" and "secret" not in repr(db)
-    assert db.properties() == {"driver": "com.mysql.cj.jdbc.Driver", "user": "me", "password": "secret"}
+    assert db.properties() == {
+        "driver": "com.mysql.cj.jdbc.Driver", "user": "me", "password": "secret", "fetchsize": "10000", "useCursorFetch": "true",
+    }
     assert postgres("h", "d", "me", "p", 1).url == "jdbc:postgresql://h:1/d"
     assert Database("u", "drv", options={"fetchsize": "100"}).properties() == {"driver": "drv", "fetchsize": "100"}
 

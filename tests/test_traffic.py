@@ -38,6 +38,15 @@ def test_by_genre_and_country(spark, events):
     assert collected(traffic.by_country(events, users, NOW)) == [("IN", 4, 2), ("US", 1, 1)]
 
 
+def test_streaming_traffic_chooses_by_dimension(spark, events):
+    content = frame(spark, "content_id string, genre_array array<string>", ("c1", ["A"]))
+    assert collected(traffic.streaming_traffic(events, as_of=NOW)) == collected(traffic.totals(events, NOW))
+    assert collected(traffic.streaming_traffic(events, "city", as_of=NOW)) == collected(traffic.by_dimension(events, "city", NOW))
+    assert collected(traffic.streaming_traffic(events, "genre", content=content, as_of=NOW)) == [("A", 3, 2)]
+    with pytest.raises(ValueError):
+        traffic.streaming_traffic(events, "genre", as_of=NOW)
+
+
 def test_nothing_recent_is_a_row_of_zeros(events):
     later = NOW + dt.timedelta(days=3)
     assert collected(traffic.totals(events, later)) == [(0, 0, 0, None, 0, 0)]
