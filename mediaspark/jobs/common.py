@@ -7,7 +7,7 @@ import argparse
 from pyspark.sql import DataFrame
 
 from mediaspark.layout import LakeLayout
-from mediaspark.session import DEFAULT_FORMAT, DEFAULT_ZONE, build_session
+from mediaspark.session import DEFAULT_FORMAT, DEFAULT_ZONE, DELTA_OPTIONS, build_session
 
 
 def arguments(description: str) -> argparse.ArgumentParser:
@@ -20,7 +20,12 @@ def arguments(description: str) -> argparse.ArgumentParser:
 
 
 def session_and_layout(name: str, given: argparse.Namespace):
-    spark = build_session(name, zone=given.zone, shuffle_partitions=given.shuffle_partitions)
+    spark = build_session(
+        name,
+        zone=given.zone,
+        shuffle_partitions=given.shuffle_partitions,
+        options=DELTA_OPTIONS if given.format == "delta" else None,
+    )
     return spark, LakeLayout(given.base, given.format)
 
 

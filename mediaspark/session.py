@@ -29,6 +29,13 @@ ENGINE_OPTIONS = {
 }
 
 
+# Needed where tables are kept in the Delta format and its package is on the class path.
+DELTA_OPTIONS = {
+    "spark.sql.extensions": "io.delta.sql.DeltaSparkSessionExtension",
+    "spark.sql.catalog.spark_catalog": "org.apache.spark.sql.delta.catalog.DeltaCatalog",
+}
+
+
 def build_session(
     app_name: str,
     *,

@@ -123,16 +123,20 @@ def _decoder(columns: list[str], batch_rows: int):
         def sheet_rows(book):
             strings, dates = shared_strings(book), date_styles(book)
             name, origin = first_sheet(book)
-            header = None
+            header, all_rows = None, None
             with book.open(name) as sheet:
-                for _, node in ET.iterparse(sheet):
-                    if local(node.tag) != "row":
+                for moment, node in ET.iterparse(sheet, events=("start", "end")):
+                    tag = local(node.tag)
+                    if moment == "start":
+                        all_rows = node if tag == "sheetData" else all_rows
+                        continue
+                    if tag != "row":
                         continue
                     cells, position = {}, -1
                     for cell in node:
                         position = column_number(cell.get("r"), position)
                         cells[position] = cell_text(cell, strings, dates, origin)
-                    node.clear()
+                    all_rows.clear()  # a row that has been read is let go
                     if header is None:
                         header = {title: at for at, title in cells.items() if title}
                     elif any(value is not None for value in cells.values()):

@@ -14,7 +14,7 @@ def local_session(cpus: int = 8):
     return build_session(
         "tests",
         master=f"local[{cpus}]",
-        shuffle_partitions=8,
+        shuffle_partitions=4,
         options={
             "spark.driver.memory": "8g",
             "spark.ui.enabled": "false",
