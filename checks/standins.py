@@ -433,7 +433,7 @@ POPULARITY_SQL = """
 
 
 def recommended(spark: SparkSession, folder: str) -> DataFrame:
-    """A recommendation table: the titles of each customer's orders, by price."""
+    """A recommendation table: the ten dearest titles of each customer's orders."""
     from pyspark.sql import Window
 
     orders = read(spark, folder, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
@@ -443,7 +443,8 @@ def recommended(spark: SparkSession, folder: str) -> DataFrame:
         .agg(F.max("l_extendedprice").alias("score"))
     )
     rank = F.row_number().over(Window.partitionBy("o_custkey").orderBy(F.desc("score"), "l_partkey"))
-    return best.withColumn("recommendation_rank", rank).join(part, "l_partkey").select(
+    ranked = best.withColumn("recommendation_rank", rank).filter("recommendation_rank <= 10")
+    return ranked.join(part, "l_partkey").select(
         F.concat(F.lit("USR-"), F.col("o_custkey") + 1000001).alias("user_id"),
         F.col("p_name").alias("recommended_content"),
         F.col("p_type").alias("content_type"),
@@ -459,6 +460,7 @@ RECOMMENDED_SQL = """
     FROM (SELECT o_custkey, l_partkey, max(l_extendedprice) AS score
           FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL)
     JOIN part ON l_partkey = p_partkey
+    QUALIFY recommendation_rank <= 10
 """
 
 

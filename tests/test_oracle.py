@@ -8,8 +8,8 @@ from checks.registry import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
-# Queries without SQL: models, sketches, and checks that read the file system.
-NO_SQL = {"ml_churn", "ml_popularity", "ml_recommendations", "stream_traffic_window_approximate", "job_checks"}
+# Queries without SQL: models and sketches.
+NO_SQL = {"ml_churn", "ml_popularity", "ml_recommendations", "stream_traffic_window_approximate"}
 
 
 @pytest.fixture(scope="module")
