@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import json
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
 from mediaspark.jobs import bronze, gold, models, silver, validate
 from mediaspark.jobs.common import arguments, report, session_and_layout
-from mediaspark.layout import Database, LakeLayout
+from mediaspark.layout import LakeLayout
 
 # The layers whose checks must pass before the next one is built.
 GATED = ("silver", "gold")
@@ -48,17 +47,13 @@ def run(spark: SparkSession, layout: LakeLayout, sources, as_of=None, als_blocks
 
 def main() -> None:
     parser = arguments(__doc__)
-    parser.add_argument("--files", required=True, help="folder of the file sources")
-    parser.add_argument("--databases", required=True, help="JSON file: tag to url, driver, user, password")
-    parser.add_argument("--jdbc-parts", type=int, default=16)
+    bronze.add_source_arguments(parser)
     parser.add_argument("--as-of", default=None, help="day that counts as today")
     parser.add_argument("--als-blocks", type=int, default=10)
     given = parser.parse_args()
     spark, layout = session_and_layout("all-layers", given)
-    with open(given.databases, encoding="utf-8") as file:
-        databases = {tag: Database(**entry) for tag, entry in json.load(file).items()}
-    sources = bronze.database_sources(spark, databases, given.jdbc_parts) | bronze.file_sources(spark, given.files)
     try:
+        sources = bronze.given_sources(spark, given)
         for rows in run(spark, layout, sources, given.as_of, given.als_blocks).values():
             report(rows)
     except ChecksFailed as failure:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import argparse
 import json
 from collections.abc import Mapping
 from functools import partial
@@ -20,6 +21,23 @@ EVENTS_FILE = ("json/viewing_events_batch.json", "viewing_events_batch", "json")
 CAMPAIGNS_FILE = ("excel/ad_campaigns.xlsx", "campaigns", "excel")
 
 
+def read_databases(path: str) -> dict[str, Database]:
+    """Connections by source tag, from a JSON file."""
+    with open(path, encoding="utf-8") as file:
+        return {tag: Database(**entry) for tag, entry in json.load(file).items()}
+
+
+def add_source_arguments(parser: argparse.ArgumentParser) -> None:
+    parser.add_argument("--files", required=True, help="folder of the file sources")
+    parser.add_argument("--databases", required=True, help="JSON file: tag to url, driver, user, password")
+    parser.add_argument("--jdbc-parts", type=int, default=16, help="parallel reads per database table")
+
+
+def given_sources(spark: SparkSession, given: argparse.Namespace) -> dict[str, tuple[DataFrame, str]]:
+    databases = database_sources(spark, read_databases(given.databases), given.jdbc_parts)
+    return databases | file_sources(spark, given.files)
+
+
 def database_sources(
     spark: SparkSession, databases: Mapping[str, Database], parts: int
 ) -> dict[str, tuple[DataFrame, str]]:
@@ -54,15 +72,10 @@ def run(spark: SparkSession, layout: LakeLayout, sources: Mapping[str, tuple[Dat
 
 def main() -> None:
     parser = arguments(__doc__)
-    parser.add_argument("--files", required=True, help="folder of the file sources")
-    parser.add_argument("--databases", required=True, help="JSON file: tag to url, driver, user, password")
-    parser.add_argument("--jdbc-parts", type=int, default=16)
+    add_source_arguments(parser)
     given = parser.parse_args()
     spark, layout = session_and_layout("bronze", given)
-    with open(given.databases, encoding="utf-8") as file:
-        databases = {tag: Database(**entry) for tag, entry in json.load(file).items()}
-    sources = database_sources(spark, databases, given.jdbc_parts) | file_sources(spark, given.files)
-    report(run(spark, layout, sources))
+    report(run(spark, layout, given_sources(spark, given)))
     spark.stop()
 
 

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.errors import ParseException
 from pyspark.sql import functions as F
 
 from mediaspark.plans import kpis, saved
@@ -91,9 +92,18 @@ def test_query_analytics_runs_queries_only(spark):
     sql = "  (SELECT genre FROM genre_popularity WHERE total_views > 1)"
     assert in_order(saved.query_analytics(spark, tables, sql)) == [("B",)]
     assert in_order(saved.query_analytics(spark, tables, "WITH t AS (SELECT 1 x) SELECT x FROM t")) == [(1,)]
-    for bad in ("DROP VIEW genre_popularity", "", "  ", "insert into genre_popularity values ('C', 3)"):
-        with pytest.raises(ValueError):
+    ordered = "SELECT genre FROM genre_popularity ORDER BY total_views DESC; -- the most viewed first"
+    with pytest.raises(ParseException):
+        saved.query_analytics(spark, tables, ordered)  # two statements in one text
+    assert in_order(saved.query_analytics(spark, tables, ordered.split("--")[0])) == [("B",), ("A",)]
+    assert in_order(saved.query_analytics(spark, tables, ordered.replace(";", ""))) == [("B",), ("A",)]
+    for bad in ("DROP VIEW genre_popularity", "insert into genre_popularity values ('C', 3)",
+                "WITH t AS (SELECT 'C', 3) INSERT INTO genre_popularity SELECT * FROM t", "CREATE TABLE x AS SELECT 1"):
+        with pytest.raises(ParseException):
             saved.query_analytics(spark, tables, bad)
+    for none in ("", "  ;"):
+        with pytest.raises(ValueError):
+            saved.query_analytics(spark, tables, none)
 
 
 def test_overview(spark):

@@ -209,3 +209,21 @@ def test_traces(spark, tmp_path):
     summary = traces.run_summary(steps)
     assert collected(summary) == [("a.json", 2, 1, 17, False), ("b.json", 3, 2, 4, True)]
     assert collected(traces.run_overview(summary)) == [(2, 2.5, 1.5, 0.5)]
+
+
+def test_connections_come_from_a_file(tmp_path):
+    from mediaspark.jobs import bronze
+
+    path = tmp_path / "databases.json"
+    path.write_text(json.dumps({"mysql": {"url": "u", "driver": "d", "user": "me", "password": "p", "options": {"fetchsize": "5"}}}))
+    assert bronze.read_databases(str(path))["mysql"].properties() == {"driver": "d", "fetchsize": "5", "user": "me", "password": "p"}
+
+
+def test_database_tables_feed_their_bronze_tables():
+    from mediaspark.jobs import bronze
+
+    reader = Reader(("1", "9"))
+    databases = {"mysql": Database("my", "d"), "postgres": Database("pg", "d")}
+    sources = bronze.database_sources(reader, databases, 4)
+    assert {name: tag for name, (_, tag) in sources.items()} == {"users": "mysql", "subscriptions": "mysql", "content": "postgres", "ratings": "postgres"}
+    assert [call[0] for call in reader.calls[1::2]] == ["users", "subscriptions", "content_catalogue", "ratings"]
