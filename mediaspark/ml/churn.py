@@ -16,10 +16,10 @@ def train(features: DataFrame) -> tuple[PipelineModel, float]:
     """Model, and its area under the ROC curve on users it has not seen."""
     training, test = forest.split(features, "user_id")
     model = forest.fit(training, CATEGORIES, NUMBERS)
-    return model, forest.area_under_roc(model, test)
+    return model, forest.area_under_roc(model, test, CATEGORIES)
 
 
 def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
-    return forest.score(model, features, "churn_probability").select(
+    return forest.score(model, features, CATEGORIES, "churn_probability").select(
         "user_id", "plan_id", "subscription_duration_days", "churn_probability", "prediction"
     )

@@ -16,6 +16,7 @@ SEED = 42
 TREES = 40
 DEPTH = 6
 TRAINING_SHARE = 80  # of 100
+UNKNOWN = "(unknown)"
 
 # Both classes are declared, so a sample that holds one of them still trains.
 TWO_CLASSES = {"ml_attr": {"type": "nominal", "vals": ["0", "1"], "name": "label"}}
@@ -27,28 +28,39 @@ def split(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     return df.filter(bucket < TRAINING_SHARE), df.filter(bucket >= TRAINING_SHARE)
 
 
+def with_categories(df: DataFrame, categories: Sequence[str]) -> DataFrame:
+    """Copies of the categories in which null and blank text are a category of their own.
+
+    The encoder names its outputs after the categories and takes no empty name.
+    """
+    return df.withColumns({
+        f"{c}_category": F.coalesce(F.nullif(F.trim(c), F.lit("")), F.lit(UNKNOWN)) for c in categories
+    })
+
+
 def fit(training: DataFrame, categories: Sequence[str], numbers: Sequence[str]) -> PipelineModel:
     """Categories are small vocabularies (plans, genres, languages) and are one-hot encoded."""
+    named = [f"{c}_category" for c in categories]
     indexed = [f"{c}_index" for c in categories]
     encoded = [f"{c}_vector" for c in categories]
     stages = [
-        StringIndexer(inputCols=list(categories), outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"),
+        StringIndexer(inputCols=named, outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"),
         OneHotEncoder(inputCols=indexed, outputCols=encoded, handleInvalid="keep"),
         VectorAssembler(inputCols=[*encoded, *numbers], outputCol="features"),
         RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED),
     ]
-    labelled = training.withMetadata("label", TWO_CLASSES)
+    labelled = with_categories(training, categories).withMetadata("label", TWO_CLASSES)
     *prepared, trees = Pipeline(stages=stages).fit(labelled).stages
     # A copy leaves the training summary behind: it holds the session, which cannot go to tasks.
     return PipelineModel([*prepared, trees.copy()])
 
 
-def score(model: PipelineModel, df: DataFrame, probability: str) -> DataFrame:
-    return model.transform(df).withColumns({
+def score(model: PipelineModel, df: DataFrame, categories: Sequence[str], probability: str) -> DataFrame:
+    return model.transform(with_categories(df, categories)).withColumns({
         probability: vector_to_array("probability").getItem(1),
         "prediction": F.col("prediction").cast("int"),
     })
 
 
-def area_under_roc(model: PipelineModel, test: DataFrame) -> float:
-    return BinaryClassificationEvaluator().evaluate(model.transform(test))
+def area_under_roc(model: PipelineModel, test: DataFrame, categories: Sequence[str]) -> float:
+    return BinaryClassificationEvaluator().evaluate(model.transform(with_categories(test, categories)))

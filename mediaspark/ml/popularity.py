@@ -15,10 +15,10 @@ def train(features: DataFrame) -> tuple[PipelineModel, float]:
     """Model, and its area under the ROC curve on titles it has not seen."""
     training, test = forest.split(features, "content_id")
     model = forest.fit(training, CATEGORIES, NUMBERS)
-    return model, forest.area_under_roc(model, test)
+    return model, forest.area_under_roc(model, test, CATEGORIES)
 
 
 def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
-    return forest.score(model, features, "popularity_probability").select(
+    return forest.score(model, features, CATEGORIES, "popularity_probability").select(
         "content_id", "title", "primary_genre", "total_views", "popularity_probability", "prediction"
     )

@@ -74,7 +74,7 @@ def test_the_split_is_the_same_in_every_layout(spark):
 def test_churn_learns_from_activity(spark):
     table = spark.range(600).select(
         F.concat(F.lit("u"), "id").alias("user_id"),
-        F.when(F.col("id") % 7 == 0, None).otherwise(F.concat(F.lit("P"), F.col("id") % 3)).alias("plan_id"),
+        F.when(F.col("id") % 7 == 0, None).when(F.col("id") % 7 == 1, " ").otherwise(F.concat(F.lit("P"), F.col("id") % 3)).alias("plan_id"),
         F.lit(10).alias("subscription_duration_days"), F.lit(1).alias("subscriptions_held"),
         *(((F.col("id") % 10) * 1.0).alias(c) for c in ("active_days", "views", "watch_sec", "titles_per_day")),
         F.when(F.col("id") % 10 < 4, 1.0).otherwise(0.0).alias("label"),
@@ -83,6 +83,7 @@ def test_churn_learns_from_activity(spark):
     out = churn.predict(model, table)
     assert out.columns == ["user_id", "plan_id", "subscription_duration_days", "churn_probability", "prediction"]
     assert area > 0.95 and out.count() == 600
+    assert out.filter("plan_id IS NULL").count() > 0 and out.filter("plan_id = ' '").count() > 0  # shown as they came
     assert out.filter("churn_probability NOT BETWEEN 0 AND 1 OR prediction NOT IN (0, 1)").count() == 0
     wrong = out.join(table, "user_id").filter("prediction <> label").count()
     assert wrong < 30
@@ -99,6 +100,18 @@ def test_one_class_still_trains(spark):
     assert churn.predict(model, table).agg(F.max("churn_probability")).first()[0] == 0.0
 
 
+def test_popularity_takes_titles_without_genre_or_language(spark):
+    table = spark.range(80).select(
+        F.concat(F.lit("c"), "id").alias("content_id"), F.lit("t").alias("title"), F.col("id").alias("total_views"),
+        *(F.when(F.col("id") % 3 == 0, "").otherwise("x").alias(c) for c in popularity.CATEGORIES),
+        *((F.col("id") % 5).cast("double").alias(c) for c in popularity.NUMBERS), (F.col("id") % 2).cast("double").alias("label"),
+    )
+    model, _ = popularity.train(table)
+    out = popularity.predict(model, table)
+    assert out.columns == ["content_id", "title", "primary_genre", "total_views", "popularity_probability", "prediction"]
+    assert out.count() == 80
+
+
 def test_popularity_is_not_told_the_views(spark):
     assert "total_views" not in popularity.NUMBERS + popularity.CATEGORIES
 
