@@ -46,32 +46,29 @@ def lexicon(docs: DataFrame, text: str = "text") -> Column:
     total = docs.count()
     counted = docs.select(F.explode(F.array_distinct(terms(F.col(text)))).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("df"))
     band = counted.where((F.col("df") * LOW[1] >= LOW[0] * total) & (F.col("df") * HIGH[1] <= HIGH[0] * total))
-    held = band.select("t", subsets_of(F.col("t")).alias("s"), F.pmod(F.xxhash64("t"), F.lit(SLOTS)).alias("slot")).where(F.size("s") > 0)
+    held = band.select("t", subsets_of(F.col("t")).alias("s"), F.pmod(F.xxhash64("t"), F.lit(SLOTS)).alias("slot"))
     slots: list[list] = [[] for _ in range(SLOTS)]
-    for row in sorted(held.collect()):
-        slots[row.slot].append({"t": row.t, "s": list(row.s)})
+    for row in sorted(held.collect()):  # a filter on s would be pushed below the count, to every occurrence of a term
+        if row.s:
+            slots[row.slot].append({"t": row.t, "s": list(row.s)})
     return F.from_json(F.lit(json.dumps(slots)), ENTRY)
 
 
-def fingerprint(text: Column, slots: Column) -> Column:
-    """Hashes by random lexicon, joined by dashes; of all terms where no lexicon has any of the text's."""
-    distinct = F.array_distinct(terms(text))
-    found = F.flatten(
-        F.transform(distinct, lambda t: F.filter(F.get(slots, F.pmod(F.xxhash64(t), F.lit(SLOTS)).cast("int")), lambda e: e["t"] == t))
-    )
-    return F.struct(F.array_sort(found).alias("found"), F.when(F.size(found) == 0, F.array_sort(distinct)).alias("all"))
-
-
-def hashed(parts: Column) -> Column:
-    """The text form of what ``fingerprint`` found."""
+def with_fingerprint(rows: DataFrame, text: str, slots: Column, name: str) -> DataFrame:
+    """Adds the hashes by random lexicon, joined by dashes; of all terms where no lexicon has any of the text's."""
+    distinct, found = F.col("terms_"), F.col("found_")
+    held = F.transform(distinct, lambda t: F.filter(F.get(slots, F.pmod(F.xxhash64(t), F.lit(SLOTS)).cast("int")), lambda e: e["t"] == t))
 
     def one(j: Column) -> Column:
-        own = F.filter(parts["found"], lambda e: F.array_contains(e["s"], j))
+        own = F.filter(found, lambda e: F.array_contains(e["s"], j))
         joined = F.array_join(F.transform(own, lambda e: e["t"]), " ")
-        return F.when(F.size(own) == 0, F.lit("")).otherwise(F.substring(F.md5(joined.cast("binary")), 1, 8))
+        return F.when(joined == "", F.lit("")).otherwise(F.substring(F.md5(joined.cast("binary")), 1, 8))
 
     several = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), one), "-")
-    return F.when(parts["all"].isNotNull(), F.md5(F.array_join(parts["all"], " ").cast("binary"))).otherwise(several)
+    whole = F.md5(F.array_join(F.array_sort(distinct), " ").cast("binary"))
+    # one step a column: each is used more than once
+    staged = rows.withColumn("terms_", F.array_distinct(terms(F.col(text)))).withColumn("found_", F.array_sort(F.flatten(held)))
+    return staged.withColumn(name, F.when(F.size(found) == 0, whole).otherwise(several)).drop("terms_", "found_")
 
 
 def likeness(one: Column, other: Column) -> Column:

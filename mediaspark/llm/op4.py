@@ -60,13 +60,9 @@ def op4_imatch_fingerprints(spark, folder):
         n.alias("n_chars"),
         F.concat(kept, F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), third)).alias("edited"),
     )
-    found = staged.withColumn("own", imatch.fingerprint(F.col("text"), slots)).withColumn("changed", imatch.fingerprint(F.col("edited"), slots))
-    named = found.select(
-        "doc_id", "text", "ghost_", "b_", "n_chars",
-        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        imatch.hashed(F.col("own")).alias("fingerprint"),
-        imatch.hashed(F.col("changed")).alias("edited_fingerprint"),
-    )
+    own = imatch.with_fingerprint(staged, "text", slots, "fingerprint")
+    both = imatch.with_fingerprint(own, "edited", slots, "edited_fingerprint")
+    named = both.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256)).drop("edited")
     following = named.withColumn("next_fingerprint", F.lead("fingerprint").over(order)).where(~F.col("ghost_"))
     return following.select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
