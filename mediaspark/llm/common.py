@@ -44,6 +44,14 @@ def saved(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(removed_at_exit(df.sparkSession, path))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores behind it as no column of the table has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def fold(key: str, folds: int) -> Column:
     """crc32 of the key as text, modulo the folds; a null key counts as empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % folds

@@ -127,3 +127,15 @@ def identify(text: Column, model: Model) -> Column:
         })
 
     return identified(text)
+
+
+LEAST_CERTAIN = 0.5
+
+
+def filtered(docs: DataFrame, text: str = "text", lang: str = "lang", *, least: float = LEAST_CERTAIN) -> DataFrame:
+    """The documents with a language that is certain enough, with the columns they have.
+
+    ``und`` goes, and so does a text that is a mixture without a main language. Labels are for learning only.
+    """
+    found = identify(F.col(text), learn(docs, text, lang))
+    return docs.where((found["lang"] != UNKNOWN) & (found["score"] >= least))

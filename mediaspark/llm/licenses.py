@@ -19,6 +19,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mediaspark.llm.common import fresh
+
 #: Words are runs of ASCII letters, digits and anything outside ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
@@ -237,7 +239,7 @@ def _unsuppressed(found: Column) -> Column:
 
 def scan(docs: DataFrame, text: str = "text", chosen: tuple[Rule, ...] | None = None) -> DataFrame:
     """Adds ``detections``: start, end, label, priority, rule and confidence of each that is not suppressed."""
-    body, low = "__text", "__low"
+    body, low, found_here = (fresh(docs, name) for name in ("body", "low", "found_here"))
     chosen = rules() if chosen is None else chosen
     staged = docs.withColumn(body, F.coalesce(F.col(text), F.lit(""))).withColumn(low, F.lower(body))
     worth = F.lit(False)
@@ -247,10 +249,10 @@ def scan(docs: DataFrame, text: str = "text", chosen: tuple[Rule, ...] | None =
     found = F.flatten(F.transform(candidates, lambda r: _places(F.col(body), r)))
     kept = F.when(worth, _unsuppressed(found)).otherwise(F.array().cast(DETECTIONS))
     shown = F.transform(
-        F.col("__kept"),
+        F.col(found_here),
         lambda d: F.struct(
             d["start"].alias("start"), (-d["minus_end"]).alias("end"), d["label"].alias("label"),
             (-d["minus_priority"]).alias("priority"), d["rule"].alias("rule"), d["confidence"].alias("confidence"),
         ),
     )
-    return staged.withColumn("__kept", kept).withColumn("detections", shown).drop(body, low, "__kept")
+    return staged.withColumn(found_here, kept).withColumn("detections", shown).drop(body, low, found_here)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mediaspark.llm.common import hashes_of, saved, shingles_of, text_bytes, words_of
+from mediaspark.llm.common import fresh, hashes_of, saved, shingles_of, text_bytes, words_of
 from mediaspark.llm.components import components
 
 COORDINATES = 64
@@ -193,3 +193,13 @@ def _rarest_edits(bare: DataFrame, num: int, den: int) -> DataFrame:
     asked = F.col("size") - F.floor(F.col("size") * num / (den + num))
     n = (asked - (F.col("size") - F.size("found"))).cast("int")
     return gathered.where(n > 0).select("centre", "node", F.explode(F.slice("found", F.lit(1), n)["token"]).alias("token"))
+
+
+def one_of_each(docs: DataFrame, *, size: int = 5, num: int = 80, den: int = 100, text: str = "text") -> DataFrame:
+    """One document of each component, with the columns they have. Rows are numbered and written first, so repeated
+    rows and missing keys do no harm; the first row by number stays, and texts without words are no copies."""
+    item = fresh(docs, "item")
+    numbered = saved(docs.withColumn(item, F.monotonically_increasing_id()))
+    found = near_duplicates(numbered, size=size, num=num, den=den, key=item, text=text)
+    others = found.where("key_ != component").select(F.col("key_").alias(item))
+    return numbered.join(others, item, "left_anti").drop(item)

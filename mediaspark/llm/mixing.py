@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mediaspark.llm.common import saved
+from mediaspark.llm.common import fresh, saved
 
 WEIGHTS = (5, 2, 1)
 BUDGET = 1.5
@@ -137,11 +137,11 @@ def copies(sized: DataFrame, goals: DataFrame, *, seed: int = 0, block: int = BL
     return decided
 
 
-def sized_documents(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """item_, key_, order_, source and size in words of every document, kept in the shared folder."""
+def sized_documents(docs: DataFrame, *, item: str | None = None, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """item_, key_, order_, source and size in words of every document; ``item`` is a column that numbers the rows."""
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
     return docs.select(
-        F.col("item_") if "item_" in docs.columns else F.monotonically_increasing_id().alias("item_"),
+        (F.col(item) if item else F.monotonically_increasing_id()).alias("item_"),
         F.col(key).cast("long").alias("key_"),
         F.xxhash64(F.col(key)).alias("order_"),
         F.col(source).cast("string").alias("source"),
@@ -151,9 +151,9 @@ def sized_documents(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The documents themselves, each as often as the mix takes it, with the columns they have."""
-    columns, taken = docs.columns, "__item"
-    numbered = saved(docs.withColumn(taken, F.monotonically_increasing_id()))
-    sized = saved(sized_documents(numbered.withColumnRenamed(taken, "item_")))
+    item = fresh(docs, "item")
+    numbered = saved(docs.withColumn(item, F.monotonically_increasing_id()))
+    sized = saved(sized_documents(numbered, item=item))
     decided = copies(sized, targets(sized, **options)).where("copies > 0")
-    repeated = numbered.join(decided.withColumnRenamed("item_", taken), taken)
-    return repeated.withColumn(taken, F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*columns)
+    often = decided.select(F.col("item_").alias(item), F.explode(F.sequence(F.lit(1), F.col("copies"))).alias(fresh(docs, "copy")))
+    return numbered.join(often, item).select(*(numbered[c] for c in docs.columns))

@@ -1,8 +1,8 @@
 """Quality rules: hard limits on words, then boosted trees over statistics of each whole text.
 
 ``statistics`` reads every text once, in ``mapInArrow``, and keeps counts and features; ``fit_rules``
-learns from at most ``bound`` labelled rows, chosen by a hash of the key; ``apply_rules`` scores all
-rows with flat node arrays. More repetition, symbols, capitals or table bars can only lower a score.
+learns from a sample of about ``bound`` labelled rows at most, chosen by a hash of the key; ``apply_rules``
+scores all rows with flat node arrays, ``filtered`` does both for tables with other columns. More repetition, symbols, capitals or table bars can only lower a score.
 
 Defined cases: a null or blank text has no words and fails the hard limits; equal rows get equal
 verdicts; labels other than 0 and 1 and labels without a document are not used; without labels of both
@@ -16,8 +16,9 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mediaspark.llm import trees
@@ -98,12 +99,16 @@ def statistics(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     return saved(chosen.mapInArrow(_statistics, SCHEMA))
 
 
-def fit_rules(found: DataFrame, labels: DataFrame, *, label: str = "quality", key: str = "doc_id", bound: int = SAMPLE) -> trees.Forest:
-    """Trees for P(label = 1), from about ``bound`` labelled rows at most."""
+def sample_of(labels: DataFrame, *, label: str = "quality", key: str = "doc_id", bound: int = SAMPLE) -> DataFrame:
+    """About ``bound`` labelled rows at most, the same in every run."""
     known = labels.select(F.col(key).cast("long").alias("key_"), F.col(label).cast("int").alias("label_")).where(F.col("label_").isin(0, 1))
     share = min(1.0, bound / max(1, known.count()))
-    picked = known.where(F.pmod(F.xxhash64("key_"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    rows = found.join(picked, "key_").select("key_", "features", "label_").toPandas()
+    return known.where(F.pmod(F.xxhash64("key_"), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+
+def fit_rules(found: DataFrame, sample: DataFrame) -> trees.Forest:
+    """Trees for P(label = 1) from the sample's rows."""
+    rows = found.join(sample, "key_").select("key_", "features", "label_").toPandas()
     rows = rows.sort_values(["key_", "label_"], kind="stable")
     if not len(rows):
         return trees.constant(1.0)
@@ -124,3 +129,24 @@ def apply_rules(found: DataFrame, forest: trees.Forest, *, threshold: float = TH
     scored = found.mapInArrow(score, "key_ long, " + ", ".join(f"{c} long" for c in COUNTS) + ", score double")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     return scored.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
+
+
+def verdict(text: Column, forest: trees.Forest, *, threshold: float = THRESHOLD) -> Column:
+    """Whether a text is kept, read and scored in one go; for filters on tables with other columns."""
+
+    @F.pandas_udf("boolean")
+    def kept(texts: pd.Series) -> pd.Series:
+        found = [describe((t or "").encode()) for t in texts]
+        scores = forest.probability(np.array([f for _, f in found], float).reshape(-1, len(FEATURES)))
+        failed = [n < LEAST_WORDS or 100 * repeated > MOST_REPEATED * n for (n, *_, repeated), _ in found]
+        return pd.Series((scores >= threshold) & ~np.array(failed, bool))
+
+    return kept(text)
+
+
+def filtered(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents that pass, with the columns they have; the trees learn from the labelled ones among them."""
+    sample = sample_of(labels)
+    keys = sample.select(F.col("key_").alias(key)).distinct()  # bounded like the sample, so it may be sent to all
+    found = statistics(docs.select(key, text).join(F.broadcast(keys), key, "left_semi"), key, text)
+    return docs.where(verdict(F.col(text), fit_rules(found, sample)))

@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mediaspark.llm.common import fresh
+
 # Uniform draws have 53 bits, moved by half a step so that neither 0 nor 1 occurs.
 STEPS = float(2**53)
 
@@ -47,13 +49,13 @@ def number_rows(records: DataFrame, shard: str, order: Sequence[str], *, slot: s
     moved by the rows of the parts before, so no task sorts a whole shard. The table of parts, which is
     all that one window sees, has at most shards × chunks rows.
     """
-    part, before, within = "__part", "__before", "__within"
+    part, before, within, rows = (fresh(records, name) for name in ("part", "before", "within", "rows"))
     dealt = records.withColumn(part, F.pmod(F.xxhash64(*order), F.lit(chunks)).cast("int"))
     earlier = Window.partitionBy(shard).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         dealt.groupBy(shard, part)
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .select(shard, part, F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias(before))
+        .agg(F.count(F.lit(1)).alias(rows))
+        .select(shard, part, F.coalesce(F.sum(rows).over(earlier), F.lit(0)).alias(before))
     )
     numbered = dealt.withColumn(within, F.row_number().over(Window.partitionBy(shard, part).orderBy(*order)) - 1)
     return (
