@@ -247,10 +247,10 @@ def top_content(spark, folder):
     return saved.top_content({"content_watch_metrics": s.watch(spark, folder)})
 
 
-@query("top_content_capped", f"""
+@query("top_content_500", f"""
     SELECT title, content_type, total_views, unique_viewers FROM ({WATCH_SQL})
-    ORDER BY total_views DESC NULLS LAST, content_id LIMIT 50""")
-def top_content_capped(spark, folder):
+    ORDER BY total_views DESC NULLS LAST, content_id LIMIT 500""")
+def top_content_500(spark, folder):
     return saved.top_content({"content_watch_metrics": s.watch(spark, folder)}, limit=500)
 
 
@@ -374,10 +374,9 @@ SINCE = f"""(SELECT *, max(event_ts) OVER () AS as_of FROM ({s.VIEWING_EVENTS_SQ
 
 
 def _live(spark, folder):
-    """Events, and their last time as a constant, so that the time filter reaches the scan."""
+    """Events, and their last time as a subquery of the same plan."""
     events = s.viewing_events(spark, folder)
-    last = events.agg(F.max("event_ts").cast("string")).first()[0]
-    return events, F.lit(last).cast("timestamp_ntz")
+    return events, events.agg(F.max("event_ts").cast("timestamp_ntz")).scalar()
 
 
 TOTALS_SQL = f"""
@@ -468,14 +467,14 @@ def kpi_genre_shares(spark, folder):
 
 
 @query("kpi_most_watched", f"""
-    SELECT content_id, substr(title, 1, 30) AS short_title, total_views FROM ({WATCH_SQL})
+    SELECT content_id, title, substr(title, 1, 30) AS short_title, total_views FROM ({WATCH_SQL})
     ORDER BY total_views DESC NULLS LAST, content_id LIMIT 15""")
 def kpi_most_watched(spark, folder):
     return kpis.most_watched(s.watch(spark, folder))
 
 
 @query("kpi_best_rated", f"""
-    SELECT content_id, substr(title, 1, 30) AS short_title, round(avg_rating, 9) AS avg_rating FROM ({RATED_SQL})
+    SELECT content_id, title, substr(title, 1, 30) AS short_title, round(avg_rating, 9) AS avg_rating FROM ({RATED_SQL})
     WHERE rating_count >= 5 ORDER BY r.avg_rating DESC NULLS LAST, content_id LIMIT 15""".replace(f"FROM ({RATED_SQL})", f"FROM ({RATED_SQL}) r"))
 def kpi_best_rated(spark, folder):
     return shown(kpis.best_rated(s.rated(spark, folder)), avg_rating=9)
@@ -785,7 +784,7 @@ def _layers(spark, folder):
     layout = _shared_layout(spark)
     runs = {
         "bronze": bronze_job.run(spark, layout, _sources(spark, folder)),
-        "silver": silver_job.run(spark, layout, s.AS_OF),
+        "silver": silver_job.run(spark, layout, s.AS_OF, zone=s.ZONE),
         "gold": gold_job.run(spark, layout),
     }
     return layout, runs
@@ -819,12 +818,9 @@ JOB_ROWS = (
 @query("job_layers", " UNION ALL ".join(
     f"""SELECT '{layer}' AS layer, '{table}' AS "table", count(*) AS "rows" FROM {source} t""" for layer, table, source in JOB_ROWS))
 def job_layers(spark, folder):
-    """Rows that each job counted while it wrote; the day is cut in the session's zone, so days are counted in ours."""
-    layout, runs = _layers(spark, folder)
-    days = read_table(spark, layout, "silver", "viewing_events").select(temporal.local_date(F.col("event_ts"), s.ZONE))
-    counted = quality.union_all(runs[layer].select(F.lit(layer).alias("layer"), "table", "rows") for layer in runs)
-    in_zone = days.distinct().agg(F.count(F.lit(1))).scalar()
-    return counted.withColumn("rows", F.when(F.col("table") == "daily_active_users", in_zone).otherwise(F.col("rows")))
+    """Rows that each job counted while it wrote."""
+    _, runs = _layers(spark, folder)
+    return quality.union_all(runs[layer].select(F.lit(layer).alias("layer"), "table", "rows") for layer in runs)
 
 
 def _job_checks_sql() -> str:
@@ -921,29 +917,28 @@ def _timed_stream(spark, folder):
     return _event_stream(spark, folder).withColumn("event_ts", utc)
 
 
-@query("stream_traffic_window", _windows_sql(30, 10, closed=True))
+@query("stream_traffic_window", _windows_sql(30, 1, closed=True))
 def stream_traffic_window(spark, folder):
-    """Windows of 30 minutes every 10; those the watermark has closed are written."""
-    return shown(_through_stream(spark, live.traffic_windows(_timed_stream(spark, folder), slide="10 minutes")))
+    """Windows of 30 minutes every minute; those the watermark has closed are written."""
+    return shown(_through_stream(spark, live.traffic_windows(_timed_stream(spark, folder))))
 
 
 @query("stream_traffic_window_approximate")
 def stream_traffic_window_approximate(spark, folder):
-    windows = live.traffic_windows(_timed_stream(spark, folder), slide="10 minutes", exact=False)
+    windows = live.traffic_windows(_timed_stream(spark, folder), exact=False)
     return shown(_through_stream(spark, windows))
 
 
 @query("stream_traffic_by_genre", f"""
     SELECT CAST(window_end - INTERVAL 30 MINUTE AS VARCHAR) AS window_start, CAST(window_end AS VARCHAR) AS window_end, genre,
            count(*) AS events, count(DISTINCT user_id) AS users
-    FROM (SELECT user_id, content_id, time_bucket(INTERVAL 30 MINUTE, event_ts) + INTERVAL 30 MINUTE AS window_end FROM ({s.VIEWING_EVENTS_SQL}))
+    FROM (SELECT user_id, content_id, date_trunc('minute', event_ts) + INTERVAL 1 MINUTE * n AS window_end FROM ({s.VIEWING_EVENTS_SQL}), range(1, 31) r(n))
     JOIN (SELECT content_id, unnest(genre_array) AS genre FROM ({s.CONTENT_SQL})) USING (content_id)
     WHERE window_end <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM events) GROUP BY window_end, genre""")
 def stream_traffic_by_genre(spark, folder):
-    """Windows of 30 minutes per genre, by a join of the stream to the titles."""
+    """Windows of 30 minutes every minute per genre; events meet the titles as counts per minute, title and user."""
     events = _timed_stream(spark, folder).withColumn("content_id", F.get_json_object("props", "$.k").cast("bigint"))
-    by_genre = live.with_genre(events, s.content(spark, folder))
-    return shown(_through_stream(spark, live.traffic_windows(by_genre, ["genre"], slide="30 minutes")))
+    return shown(_through_stream(spark, live.genre_windows(events, s.content(spark, folder))))
 
 
 @query("stream_minute_activity", """

@@ -70,5 +70,5 @@ def budget_amount(budget: Column) -> Column:
 
 
 def chart_label(title: Column) -> Column:
-    """Title cut for a chart axis."""
+    """Title cut for a chart axis; it stands beside the title, not in its place."""
     return F.substring(title, 1, LABEL_WIDTH)

@@ -29,11 +29,11 @@ def require(layer: str, results: DataFrame) -> None:
         raise ChecksFailed(layer, failed)
 
 
-def run(spark: SparkSession, layout: LakeLayout, sources, as_of=None, als_blocks: int = 10) -> dict[str, DataFrame]:
+def run(spark: SparkSession, layout: LakeLayout, sources, as_of=None, als_blocks: int = 10, zone: str | None = None) -> dict[str, DataFrame]:
     """Rows written per table, for each layer."""
     steps = {
         "bronze": lambda: bronze.run(spark, layout, sources),
-        "silver": lambda: silver.run(spark, layout, as_of),
+        "silver": lambda: silver.run(spark, layout, as_of, zone),
         "gold": lambda: gold.run(spark, layout),
         "models": lambda: models.run(spark, layout, as_of, als_blocks),
     }
@@ -54,7 +54,7 @@ def main() -> None:
     spark, layout = session_and_layout("all-layers", given)
     try:
         sources = bronze.given_sources(spark, given)
-        for rows in run(spark, layout, sources, given.as_of, given.als_blocks).values():
+        for rows in run(spark, layout, sources, given.as_of, given.als_blocks, given.zone).values():
             report(rows)
     except ChecksFailed as failure:
         print(failure, file=sys.stderr)

@@ -30,4 +30,4 @@ def session_and_layout(name: str, given: argparse.Namespace):
 
 
 def report(rows: DataFrame) -> None:
-    rows.show(1000, truncate=False)
+    rows.show(rows.count(), truncate=False)

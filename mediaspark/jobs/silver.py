@@ -13,8 +13,8 @@ from mediaspark.sinks.tables import overwrite, row_counts, run_together
 from mediaspark.sources.tables import read_if_present, read_table
 
 
-def run(spark: SparkSession, layout: LakeLayout, as_of=None) -> DataFrame:
-    """Returns table and rows. Viewing events are written one folder per day."""
+def run(spark: SparkSession, layout: LakeLayout, as_of=None, zone: str | None = None) -> DataFrame:
+    """Returns table and rows. Viewing events are written one folder per day, cut in ``zone`` or the session's."""
 
     def bronze(name):
         return read_table(spark, layout, "bronze", name)
@@ -26,7 +26,7 @@ def run(spark: SparkSession, layout: LakeLayout, as_of=None) -> DataFrame:
         "campaigns": silver.campaigns(bronze("campaigns")),
         "ratings_clean": silver.ratings(bronze("ratings")),
         "viewing_events": silver.events(
-            bronze("viewing_events_batch"), read_if_present(spark, layout, "bronze", "viewing_events")
+            bronze("viewing_events_batch"), read_if_present(spark, layout, "bronze", "viewing_events"), zone
         ),
     }
     by_day = {"viewing_events": ["event_date"]}
@@ -42,7 +42,7 @@ def main() -> None:
     parser.add_argument("--as-of", default=None, help="day that counts as today")
     given = parser.parse_args()
     spark, layout = session_and_layout("silver", given)
-    report(run(spark, layout, given.as_of))
+    report(run(spark, layout, given.as_of, given.zone))
     spark.stop()
 
 

@@ -37,7 +37,7 @@ def most_watched(watch: DataFrame) -> DataFrame:
     return (
         watch.orderBy(F.desc_nulls_last("total_views"), "content_id", "title", "content_type")
         .limit(CHART_ROWS)
-        .select("content_id", text.chart_label(F.col("title")).alias("short_title"), "total_views")
+        .select("content_id", "title", text.chart_label(F.col("title")).alias("short_title"), "total_views")
     )
 
 
@@ -54,7 +54,7 @@ def best_rated(summary: DataFrame) -> DataFrame:
         .filter(F.col("rating_count") >= FEWEST_RATINGS)
         .orderBy(F.desc_nulls_last("avg_rating"), "content_id", "title", "content_type")
         .limit(CHART_ROWS)
-        .select("content_id", text.chart_label(F.col("title")).alias("short_title"), "avg_rating")
+        .select("content_id", "title", text.chart_label(F.col("title")).alias("short_title"), "avg_rating")
     )
 
 

@@ -6,6 +6,8 @@ values come out the same way each time. No match is an empty result, not an erro
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +17,6 @@ Tables = Mapping[str, DataFrame]
 
 # Limits, thresholds, the user asked for by default and the tables watched.
 DEFAULT_LIMIT = 10
-LARGEST_LIMIT = 50
 RECENT_DAYS = 15
 RISKIEST_USERS = 15
 FEWEST_RATINGS = 5
@@ -31,14 +32,14 @@ WATCHED_TABLES = (
 
 
 def row_limit(value=None) -> int:
-    """A usable limit: the default for none or nonsense, at most the largest, at least 1."""
+    """The limit asked for, as a whole number of at least 1; the default where none is given."""
     try:
         limit = int(DEFAULT_LIMIT if value is None else value)
     except (TypeError, ValueError):
-        return DEFAULT_LIMIT
+        raise ValueError(f"limit must be a number, not {value!r}") from None
     if limit < 1:
         raise ValueError(f"limit must be at least 1, not {limit}")
-    return min(limit, LARGEST_LIMIT)
+    return limit
 
 
 def _highest(column: str):
@@ -180,11 +181,25 @@ def overall_health(health: DataFrame) -> DataFrame:
 def query_analytics(spark: SparkSession, tables: Tables, sql: str) -> DataFrame:
     """Run the caller's own query with every table visible under its name.
 
-    The text is planned as a subquery, so a statement that changes anything does not parse.
+    The text is planned as a subquery, so a statement that changes anything does not parse, and it may
+    name the given tables and its own CTEs only. The views it is planned with have names of their own and
+    are dropped again, so views of the caller's stay as they are.
     """
     text = sql.strip().rstrip(";")
     if not text:
         raise ValueError("there is no query to run")
-    for name, table in tables.items():
-        table.createOrReplaceTempView(name)
-    return spark.sql(f"SELECT * FROM (\n{text}\n)")
+    whole = f"SELECT * FROM (\n{text}\n)"
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(whole).toString()
+    own = {name.strip().lower() for names in re.findall(r"CTE \[([^\]]*)\]", plan) for name in names.split(",")}
+    named = {name.lower() for name in re.findall(r"'UnresolvedRelation \[([^\]]*)\]", plan)}
+    if refused := named - own - {name.lower() for name in tables}:
+        raise ValueError(f"the query may not read {', '.join(sorted(refused))}")
+    views = {name: f"{name}_{uuid.uuid4().hex}" for name in tables}
+    for name, view in views.items():
+        tables[name].createOrReplaceTempView(view)
+    try:
+        defined = ", ".join(f"{name} AS (SELECT * FROM {view})" for name, view in views.items())
+        return spark.sql(f"WITH {defined} {whole}" if defined else whole)
+    finally:
+        for view in views.values():
+            spark.catalog.dropTempView(view)

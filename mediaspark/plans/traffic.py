@@ -5,7 +5,7 @@ Where the table is partitioned by ``event_date``, the time filter also prunes fo
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mediaspark.functions import temporal
@@ -102,19 +102,30 @@ def streaming_traffic(
 def sliding_from_minutes(activity: DataFrame, dimensions=(), minutes: int = LIVE_MINUTES) -> DataFrame:
     """Sliding windows, one per minute, from the per-minute table; users are counted exactly.
 
-    Each (minute, user) row is placed in the windows that contain it.
+    A user is in the windows that end 1 to ``minutes`` minutes after an active one. Where such runs of windows
+    begin and end is told by the user's minute before and after, so each row gives two changes at most, and a
+    running sum over minutes gives the numbers. The windows over minutes see a row a minute and dimension value.
     """
-    ends = F.explode(F.sequence(F.lit(1), F.lit(minutes))).alias("ahead")
-    placed = activity.select("*", ends).withColumn(
-        "window_end", F.col("minute") + F.make_dt_interval(mins=F.col("ahead"))
-    )
-    per_user = placed.groupBy("window_end", *dimensions, "user_id").agg(F.sum("events").alias("events"))
-    return per_user.groupBy("window_end", *dimensions).agg(
-        F.sum("events").alias("events"), F.count("user_id").alias("users")
-    ).select(
-        (F.col("window_end") - F.make_dt_interval(mins=F.lit(minutes))).alias("window_start"),
-        "window_end",
-        *dimensions,
-        "events",
-        "users",
+    length = F.make_dt_interval(mins=F.lit(minutes))
+    step = F.make_dt_interval(mins=F.lit(1))
+    mine = Window.partitionBy(*dimensions, "user_id").orderBy("minute")
+    before, after = F.lag("minute").over(mine), F.lead("minute").over(mine)
+    row = F.when(F.col("user_id").isNull(), 0)  # events without a user count, users do not
+    begins = row.when(before.isNull() | (F.col("minute") - before > length), 1).otherwise(0)
+    ends = row.when(after.isNull() | (after - F.col("minute") > length), -1).otherwise(0)
+    single = activity.groupBy("minute", *dimensions, "user_id").agg(F.sum("events").alias("events"))
+    moved = single.select("minute", *dimensions, "events", begins.alias("begins"), ends.alias("ends"))
+    change = F.inline(F.array(
+        F.struct((F.col("minute") + step).alias("at"), F.col("events").alias("e"), F.col("begins").alias("u")),
+        F.struct((F.col("minute") + step + length).alias("at"), (-F.col("events")).alias("e"), F.col("ends").alias("u")),
+    ))
+    changes = moved.select(*dimensions, change).groupBy("at", *dimensions).agg(F.sum("e").alias("e"), F.sum("u").alias("u"))
+    in_time = Window.partitionBy(*dimensions).orderBy("at")
+    running = in_time.rowsBetween(Window.unboundedPreceding, 0)
+    numbers = changes.select(
+        "at", *dimensions, F.sum("e").over(running).alias("events"), F.sum("u").over(running).alias("users"), F.lead("at").over(in_time).alias("next")
+    ).where("events > 0")  # the last change leaves no events, so there is a next one
+    window_end = F.explode(F.sequence(F.col("at"), F.col("next") - step, step)).alias("window_end")
+    return numbers.select(*dimensions, "events", "users", window_end).select(
+        (F.col("window_end") - length).alias("window_start"), "window_end", *dimensions, "events", "users"
     )

@@ -52,6 +52,26 @@ def minute_activity(events: DataFrame, dimensions: Sequence[str] = (), lateness:
     )
 
 
+def genre_windows(
+    events: DataFrame, content: DataFrame, *, length: str = "30 minutes", slide: str = "1 minute", lateness: str = LATENESS
+) -> DataFrame:
+    """Events and exact users per window and genre.
+
+    Events are counted per minute, title and user before they meet the titles, so a title with most of the
+    events is as many rows as it has viewers in a minute. ``slide`` is a multiple of a minute.
+    """
+    minutes = (
+        events.withWatermark("event_ts", lateness)
+        .groupBy(F.window("event_ts", "1 minute").alias("minute"), "content_id", "user_id")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(F.window_time("minute").alias("at"), "content_id", "user_id", "n")
+    )
+    window = F.window("at", length, slide)
+    per_user = with_genre(minutes, content).groupBy(window.alias("window"), "genre", "user_id").agg(F.sum("n").alias("events"))
+    counted = per_user.groupBy("window", "genre").agg(F.sum("events").alias("events"), F.count("user_id").alias("users"))
+    return counted.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "genre", "events", "users")
+
+
 def traffic_windows(
     events: DataFrame,
     dimensions: Sequence[str] = (),

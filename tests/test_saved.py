@@ -10,13 +10,13 @@ from tests.helpers import collected, frame, plan_of
 WATCH = "content_id string, title string, content_type string, total_views long, unique_viewers long"
 
 
-@pytest.mark.parametrize("given,used", [(None, 10), (3, 3), ("7", 7), (50, 50), (51, 50), ("many", 10), ([], 10)])
+@pytest.mark.parametrize("given,used", [(None, 10), (3, 3), ("7", 7), (50, 50), (51, 51), (500, 500)])
 def test_limits(given, used):
     assert saved.row_limit(given) == used
 
 
-@pytest.mark.parametrize("given", [0, -1, "-5"])
-def test_limits_below_one_are_refused(given):
+@pytest.mark.parametrize("given", [0, -1, "-5", "many", []])
+def test_other_limits_are_refused(given):
     with pytest.raises(ValueError):
         saved.row_limit(given)
 
@@ -106,6 +106,20 @@ def test_query_analytics_runs_queries_only(spark):
             saved.query_analytics(spark, tables, none)
 
 
+def test_query_analytics_reads_the_given_tables_only(spark, tmp_path):
+    tables = {"genres": frame(spark, "genre string", ("A",))}
+    frame(spark, "x long", (1,)).write.parquet(f"{tmp_path}/t")
+    frame(spark, "x long", (1,)).createOrReplaceTempView("genres")  # the caller's own view of that name
+    frame(spark, "x long", (1,)).createOrReplaceTempView("elsewhere")
+    for sql in (f"SELECT * FROM parquet.`{tmp_path}/t`", "SELECT * FROM elsewhere", "SELECT (SELECT max(x) FROM elsewhere) FROM genres",
+                "WITH t AS (SELECT * FROM elsewhere) SELECT * FROM t"):
+        with pytest.raises(ValueError, match="may not read"):
+            saved.query_analytics(spark, tables, sql)
+    assert in_order(saved.query_analytics(spark, tables, "SELECT genre FROM GENRES WHERE genre IN (SELECT genre FROM genres)")) == [("A",)]
+    assert spark.table("genres").columns == ["x"]
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("genres_")]
+
+
 def test_overview(spark):
     daily = frame(
         spark, "event_date string, daily_active_users long, total_views long, total_watch_time_sec double",
@@ -125,7 +139,7 @@ def test_charts(spark):
         spark, "content_id string, title string, content_type string, avg_rating string, rating_count string",
         ("c1", "T" * 40, "m", "4.5", "5"), ("c2", "B", "m", "n/a", "9"), ("c3", "C", "m", "5.0", "x"), ("c4", "D", "m", "4.6", "5"),
     )
-    assert in_order(kpis.best_rated(rated)) == [("c4", "D", 4.6), ("c1", "T" * 30, 4.5), ("c2", "B", None)]
+    assert in_order(kpis.best_rated(rated)) == [("c4", "D", "D", 4.6), ("c1", "T" * 40, "T" * 30, 4.5), ("c2", "B", "B", None)]
     genres = frame(spark, "genre string, total_views long", *[(f"g{i:02}", i % 3) for i in range(12)])
     assert [row[0] for row in in_order(kpis.genre_shares(genres))][:5] == ["g02", "g05", "g08", "g11", "g01"]
     assert kpis.genre_shares(genres).count() == 10

@@ -133,7 +133,7 @@ def test_stream_is_joined_to_titles(spark, tmp_path, lake):
     inbox = tmp_path / "in"
     drop(inbox, "1.json", [message(0, "e1", 0, "a", "c1"), message(1, "e2", 1, "b", "c2"), message(2, "e3", 1, "b", "gone"), message(3, "e4", 99)])
     content = frame(spark, "content_id string, genre_array array<string>", ("c1", ["A", "B"]), ("c2", ["B"]))
-    windows = live.traffic_windows(live.with_genre(stream_of(spark, inbox), content), ["genre"], length="30 minutes", slide="30 minutes")
+    windows = live.genre_windows(stream_of(spark, inbox), content, slide="30 minutes")
     assert collected(run(spark, windows, lake, "g"), "genre", "events", "users") == [("A", 1, 1), ("B", 2, 2)]
 
 
