@@ -31,7 +31,7 @@ def run(spark: SparkSession, layout: LakeLayout) -> DataFrame:
         "daily_active_users": gold.daily_active_users(events),
         "content_watch_metrics": gold.content_watch_from_viewers(viewers, content),
         "genre_popularity": gold.genre_popularity_from_viewers(viewers, content),
-        "user_engagement": gold.user_engagement(events),
+        "user_engagement": gold.user_engagement_from_viewers(viewers, events),
         "subscription_metrics": gold.subscription_metrics(subscriptions),
         "content_ratings_summary": gold.content_ratings_summary(ratings, content),
     }

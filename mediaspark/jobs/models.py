@@ -13,6 +13,7 @@ from mediaspark.sources.tables import read_table
 
 USER_FEATURES = "user_features"
 CONTENT_FEATURES = "content_features"
+MODEL_METRICS = "model_metrics"
 USER_NUMBERS = "user_numbers"
 TITLE_NUMBERS = "title_numbers"
 
@@ -38,10 +39,12 @@ def run(spark: SparkSession, layout: LakeLayout, as_of=None, als_blocks: int = 1
             silver("content_enriched"), gold("content_watch_metrics"), gold("content_ratings_summary")
         ),
     )
-    model, _ = churn.train(gold(USER_FEATURES))
+    model, churn_area = churn.train(gold(USER_FEATURES))
     write("user_churn_prediction", churn.predict(model, gold(USER_FEATURES)), ["user_id"])
-    model, _ = popularity.train(gold(CONTENT_FEATURES))
+    model, popularity_area = popularity.train(gold(CONTENT_FEATURES))
     write("content_popularity_prediction", popularity.predict(model, gold(CONTENT_FEATURES)))
+    areas = [("user_churn_prediction", churn_area), ("content_popularity_prediction", popularity_area)]
+    write(MODEL_METRICS, spark.createDataFrame(areas, "model string, area_under_roc double"))
     write(USER_NUMBERS, recommend.user_numbers(gold(VIEWERS)))
     write(TITLE_NUMBERS, recommend.title_numbers(gold(VIEWERS)))
     best = recommend.recommend(

@@ -146,3 +146,19 @@ def test_lookup_tables_are_sorted_within_their_files(spark, tmp_path):
     for file in (tmp_path / "t").glob("*.parquet"):
         ids = pq.read_table(file)["user_id"].to_pylist()
         assert ids == sorted(ids)
+
+
+def test_questions_are_answered_from_the_tables_of_the_lake(spark, lake):
+    from mediaspark.jobs import ask
+
+    layout, _ = lake
+    for name in ("top_content", "genre_popularity", "subscriptions", "kpi_overview", "kpi_most_watched", "watch_hours_histogram"):
+        assert ask.answer(spark, layout, name).count() > 0, name
+    assert ask.answer(spark, layout, "top_content", {"limit": "2"}).count() == 2
+    assert ask.answer(spark, layout, "query_analytics", {"sql": "SELECT count(*) AS n FROM genre_popularity"}).first()[0] > 0
+    assert ask.answer(spark, layout, "pipeline_health").count() == len(saved.WATCHED_TABLES)
+    assert ask.answer(spark, layout, "streaming_traffic", {"dimension": "genre"}).columns == ["genre", "events", "users"]
+    with pytest.raises(ValueError, match="no query"):
+        ask.answer(spark, layout, "anything")
+    with pytest.raises(ValueError, match="may not read"):
+        ask.answer(spark, layout, "query_analytics", {"sql": "SELECT * FROM nowhere"})
