@@ -131,7 +131,7 @@ def best_fit(sizes: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def _packed(ids: list[int], fills: np.ndarray, members: list, capacity: int, last: bool) -> pa.RecordBatch:
+def _packed(ids: list[int], fills: np.ndarray, members: list, capacity: int, block: int, last: bool) -> pa.RecordBatch:
     """Best-fit one block; ``members`` has items and offsets of each entry."""
     rows = []
     for entries in best_fit(fills, capacity):
@@ -144,14 +144,14 @@ def _packed(ids: list[int], fills: np.ndarray, members: list, capacity: int, las
             at += int(fills[e])
         rows.append((ids[entries[0]], at, items, offsets))
     rows.sort(key=lambda r: r[1])
-    hand_on = 0 if last else min(BLOCK // 4, sum(r[1] < NEARLY_FULL * capacity for r in rows))
+    hand_on = 0 if last else min(block // 4, sum(r[1] < NEARLY_FULL * capacity for r in rows))
     columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
     kinds = (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()))
     arrays = [pa.array(x, t) for x, t in zip(columns, kinds, strict=True)]
     return pa.RecordBatch.from_arrays([*arrays, pa.array([i < hand_on for i in range(len(rows))])], ["bin", "fill", "items", "offsets", "open"])
 
 
-def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+def pack(items: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) -> DataFrame:
     """item_, sequence_id and offset for each (item_, length); lengths lie in 1 … capacity."""
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,17 +160,17 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         for batch in batches:
             ids += batch.column("item_").to_pylist()
             sizes += batch.column("length").to_pylist()
-            while len(ids) >= BLOCK:
-                yield _packed(ids[:BLOCK], np.array(sizes[:BLOCK]), [([i], [0]) for i in ids[:BLOCK]], capacity, False)
-                ids, sizes = ids[BLOCK:], sizes[BLOCK:]
+            while len(ids) >= block:
+                yield _packed(ids[:block], np.array(sizes[:block]), [([i], [0]) for i in ids[:block]], capacity, block, False)
+                ids, sizes = ids[block:], sizes[block:]
         if ids:
-            yield _packed(ids, np.array(sizes), [([i], [0]) for i in ids], capacity, False)
+            yield _packed(ids, np.array(sizes), [([i], [0]) for i in ids], capacity, block, False)
 
     def merged(last: bool):
         def merge(table: pa.Table) -> pa.Table:
             table = table.sort_by("bin")
             members = list(zip(table["items"].to_pylist(), table["offsets"].to_pylist(), strict=True))
-            return pa.Table.from_batches([_packed(table["bin"].to_pylist(), table["fill"].to_numpy(), members, capacity, last)])
+            return pa.Table.from_batches([_packed(table["bin"].to_pylist(), table["fill"].to_numpy(), members, capacity, block, last)])
 
         return merge
 
@@ -178,7 +178,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     level = saved(items.where(F.col("length") < capacity).select("item_", "length").mapInArrow(local, BINS))
     done = [level.where("NOT open")]
     while left := (open_bins := level.where("open")).count():
-        blocks = -(-left * 2 // BLOCK)  # half full on average, so that chance does not overfill one
+        blocks = -(-left * 2 // block)  # half full on average, so that chance does not overfill one
         group = F.pmod(F.xxhash64("bin"), F.lit(blocks))
         level = saved(open_bins.groupBy(group.alias("block")).applyInArrow(merged(blocks == 1), BINS))
         done.append(level.where("NOT open"))
