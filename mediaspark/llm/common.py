@@ -41,7 +41,17 @@ def saved(df: DataFrame) -> DataFrame:
     """The same rows from a table in the shared folder: lineage is cut and lost executors cost nothing."""
     path = scratch(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(removed_at_exit(df.sparkSession, path))
+    table = df.sparkSession.read.schema(df.schema).parquet(removed_at_exit(df.sparkSession, path))
+    table.saved_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete saved tables that no later result reads; what was derived from them must be saved itself."""
+    for table in tables:
+        spark = table.sparkSession
+        target = spark._jvm.org.apache.hadoop.fs.Path(table.saved_at)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def fresh(df: DataFrame, name: str) -> str:

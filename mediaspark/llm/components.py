@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mediaspark.llm.common import saved
+from mediaspark.llm.common import discard, saved
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -32,7 +32,8 @@ def components(edges: DataFrame) -> DataFrame:
     edges = saved(edges.where("u != v").select("u", "v").distinct())
     state = None
     while True:
-        edges = saved(_small(_large(edges)))
+        edges, last = saved(_small(_large(edges))), edges
+        discard(last)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % (1 << 40))).first()
         if now == state or not now[0]:
             break

@@ -9,9 +9,10 @@
 3. Within a list every class is compared with one centre only, the class that collides most. Comparing gives the
    exact symmetric difference, its edits of the centre.
 4. Two classes of a list that are both linked to its centre are connected already. If one is not, they can only be
-   linked if they share edits, more than num / (den + num) of either's: edits are posted in turn, one side in full,
-   the other with the rarest prefix, and the shared ones give the exact similarity. No list is ever expanded into all
-   its pairs, and no link between different texts is lost.
+   linked if they share edits: more than num / (den + num) of those of any class whose partner is not linked, and at
+   least (den + num) / 2 den of those by which an unlinked class exceeds what a link allows. So edits are posted in
+   turn, each class under its rarest prefix only, and the shared ones give the exact similarity. No list is ever
+   expanded into all its pairs, and no link between different texts is lost.
 5. Components follow from the links by alternating stars.
 
 Defined cases: a null text or one without words has an empty set and is linked with nothing; a text with fewer words
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mediaspark.llm.common import fresh, hashes_of, saved, shingles_of, text_bytes, words_of
+from mediaspark.llm.common import discard, fresh, hashes_of, saved, shingles_of, text_bytes, words_of
 from mediaspark.llm.components import components
 
 COORDINATES = 64
@@ -164,17 +165,22 @@ def near_duplicates(
     # posting under edits of the centre, where some class of it is not linked
     unlinked = compared.where("NOT linked")
     open_rows = compared.join(unlinked.select("centre").distinct(), "centre", "left_semi")
-    every = open_rows.select("centre", "node", "edits", F.explode("edits").alias("token"))
-    bare = every.select("centre", "node", F.size("edits").alias("size"), "token")
-    prefix = _rarest_edits(bare, num, den)
-    left = unlinked.select("centre", F.col("node").alias("a"), F.explode("edits").alias("token"))
-    candidates = left.join(prefix.withColumnRenamed("node", "b"), ["centre", "token"]).where("a != b").select("centre", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    rare = saved(_rarest_edits(open_rows, num, den))
+    own = rare.where("NOT linked").select("centre", F.col("node").alias("a"), "token", "by_unlinked", F.col("rest").alias("ra"), F.col("need").alias("da"))
+    partner = rare.select("centre", F.col("node").alias("b"), "token", F.col("by_unlinked").alias("other"), "linked", F.col("rest").alias("rb"), F.col("need").alias("db"))
+    # of two unlinked classes both keep to the shorter prefix, and a pair is made once
+    useful = F.col("linked") | (F.col("by_unlinked") & F.col("other") & (F.col("a") < F.col("b")))
+    # at the first edit that two share, what is left of either's must be enough for a link
+    enough = 2 * (den + num) * F.least("ra", "rb") >= F.col("da") + F.col("db")
+    met = own.join(partner.where("linked OR other"), ["centre", "token"]).where(useful & enough)
+    candidates = met.select("centre", "a", "b").distinct()
     one, other = (compared.select("centre", F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("edits").alias(f"e{x}")) for x in "ab")
     apart = F.size("ea") + F.size("eb") - 2 * F.size(F.array_intersect("ea", "eb"))
     confirmed = candidates.join(one, ["centre", "a"]).join(other, ["centre", "b"]).where((den - num) * (F.col("na") + F.col("nb")) >= (den + num) * apart)
 
     links = compared.where("linked").select(F.col("node").alias("u"), F.col("centre").alias("v")).union(confirmed.select("a", "b"))
     rooted = components(links)
+    discard(posts, pairs, items, compared, rare)
     labels = rooted.join(classes, "node").select("node", "root", "label")
     named = labels.groupBy("root").agg(F.min("label").alias("component"))
     of_node = labels.join(named, "root").select("node", "component")
@@ -186,13 +192,29 @@ def near_duplicates(
     )
 
 
-def _rarest_edits(bare: DataFrame, num: int, den: int) -> DataFrame:
-    """centre, node, token: of each row's edits the prefix that any row sharing enough of them must meet."""
+def _rarest_edits(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """centre, node, linked, token: of each class's edits the prefix that any class sharing enough of them must meet.
+
+    ``by_unlinked`` tells the shorter prefix, for partners that are not linked to the centre either. Edits that no
+    other class of the centre has are counted, not posted. ``rest`` is how many edits that others have too are left
+    from this one on, ``need`` this class's part of what a link asks for, 2 (den + num) times the edits shared.
+    """
+    size = F.size("edits")
+    allowed = (den - num) * F.col("both")
+    of_unlinked = F.floor(size * num / (den + num)) + 1
+    of_any = F.ceil(((den + num) * size - allowed) / (2 * den))
+    bare = rows.select(
+        "centre", "node", "linked", F.explode("edits").alias("token"), ((den + num) * size - (den - num) * F.col("n")).alias("need"),
+        F.when(F.col("linked"), of_unlinked).otherwise(of_any).alias("least"),
+        F.when(F.col("linked"), of_unlinked).otherwise(F.greatest(of_unlinked, of_any)).alias("least_unlinked"),
+    )
     common = bare.groupBy("centre", "token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    gathered = bare.join(common, ["centre", "token"]).groupBy("centre", "node", "size").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("found"))
-    asked = F.col("size") - F.floor(F.col("size") * num / (den + num))
-    n = (asked - (F.col("size") - F.size("found"))).cast("int")
-    return gathered.where(n > 0).select("centre", "node", F.explode(F.slice("found", F.lit(1), n)["token"]).alias("token"))
+    keys = ["centre", "node", "linked", "need", "least", "least_unlinked"]
+    gathered = bare.join(common, ["centre", "token"]).groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("found"))
+    n, short = ((F.size("found") - F.col(c) + 1).cast("int") for c in ("least", "least_unlinked"))
+    chosen = F.posexplode(F.slice("found", F.lit(1), n)["token"]).alias("place", "token")
+    posted = gathered.where(n > 0).select(*keys[:4], short.alias("short"), F.size("found").alias("common"), chosen)
+    return posted.select(*keys[:4], "token", (F.col("place") < F.col("short")).alias("by_unlinked"), (F.col("common") - F.col("place")).alias("rest"))
 
 
 def one_of_each(docs: DataFrame, *, size: int = 5, num: int = 80, den: int = 100, text: str = "text") -> DataFrame:
