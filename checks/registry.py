@@ -5,7 +5,9 @@ Dates and times are shown as text and sums rounded, so that both engines print a
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -739,11 +741,15 @@ def trace_overview(spark, folder):
 
 
 def _shared_layout(spark: SparkSession) -> LakeLayout:
-    """A new folder in the cluster's shared place; a local one only where none is set."""
+    """A new folder in the cluster's shared place, deleted when the driver ends; one of our own only where none is set."""
     base = shared_folder(spark)
     if base is None:
-        return LakeLayout(tempfile.mkdtemp(prefix="mediaspark-"))
-    return LakeLayout(os.path.join(base, f"mediaspark-{uuid.uuid4().hex}"))
+        base = tempfile.mkdtemp(prefix="mediaspark-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
+    path = os.path.join(base, f"mediaspark-{uuid.uuid4().hex}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return LakeLayout(path)
 
 
 @query("source_csv", s.METADATA_SQL)
@@ -756,12 +762,14 @@ def source_csv(spark, folder):
 
 @query("source_json", f"""
     SELECT event_id, user_id, content_id, session_id, device_category, event_type, watch_duration_ms, seek_position_ms,
-           strftime(session_start_ts, '%Y-%m-%dT%H:00:00Z') AS session_start_ts, referrer FROM ({s.bronze_events_sql()})""")
+           CAST(event_ts AS VARCHAR) AS event_ts, strftime(session_start_ts, '%Y-%m-%dT%H:00:00Z') AS session_start_ts, referrer
+    FROM ({s.bronze_events_sql()})""")
 def source_json(spark, folder):
     """Events written as JSON, one object per line, and read with the declared schema."""
     path = _shared_layout(spark).bronze("json")
     s.bronze_events(s.read(spark, folder, "events")).write.json(path)
-    return files.read_viewing_events(spark, path, lines=True).drop("event_ts")
+    read = files.read_viewing_events(spark, path, lines=True)
+    return shown(read.withColumn("event_ts", temporal.instant(F.col("event_ts"))))
 
 
 def _sources(spark, folder):
@@ -889,26 +897,30 @@ def _messages(events: DataFrame) -> DataFrame:
     SELECT CASE WHEN good THEN event_id END AS event_id, CASE WHEN good THEN user_id END AS user_id,
            CASE WHEN good THEN content_id END AS content_id, CASE WHEN good THEN session_id END AS session_id,
            CASE WHEN good THEN event_type END AS event_type, CASE WHEN good THEN watch_duration_ms END AS watch_duration_ms,
+           CASE WHEN good THEN device_category END AS device_category, CASE WHEN good THEN seek_position_ms END AS seek_position_ms,
+           CASE WHEN good THEN CAST(event_ts AS VARCHAR) END AS event_ts, CASE WHEN good THEN referrer END AS referrer,
+           CASE WHEN good THEN strftime(session_start_ts, '%Y-%m-%dT%H:00:00Z') END AS session_start_ts,
            CAST(k % 3 AS INTEGER) AS _kafka_partition, k AS _kafka_offset, 'kafka' AS _source
     FROM (SELECT *, CAST(split_part(event_id, '-', 2) AS BIGINT) AS k, k % 101 <> 0 AS good FROM ({s.bronze_events_sql()}))""")
 def stream_ingest_parse(spark, folder):
     parsed = ingest.observed(ingest.parse_viewing_events(_messages(_event_stream(spark, folder))))
-    return _through_stream(spark, parsed).select(
-        "event_id", "user_id", "content_id", "session_id", "event_type", "watch_duration_ms",
-        "_kafka_partition", "_kafka_offset", "_source",
-    )
+    written = _through_stream(spark, parsed).withColumn("event_ts", temporal.instant(F.col("event_ts")))
+    return shown(written.select(
+        "event_id", "user_id", "content_id", "session_id", "device_category", "event_type", "watch_duration_ms", "seek_position_ms",
+        "event_ts", "session_start_ts", "referrer", "_kafka_partition", "_kafka_offset", "_source",
+    ))
 
 
 @query("stream_dedup", f"""
-    SELECT event_id, user_id, content_id, event_type, CAST(event_ts AS VARCHAR) AS event_ts
+    SELECT event_id, user_id, content_id, session_id, device_category, event_type, watch_duration_ms, seek_position_ms,
+           CAST(event_ts AS VARCHAR) AS event_ts, strftime(session_start_ts, '%Y-%m-%dT%H:00:00Z') AS session_start_ts, referrer
     FROM ({s.bronze_events_sql()}) WHERE event_ts IS NOT NULL""")
 def stream_dedup(spark, folder):
     """Every event is delivered twice."""
     twice = F.explode(F.array(F.lit(1), F.lit(2))).alias("delivery")
     events = _event_stream(spark, folder).select("*", twice).drop("delivery")
     single = live.without_repeats(live.timed(s.bronze_events(events)))
-    columns = ("event_id", "user_id", "content_id", "event_type", "event_ts")
-    return shown(_through_stream(spark, single.select(*columns)))
+    return shown(_through_stream(spark, single))
 
 
 def _timed_stream(spark, folder):
