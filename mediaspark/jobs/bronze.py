@@ -29,13 +29,14 @@ def read_databases(path: str) -> dict[str, Database]:
 
 def add_source_arguments(parser: argparse.ArgumentParser) -> None:
     parser.add_argument("--files", required=True, help="folder of the file sources")
+    parser.add_argument("--event-lines", default=None, help="file, folder or pattern of events as JSON lines, instead of the array")
     parser.add_argument("--databases", required=True, help="JSON file: tag to url, driver, user, password")
     parser.add_argument("--jdbc-parts", type=int, default=16, help="parallel reads per database table")
 
 
 def given_sources(spark: SparkSession, given: argparse.Namespace) -> dict[str, tuple[DataFrame, str]]:
     databases = database_sources(spark, read_databases(given.databases), given.jdbc_parts)
-    return databases | file_sources(spark, given.files)
+    return databases | file_sources(spark, given.files, given.event_lines)
 
 
 def database_sources(
@@ -44,7 +45,7 @@ def database_sources(
     return {
         source.bronze: (
             jdbc.read_database_table(
-                spark, databases[source.tag], source.table, jdbc.Split(source.split_column, parts)
+                spark, databases[source.tag], source.table, source.split(parts)
             ),
             source.tag,
         )
@@ -52,13 +53,18 @@ def database_sources(
     }
 
 
-def file_sources(spark: SparkSession, folder: str) -> dict[str, tuple[DataFrame, str]]:
+def file_sources(spark: SparkSession, folder: str, event_lines: str | None = None) -> dict[str, tuple[DataFrame, str]]:
+    """The sources in the folder; events as JSON lines, which Spark splits, come from a path of their own."""
     readers = (
         (METADATA_FILE, files.read_content_metadata),
         (EVENTS_FILE, files.read_viewing_events),
         (CAMPAIGNS_FILE, workbook.read_workbooks),
     )
-    return {name: (read(spark, f"{folder}/{file}"), tag) for (file, name, tag), read in readers}
+    found = {name: (read(spark, f"{folder}/{file}"), tag) for (file, name, tag), read in readers}
+    if event_lines:
+        _, name, tag = EVENTS_FILE
+        found[name] = (files.read_viewing_events(spark, event_lines, lines=True), tag)
+    return found
 
 
 def run(spark: SparkSession, layout: LakeLayout, sources: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:

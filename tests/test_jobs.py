@@ -162,3 +162,11 @@ def test_questions_are_answered_from_the_tables_of_the_lake(spark, lake):
         ask.answer(spark, layout, "anything")
     with pytest.raises(ValueError, match="may not read"):
         ask.answer(spark, layout, "query_analytics", {"sql": "SELECT * FROM nowhere"})
+
+
+def test_events_as_lines_replace_the_array(spark, tmp_path):
+    write_files(tmp_path / "files")
+    (tmp_path / "lines").mkdir()
+    (tmp_path / "lines" / "1.json").write_text('{"event_id": "e1"}\n{"event_id": "e2"}\n')
+    df, _ = bronze.file_sources(spark, str(tmp_path / "files"), f"{tmp_path}/lines")["viewing_events_batch"]
+    assert collected(df, "event_id") == [("e1",), ("e2",)]
