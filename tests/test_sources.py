@@ -229,7 +229,7 @@ def test_connections_come_from_a_file(tmp_path):
     assert bronze.read_databases(str(path))["mysql"].properties() == {"driver": "d", "fetchsize": "5", "user": "me", "password": "p"}
 
 
-def test_database_tables_feed_their_bronze_tables():
+def test_database_tables_feed_their_bronze_tables(spark):
     from mediaspark.jobs import bronze
 
     reader = Reader(("1", "9"))
