@@ -7,6 +7,8 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 from mediaspark.session import shared_folder
 
 _OWN_FOLDERS: dict[str, str] = {}
+_SAVED: dict[str, DataFrame] = {}
 
 
 def scratch(spark: SparkSession) -> str:
@@ -43,6 +46,7 @@ def saved(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(removed_at_exit(df.sparkSession, path))
     table.saved_at = path
+    _SAVED[path] = table
     return table
 
 
@@ -52,6 +56,15 @@ def discard(*tables: DataFrame) -> None:
         spark = table.sparkSession
         target = spark._jvm.org.apache.hadoop.fs.Path(table.saved_at)
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        _SAVED.pop(table.saved_at, None)
+
+
+@contextmanager
+def noted() -> Iterator[list[DataFrame]]:
+    """Tables saved within the block that are still there at its end."""
+    before, made = set(_SAVED), []
+    yield made
+    made += [table for path, table in _SAVED.items() if path not in before]
 
 
 def fresh(df: DataFrame, name: str) -> str:

@@ -140,14 +140,16 @@ def near_duplicates(
     """
     chosen = docs.select(F.col(key).cast("long").alias("key_"), F.col(text).alias("text_"))
     described = chosen.mapInArrow(_described(size), "key_ long, n_shingles long, digest binary, tokens array<long>")
-    rows = saved(described.withColumn("item_", F.monotonically_increasing_id()))
-    full = rows.where("digest IS NOT NULL")
+    whole = saved(described.withColumn("item_", F.monotonically_increasing_id()))
+    rows = saved(whole.drop("tokens"))
+    full = whole.where("digest IS NOT NULL")
     classes = saved(full.groupBy("digest").agg(F.min("key_").alias("label"), F.min("item_").alias("node"), F.min("n_shingles").alias("n")))
 
     # posting under coordinates: prefix of the rarest, one centre a list
     signatures = full.select(F.col("item_").alias("node"), "tokens").join(classes.select("node"), "node")
     matches = least_matches(num, den)
     posts = saved(_rarest(signatures.select("node", F.explode("tokens").alias("token")), ["node"], ["token"], lambda n: n - matches + 1))
+    discard(whole)
     centres = posts.groupBy("token").agg(F.max(F.struct("central", F.col("node").alias("id")))["id"].alias("centre"), F.count(F.lit(1)).alias("n"))
     pairs = saved(posts.join(centres.where("n > 1"), "token").where("node != centre").select("node", "centre").distinct())
 
