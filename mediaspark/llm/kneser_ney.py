@@ -34,6 +34,7 @@ from mediaspark.llm.common import removed_at_exit, saved, scratch, text_bytes
 BLOCK_TOKENS = 2_000_000
 SHARD_TOKENS = 1_500_000
 WORD_SHARD_TOKENS = 8_000_000
+GROUP_BYTES = 64_000_000
 START, END = np.uint64(1), np.uint64(2)
 FEW = 255  # counts from here on lie in an array of their own
 
@@ -192,12 +193,17 @@ def pair_shard(first: np.ndarray, second: np.ndarray, hot: np.ndarray, shards: i
     return ((dealt >> np.uint64(7)) % np.uint64(shards)).astype(np.int64)
 
 
+def word_groups(chosen: DataFrame) -> tuple[int, int]:
+    """Number of texts, and of groups for the first count of words: by bytes, as few texts may be long."""
+    sums = chosen.agg(F.count(F.lit(1)).alias("texts"), F.sum(F.octet_length("text_")).alias("bytes")).first()
+    return sums.texts, max(1, -(-(sums.bytes or 0) // GROUP_BYTES))
+
+
 def train(docs: DataFrame, text: str = "text") -> Model:
     """Count all texts and write the arrays."""
     spark = docs.sparkSession
     chosen = docs.select(F.col(text).alias("text_"))
-    texts = chosen.count()
-    early = max(1, texts // 20_000)
+    texts, early = word_groups(chosen)
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tokens, _ in blocks(batches, 0, BLOCK_TOKENS):

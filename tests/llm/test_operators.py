@@ -451,6 +451,13 @@ def test_many_shards_and_blocks_score_alike(spark, docs, monkeypatch):
     assert {r.key_: r.score for r in kneser_ney.score(docs, model).collect()} == pytest.approx(plain)
 
 
+def test_few_long_texts_are_counted_in_several_groups(spark, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "GROUP_BYTES", 1_000)
+    long = spark.createDataFrame([(i, f"word{i} " * 400) for i in range(3)] + [(3, None)], "doc_id long, text_ string")
+    assert kneser_ney.word_groups(long) == (4, 8)
+    assert kneser_ney.word_groups(long.where("doc_id = 3")) == (1, 1) and kneser_ney.word_groups(long.limit(0)) == (0, 1)
+
+
 def test_packed_numbers_come_back():
     values = np.sort(np.random.default_rng(4).integers(0, 2**63, 1000, dtype=np.uint64))
     assert (kneser_ney.unpack(kneser_ney.pack(values, rising=True), np.uint64, rising=True) == values).all()
