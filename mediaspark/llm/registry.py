@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+# Further forms of the queries: registered as well, but not among the ten.
+VARIANTS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+VARIANT_ORACLES: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None):
@@ -21,5 +24,15 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def variant(name: str, sql: str | None = None):
+    def register(function):
+        VARIANTS[name] = function
+        if sql is not None:
+            VARIANT_ORACLES[name] = sql
+        return function
+
+    return register
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))

@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 from mediaspark.llm import imatch, kneser_ney, language, licenses, minhash, mixing, op10, packing, quality, sharding, toxicity, trees
 from mediaspark.llm.common import fold, saved
 from mediaspark.llm.components import components
-from mediaspark.llm.queries import QUERIES
+from mediaspark.llm.queries import QUERIES, VARIANTS
 from tests.llm.helpers import FOLDER, awkward, labels
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -451,6 +451,60 @@ def test_many_shards_and_blocks_score_alike(spark, docs, monkeypatch):
     assert {r.key_: r.score for r in kneser_ney.score(docs, model).collect()} == pytest.approx(plain)
 
 
+def test_scores_of_order_three_equal_a_plain_model(spark, texts):
+    found = by_id(VARIANTS["op9_kneser_ney_scores_order3"](spark, FOLDER))
+    tokens = {k: [w.lower() for w in t.encode().split()] + [2] for k, t in texts.items()}
+    trained = [t for k, t in tokens.items() if zlib.crc32(str(k).encode()) % 7 != 2]
+    single = Counter(w for t in trained for w in t)
+    triples = Counter(x for t in trained for x in zip([1, *t[:-2]], t[:-1], t[1:], strict=True))
+    pairs = Counter((v, w) for _, v, w in triples) + Counter((1, t[0]) for t in trained)
+    ahead = Counter(w for _, w in pairs)
+
+    def level(counts):
+        n = [sum(v == k for v in counts.values()) for k in (1, 2, 3, 4)]
+        y = n[0] / (n[0] + 2 * n[1])
+        d = [0] + [k - (k + 1) * y * n[k] / n[k - 1] for k in (1, 2, 3)]
+        total, left = Counter(), defaultdict(float)
+        for gram, n in counts.items():
+            total[gram[:-1]] += n
+            left[gram[:-1]] += d[min(n, 3)]
+        return d, total, left
+
+    levels = {3: (triples, *level(triples)), 2: (pairs, *level(pairs))}
+    e = level({(w,): n for w, n in ahead.items()})[0]
+    rest = sum(e[min(n, 3)] for n in ahead.values()) / len(pairs)
+
+    def chance(*gram):
+        if len(gram) == 1:
+            return (ahead[gram[0]] - e[min(ahead[gram[0]], 3)]) / len(pairs) + rest / (len(single) + 1)
+        counts, d, total, left = levels[len(gram)]
+        before, below = gram[:-1], chance(*gram[1:])
+        return (counts[gram] - d[min(counts[gram], 3)] + left[before] * below) / total[before] if total[before] else below
+
+    for k, t in tokens.items():
+        grams = [(1, t[0]), *zip([1, *t[:-2]], t[:-1], t[1:], strict=True)]
+        assert (found[k].n_tokens, found[k].n_known) == (len(t), sum(single[w] > 0 for w in t))
+        assert found[k].score == pytest.approx(sum(math.log10(chance(*g)) for g in grams))
+    u, v, _ = max(triples, key=triples.get)
+    unknown = levels[3][3][u, v] / levels[3][2][u, v] * levels[2][3][v,] / levels[2][2][v,] * rest / (len(single) + 1)
+    assert sum(chance(u, v, w) for w in single) + unknown == pytest.approx(1)
+
+
+def test_many_shards_of_order_three_score_alike(spark, docs, monkeypatch):
+    plain = {r.key_: r.score for r in kneser_ney.score(docs, kneser_ney.train(docs, order=3)).collect()}
+    for name, value in (("BLOCK_TOKENS", 900), ("SHARD_TOKENS", 2_000), ("WORD_SHARD_TOKENS", 9_000), ("FEW", 3)):
+        monkeypatch.setattr(kneser_ney, name, value)
+    model = kneser_ney.train(docs.repartition(6), order=3)
+    assert model.pair_shards > 10 and len(model.hot) > 1
+    assert {r.key_: r.score for r in kneser_ney.score(docs, model).collect()} == pytest.approx(plain)
+
+
+def test_order_three_on_awkward_and_on_no_texts(spark):
+    df = awkward(spark)
+    assert kneser_ney.score(df, kneser_ney.train(df, order=3)).count() == df.count()
+    assert {r.score for r in kneser_ney.score(df, kneser_ney.train(df.limit(0), order=3)).collect()} == {0.0}
+
+
 def test_few_long_texts_are_counted_in_several_groups(spark, monkeypatch):
     monkeypatch.setattr(kneser_ney, "GROUP_BYTES", 1_000)
     long = spark.createDataFrame([(i, f"word{i} " * 400) for i in range(3)] + [(3, None)], "doc_id long, text_ string")
