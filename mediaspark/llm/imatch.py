@@ -10,6 +10,10 @@ document) / ``LOW`` terms however many documents there are; about a fifth of the
 These are sent to all tasks as one folded literal, dealt into slots by hash, so that looking a term up takes one
 step and no term is ever shuffled with its document.
 
+``with_parts`` instead deals the whole band into ``PARTS`` lexicons, each term into one, told by md5 too: every term
+of the band takes part in the fingerprint, and each lexicon is as small as a random one. A text with fewer than
+``FEW_HELD`` terms of the band has all its terms dealt, so that an edit changes some of its hashes only.
+
 Defined cases: a null text is empty; a text without any term in a random lexicon is fingerprinted by all its
 distinct sorted terms, and is like an equally fingerprinted text only; equal texts have equal fingerprints; an
 empty table has an empty lexicon; input columns are carried, and the named outputs replace those of the same name.
@@ -26,9 +30,12 @@ TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 LOW, HIGH = (5, 1000), (100, 1000)  # of all documents: at least 0.5 %, at most 10 %
 SUBSETS = 16
 KEPT = 4
+PARTS = 64  # divides 256
+FEW_HELD = 8
 SLOTS = 4_096
 
 ENTRY = "array<array<struct<t:string,s:array<int>>>>"
+PART_ENTRY = "array<array<struct<t:string,p:int>>>"
 
 
 def terms(text: Column) -> Column:
@@ -54,6 +61,38 @@ def lexicon(docs: DataFrame, text: str = "text") -> Column:
     return F.from_json(F.lit(json.dumps(slots)), ENTRY)
 
 
+def part_of(term: Column) -> Column:
+    """Number of the one lexicon of the whole band that holds the term."""
+    return F.conv(F.substring(F.md5(term.cast("binary")), 1, 2), 16, 10).cast("int") % PARTS
+
+
+def lexicon_parts(docs: DataFrame, text: str = "text") -> Column:
+    """All terms of the band with their lexicons, in slots, as a literal."""
+    total = docs.count()
+    counted = docs.select(F.explode(F.array_distinct(terms(F.col(text)))).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("df"))
+    band = counted.where((F.col("df") * LOW[1] >= LOW[0] * total) & (F.col("df") * HIGH[1] <= HIGH[0] * total))
+    slots: list[list] = [[] for _ in range(SLOTS)]
+    for row in sorted(band.select("t", part_of(F.col("t")).alias("p"), F.pmod(F.xxhash64("t"), F.lit(SLOTS)).alias("slot")).collect()):
+        slots[row.slot].append({"t": row.t, "p": row.p})
+    return F.from_json(F.lit(json.dumps(slots)), PART_ENTRY)
+
+
+def with_parts(rows: DataFrame, text: str, slots: Column, name: str) -> DataFrame:
+    """Adds the hashes by lexicon of the whole band, joined by dashes; one hash where the text has no terms at all."""
+    distinct, held, found = F.col("terms_"), F.col("held_"), F.col("found_")
+    looked_up = F.transform(distinct, lambda t: F.filter(F.get(slots, F.pmod(F.xxhash64(t), F.lit(SLOTS)).cast("int")), lambda e: e["t"] == t))
+    every = F.transform(distinct, lambda t: F.struct(t.alias("t"), part_of(t).alias("p")))
+
+    def one(j: Column) -> Column:
+        joined = F.array_join(F.transform(F.filter(found, lambda e: e["p"] == j), lambda e: e["t"]), " ")
+        return F.when(joined == "", F.lit("")).otherwise(F.substring(F.md5(joined.cast("binary")), 1, 8))
+
+    several = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(PARTS - 1)), one), "-")
+    staged = rows.withColumn("terms_", F.array_distinct(terms(F.col(text)))).withColumn("held_", F.flatten(looked_up))
+    dealt = staged.withColumn("found_", F.array_sort(F.when(F.size(held) < FEW_HELD, every).otherwise(held)))
+    return dealt.withColumn(name, F.when(F.size(found) == 0, F.md5(F.lit("").cast("binary"))).otherwise(several)).drop("terms_", "held_", "found_")
+
+
 def with_fingerprint(rows: DataFrame, text: str, slots: Column, name: str) -> DataFrame:
     """Adds the hashes by random lexicon, joined by dashes; of all terms where no lexicon has any of the text's."""
     distinct, found = F.col("terms_"), F.col("found_")

@@ -1,9 +1,12 @@
-"""Query op4_imatch_fingerprints: fingerprints of every document and of its edited text."""
+"""Query op4_imatch_fingerprints: fingerprints of every document and of its edited text.
+
+Its variant op4_imatch_fingerprints_whole_band uses every term of the band.
+"""
 
 from pyspark.sql import functions as F
 
 from mediaspark.llm import imatch
-from mediaspark.llm.registry import query, table
+from mediaspark.llm.registry import query, table, variant
 
 _HEX = ", ".join(f"'{i:02x}'" for i in range(imatch.KEPT))
 
@@ -44,10 +47,39 @@ _LIKE = """CASE WHEN contains(fp, '-') AND contains({0}, '-')
     ELSE CAST(fp = {0} AS DOUBLE) END"""
 
 
+_PART = "(strpos('0123456789abcdef', substr(md5(t), 1, 1)) - 1) * 16 + strpos('0123456789abcdef', substr(md5(t), 2, 1)) - 1"
+_HELD = "list_filter(found, lambda e: e.p = j)"
+
+WHOLE_SQL = f"""{OP4_SQL[: OP4_SQL.index("lexicon AS (")]}lexicon AS (
+    SELECT t FROM (SELECT unnest(terms) AS t FROM words WHERE kind = 'own') GROUP BY t
+    HAVING count(*) * {imatch.LOW[1]} >= {imatch.LOW[0]} * (SELECT count(*) FROM documents)
+       AND count(*) * {imatch.HIGH[1]} <= {imatch.HIGH[0]} * (SELECT count(*) FROM documents)),
+band AS (SELECT doc_id, kind, list(t) AS held FROM (SELECT doc_id, kind, unnest(terms) AS t FROM words) JOIN lexicon USING (t) GROUP BY doc_id, kind),
+hits AS (
+    SELECT doc_id, kind, list_transform(list_sort(CASE WHEN coalesce(len(held), 0) < {imatch.FEW_HELD} THEN terms ELSE held END),
+                                        lambda t: {{'t': t, 'p': ({_PART}) % {imatch.PARTS}}}) AS found
+    FROM words LEFT JOIN band USING (doc_id, kind)),
+prints AS (
+    SELECT doc_id, kind, CASE WHEN len(found) = 0 THEN md5('')
+           ELSE array_to_string(list_transform(range({imatch.PARTS}), lambda j: CASE WHEN len({_HELD}) = 0 THEN ''
+                ELSE substr(md5(array_to_string(list_transform({_HELD}, lambda e: e.t), ' ')), 1, 8) END), '-') END AS fp
+    FROM hits),
+{OP4_SQL[OP4_SQL.index("joined AS (") :]}"""
+
+
 @query("op4_imatch_fingerprints", OP4_SQL.replace("@EDITED@", _LIKE.format("fp_edited")).replace("@NEXT@", _LIKE.format("fp_next")))
 def op4_imatch_fingerprints(spark, folder):
+    return _fingerprints(spark, folder, imatch.lexicon, imatch.with_fingerprint)
+
+
+@variant("op4_imatch_fingerprints_whole_band", WHOLE_SQL.replace("@EDITED@", _LIKE.format("fp_edited")).replace("@NEXT@", _LIKE.format("fp_next")))
+def op4_imatch_fingerprints_whole_band(spark, folder):
+    return _fingerprints(spark, folder, imatch.lexicon_parts, imatch.with_parts)
+
+
+def _fingerprints(spark, folder, lexicon, with_fingerprint):
     docs = table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    slots = imatch.lexicon(docs)
+    slots = lexicon(docs)
     dealt, order = imatch.with_next(docs)
     n = F.char_length("text").cast("long")
     third = F.floor(n / 3).cast("int")
@@ -60,8 +92,8 @@ def op4_imatch_fingerprints(spark, folder):
         n.alias("n_chars"),
         F.concat(kept, F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), third)).alias("edited"),
     )
-    own = imatch.with_fingerprint(staged, "text", slots, "fingerprint")
-    both = imatch.with_fingerprint(own, "edited", slots, "edited_fingerprint")
+    own = with_fingerprint(staged, "text", slots, "fingerprint")
+    both = with_fingerprint(own, "edited", slots, "edited_fingerprint")
     named = both.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256)).drop("edited")
     following = named.withColumn("next_fingerprint", F.lead("fingerprint").over(order)).where(~F.col("ghost_"))
     return following.select(

@@ -256,6 +256,27 @@ def test_next_document_across_buckets(spark):
         assert len(found) == len(keys) and {r.text: r.following for r in found} == expected, rows
 
 
+def test_every_term_of_the_band_counts(spark):
+    """Whichever of 300 terms of the band a text lacks, its fingerprint differs, in one hash of 64 only."""
+    common = [f"band{i}" for i in range(300)]
+    rows = [(i, " ".join(w for j, w in enumerate(common) if j != i)) for i in range(300)] + [(1000 + i, f"other{i}") for i in range(3000)]
+    df = spark.createDataFrame([*rows, (-1, " ".join(common))], "doc_id long, text string")
+    printed = {r.doc_id: r.fp for r in imatch.with_parts(df, "text", imatch.lexicon_parts(df), "fp").where("doc_id < 1000").collect()}
+    whole = printed.pop(-1).split("-")
+    assert len(printed) == 300
+    assert all(sum(a != b for a, b in zip(whole, fp.split("-"), strict=True)) == 1 for fp in printed.values())
+
+
+def test_texts_with_few_terms_of_the_band_stay_like_their_edits(spark):
+    text = " ".join(f"rare{i}" for i in range(40))
+    df = spark.createDataFrame([(1, text), (2, text.replace("rare7", "new")), *((i, f"a{i} b{i}") for i in range(3, 600)), (600, None)], "doc_id long, text string")
+    printed = imatch.with_parts(df, "text", imatch.lexicon_parts(df), "fp")
+    found = {r.doc_id: r.fp for r in printed.collect()}
+    pair = spark.createDataFrame([(found[1], found[2]), (found[1], found[3]), (found[1], found[600])], "a string, b string")
+    likeness = [r.l for r in pair.select(imatch.likeness(F.col("a"), F.col("b")).alias("l")).collect()]
+    assert likeness[0] > 0.8 and likeness[1] < 0.1 and likeness[2] == 0
+
+
 def test_fingerprints_tell_edits_from_other_texts(spark):
     means = QUERIES["op4_imatch_fingerprints"](spark, "/root/testdata/sf0.01").agg(F.avg("near_edited").alias("e"), F.avg("near_next").alias("n")).first()
     assert means.e > 0.2 and means.n < 0.05

@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.compare import open_tables, rows
-from mediaspark.llm.queries import ORACLES, QUERIES
+from mediaspark.llm.queries import ORACLES, QUERIES, VARIANT_ORACLES, VARIANTS
 from tests.llm.helpers import FOLDER, ROWS, awkward, folder_of, key_counts, nothing
 
 PER_DOCUMENT = [name for name in QUERIES if not name.startswith("op10_")]
@@ -54,3 +54,17 @@ def test_reruns_agree(spark, odd, name):
 def test_native_queries_run_no_python(spark, name):
     plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "CartesianProduct", "NestedLoop"))
+
+
+@pytest.mark.parametrize("name", list(VARIANT_ORACLES))
+def test_variant_equals_its_sql(spark, name):
+    df = VARIANTS[name](spark, FOLDER)
+    relation = open_tables(FOLDER).sql(VARIANT_ORACLES[name])
+    assert rows(df.columns, df.collect()) == rows(relation.columns, relation.fetchall())
+
+
+@pytest.mark.parametrize("name", list(VARIANTS))
+def test_variants_take_awkward_rows_and_empty_tables(spark, odd, empty, name):
+    assert name in entry.queries()
+    assert key_counts(VARIANTS[name](spark, odd)) == sorted((r[0] for r in ROWS), key=lambda x: (x is not None, x or 0))
+    assert VARIANTS[name](spark, empty).count() == 0
