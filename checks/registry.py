@@ -923,10 +923,18 @@ def stream_dedup(spark, folder):
     return shown(_through_stream(spark, single))
 
 
+def _utc():
+    return F.to_timestamp(F.concat(F.col("ts").cast("string"), F.lit("Z")))
+
+
 def _timed_stream(spark, folder):
     """Events with a time as an instant: the given times are taken as UTC."""
-    utc = F.to_timestamp(F.concat(F.col("ts").cast("string"), F.lit("Z")))
-    return _event_stream(spark, folder).withColumn("event_ts", utc)
+    return _event_stream(spark, folder).withColumn("event_ts", _utc())
+
+
+def _timed_table(spark, folder):
+    """The same events as stored."""
+    return spark.read.parquet(f"{folder}/events.parquet").withColumn("event_ts", _utc())
 
 
 @query("stream_traffic_window", _windows_sql(30, 1, closed=True))
@@ -961,6 +969,34 @@ def stream_minute_activity(spark, folder):
     return shown(_through_stream(spark, live.minute_activity(_timed_stream(spark, folder))))
 
 
+@query("stream_traffic_window_all", _windows_sql(30, 1, closed=False))
+def stream_traffic_window_all(spark, folder):
+    """Closed windows of the stream with the open and late part from the stored events."""
+    closed = _through_stream(spark, live.traffic_windows(_timed_stream(spark, folder)))
+    return shown(traffic.completed_windows(closed, live.minute_activity(_timed_table(spark, folder))))
+
+
+@query("stream_traffic_by_genre_all", f"""
+    SELECT CAST(window_end - INTERVAL 30 MINUTE AS VARCHAR) AS window_start, CAST(window_end AS VARCHAR) AS window_end, genre,
+           count(*) AS events, count(DISTINCT user_id) AS users
+    FROM (SELECT user_id, content_id, date_trunc('minute', event_ts) + INTERVAL 1 MINUTE * n AS window_end FROM ({s.VIEWING_EVENTS_SQL}), range(1, 31) r(n))
+    JOIN (SELECT content_id, unnest(genre_array) AS genre FROM ({s.CONTENT_SQL})) USING (content_id) GROUP BY window_end, genre""")
+def stream_traffic_by_genre_all(spark, folder):
+    title = F.get_json_object("props", "$.k").cast("bigint")
+    content = s.content(spark, folder)
+    closed = _through_stream(spark, live.genre_windows(_timed_stream(spark, folder).withColumn("content_id", title), content))
+    titles = live.minute_activity(_timed_table(spark, folder).withColumn("content_id", title), ["content_id"])
+    activity = live.with_genre(titles, content).groupBy("minute", "genre", "user_id").agg(F.sum("events").alias("events"))
+    return shown(traffic.completed_windows(closed, activity, ["genre"]))
+
+
+@query("stream_minute_activity_all", """
+    SELECT CAST(date_trunc('minute', ts) AS VARCHAR) AS "minute", user_id, count(*) AS events FROM events GROUP BY 1, 2""")
+def stream_minute_activity_all(spark, folder):
+    closed = _through_stream(spark, live.minute_activity(_timed_stream(spark, folder)))
+    return shown(traffic.completed_minutes(closed, live.minute_activity(_timed_table(spark, folder))))
+
+
 # ---- models --------------------------------------------------------------------------
 
 

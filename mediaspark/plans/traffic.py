@@ -129,3 +129,43 @@ def sliding_from_minutes(activity: DataFrame, dimensions=(), minutes: int = LIVE
     return numbers.select(*dimensions, "events", "users", window_end).select(
         (F.col("window_end") - length).alias("window_start"), "window_end", *dimensions, "events", "users"
     )
+
+
+def _lacking(expected: DataFrame, closed: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys whose number of events is not in the closed rows, or is another there."""
+    theirs = closed.select(*[F.col(k).alias(f"{k}_") for k in keys], F.col("events").alias("events_"))
+    same = [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys] + [F.col("events") == F.col("events_")]
+    return expected.join(theirs, same, "left_anti").select(*keys)
+
+
+def _matched(rows: DataFrame, wanted: DataFrame, keys: list[str], how: str) -> DataFrame:
+    named = wanted.select(*[F.col(k).alias(f"{k}_") for k in keys])
+    return rows.join(named, [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys], how)
+
+
+def completed_minutes(closed: DataFrame, activity: DataFrame, dimensions=()) -> DataFrame:
+    """The stream's closed minutes, and from the per-minute table of all events those that it holds open or that lack late rows.
+
+    A row that the stream has not taken lowers a minute's number of events; so equal numbers tell that none is missing.
+    """
+    keys = ["minute", *dimensions]
+    numbers = activity.groupBy(*keys).agg(F.sum("events").alias("events"))
+    lacking = _lacking(numbers, closed.groupBy(*keys).agg(F.sum("events").alias("events")), keys)
+    columns = [*keys, "user_id", "events"]
+    return _matched(closed, lacking, keys, "left_anti").select(*columns).unionByName(_matched(activity, lacking, keys, "left_semi").select(*columns))
+
+
+def completed_windows(closed: DataFrame, activity: DataFrame, dimensions=(), minutes: int = LIVE_MINUTES) -> DataFrame:
+    """The stream's closed windows, and from the per-minute table of all events those that it holds open or that lack late rows.
+
+    Which these are, numbers of events without users tell; only their minutes are rolled up with users.
+    """
+    keys = ["window_start", "window_end", *dimensions]
+    numbers = activity.groupBy("minute", *dimensions).agg(F.sum("events").alias("events"))
+    expected = sliding_from_minutes(numbers.withColumn("user_id", F.lit(None).cast("string")), dimensions, minutes)
+    lacking = _lacking(expected, closed, keys)
+    step = F.make_dt_interval(mins=F.lit(1))
+    reached = lacking.select(*dimensions, F.explode(F.sequence("window_start", F.col("window_end") - step, step)).alias("minute")).distinct()
+    again = sliding_from_minutes(_matched(activity, reached, ["minute", *dimensions], "left_semi"), dimensions, minutes)
+    columns = [*keys, "events", "users"]
+    return _matched(closed, lacking, keys, "left_anti").select(*columns).unionByName(_matched(again, lacking, keys, "left_semi").select(*columns))
