@@ -150,8 +150,9 @@ def rules() -> tuple[Rule, ...]:
         gate = "cc" if keyword == "cc" else "licen" if "licen" in name else next((g for g in GATES if g in keyword), keyword)
         found.append((label, "spdx", "identifier", rf"spdx-license-identifier:\s*{tag}(?![-.\w])", TAG, "tag"))
         found.append((label, "under", keyword, rf"{under}(?:{name})", NOTICE, "notice"))
-        if address:
-            found.append((label, "://", address.split("/")[0].replace("\\", "").split("|")[0].strip("(?:)"), rf"https?://(?:www\.)?{address}", ADDRESS, "address"))
+        host, slash, path = address.partition("/") if address else ("", "", "")
+        for one in host.removeprefix("(?:").removesuffix(")").split("|") if host else ():
+            found.append((label, "://", one.replace("\\", ""), rf"https?://(?:www\.)?{one}{slash}{path}", ADDRESS, "address"))
         found.append((label, gate, keyword, name, NAME, "name"))
 
     for entry in SIGNATURES:

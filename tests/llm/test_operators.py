@@ -149,6 +149,15 @@ def test_detections_equal_a_plain_scan(spark):
         assert [(d.start, d.end, d.label, d.priority) for d in row.detections] == plain_scan(row.text), row.text
 
 
+def test_every_host_of_an_address_is_found_without_keywords(spark):
+    """As a search by the regexes alone finds them."""
+    given = ["see https://openfontlicense.org", "see http://www.scripts.sil.org/OFL", "both https://scripts.sil.org https://www.openfontlicense.org/ofl", "no address"]
+    for row in licenses.scan(spark.createDataFrame(list(enumerate(given)), "doc_id long, text string")).collect():
+        plain = sorted((m.start(), m.end(), r.label) for r in licenses.rules() for m in re.finditer(r.regex, row.text, re.A) if r.first == "://")
+        found = sorted((d.start, d.end, d.label) for d in row.detections)
+        assert found == plain and [f[2] for f in found] == ["ofl-1.1"] * row.text.count("http")
+
+
 def test_every_rule_is_reached_through_a_gate():
     rules = licenses.rules()
     assert len(rules) > 200 and [r.order for r in rules] == list(range(len(rules)))
