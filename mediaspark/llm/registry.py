@@ -13,6 +13,10 @@ ORACLES: dict[str, str] = {}
 VARIANTS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 VARIANT_ORACLES: dict[str, str] = {}
 
+# crc32 in SQL: the usual reversed polynomial over the characters of an ASCII text.
+CRC_SQL = """xor(4294967295, list_reduce(list_transform(string_split({0}, ''), lambda c: CAST(ascii(c) AS BIGINT)), lambda r, b:
+    list_reduce(range(8), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(r, b)), CAST(4294967295 AS BIGINT)))"""
+
 
 def query(name: str, sql: str | None = None):
     def register(function):
