@@ -1,9 +1,9 @@
 """Merkle manifest of a table: a content-addressed graph of digests, and proofs by descent from its root.
 
 Leaves of a tree, in order of rank, are hashed two by two until one digest is left; subroots of all trees form the top
-tree. The graph is stored in records of up to ``FAN`` children: the digest of a subtree, twelve binary levels high,
-points to the digests below it. So a billion leaves are three rounds of records, and no task sees more than ``FAN``
-children at once. A proof descends: from the root's record, the digits of a rank (base ``FAN``) choose the child at
+tree. The graph is stored in records of up to 4,096 children: the digest of a subtree, twelve binary levels high,
+points to the digests below it. So a billion leaves are three rounds of records, and no task holds more than one
+record at once. A proof descends: from the root's record, the digits of a rank (base 4,096) choose the child at
 each round, and the children not chosen are collected. What a record gives is a segment of the path, turned round to
 run upwards; segments of lower records come first. A record is opened once for all requests that pass through it, and
 its digest must be the one its parent names.
@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from mediaspark.llm.common import saved
 
+# Binary levels of a record, which hence has up to 4,096 children.
 HEIGHT = 12
-FAN = 1 << HEIGHT
 # Offsets of range partitions are broadcast up to so many rows (a row each, or a tree's share of one); beyond, joined.
 FEW_OFFSETS = 100_000
 
@@ -53,10 +53,10 @@ def _joined(nodes: list[str]) -> str:
     return sha256("".join(nodes).encode()).hexdigest()
 
 
-def levels_of(digests: list[str], whole: bool) -> list[list[str]]:
-    """Binary levels from the children up to one digest; a part of a larger tree has ``HEIGHT`` steps, however few its children."""
+def levels_of(digests: list[str], whole: bool, height: int = HEIGHT) -> list[list[str]]:
+    """Binary levels from the children up to one digest; a part of a larger tree has ``height`` steps, however few its children."""
     levels = [digests]
-    while len(levels[-1]) > 1 if whole else len(levels) <= HEIGHT:
+    while len(levels[-1]) > 1 if whole else len(levels) <= height:
         below = levels[-1]
         levels.append([_joined(below[i : i + 2]) for i in range(0, len(below), 2)])
     return levels
@@ -120,10 +120,11 @@ class Graph:
 
     rounds: list[DataFrame]
     roots: DataFrame
+    height: int = HEIGHT
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One batch for each record: consecutive rows of equal tree_ and block_, never more than ``FAN``."""
+    """One batch for each record: consecutive rows of equal tree_ and block_."""
     held: list[pa.RecordBatch] = []
     last = None
     for batch in batches:
@@ -142,8 +143,8 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.concat_batches(held)
 
 
-def _levels(record: pa.RecordBatch) -> list[list[str]]:
-    return levels_of([n.hex() for n in record.column("node").to_pylist()], record.column("whole")[0].as_py())
+def _levels(record: pa.RecordBatch, height: int) -> list[list[str]]:
+    return levels_of([n.hex() for n in record.column("node").to_pylist()], record.column("whole")[0].as_py(), height)
 
 
 def _record_by_record(rows: DataFrame, name: str, values: Callable[[pa.RecordBatch], list[bytes]]) -> DataFrame:
@@ -157,31 +158,32 @@ def _record_by_record(rows: DataFrame, name: str, values: Callable[[pa.RecordBat
     return dealt.mapInArrow(read, rows.withColumn(name, F.lit(b"")).schema)
 
 
-def _records(nodes: DataFrame, payload: list[str]) -> DataFrame:
-    """A record for each run of ``FAN`` nodes (tree_, rank_, rows_, node, payload)."""
-    rows = nodes.select("tree_", F.shiftright("rank_", HEIGHT).alias("block_"), "rank_", "rows_", (F.col("rows_") <= FAN).alias("whole"), "node", *payload)
-    return saved(_record_by_record(rows, "digest", lambda r: [bytes.fromhex(_levels(r)[-1][0])] * r.num_rows))
+def _records(nodes: DataFrame, payload: list[str], height: int) -> DataFrame:
+    """A record for each run of nodes (tree_, rank_, rows_, node, payload)."""
+    whole = (F.col("rows_") <= 1 << height).alias("whole")
+    rows = nodes.select("tree_", F.shiftright("rank_", height).alias("block_"), "rank_", "rows_", whole, "node", *payload)
+    return saved(_record_by_record(rows, "digest", lambda r: [bytes.fromhex(_levels(r, height)[-1][0])] * r.num_rows))
 
 
-def build(nodes: DataFrame, payload: list[str]) -> Graph:
+def build(nodes: DataFrame, payload: list[str], height: int = HEIGHT) -> Graph:
     """Records over ranked nodes, round by round until every tree has one digest."""
-    rounds = [_records(nodes, payload)]
-    first = F.col("rank_") == F.shiftleft("block_", HEIGHT)
-    while (rounds[-1].agg(F.max("rows_")).first()[0] or 0) > FAN:
-        size = F.ceil(F.col("rows_") / FAN).cast("long").alias("rows_")
+    rounds = [_records(nodes, payload, height)]
+    first = F.col("rank_") == F.shiftleft("block_", height)
+    while (rounds[-1].agg(F.max("rows_")).first()[0] or 0) > 1 << height:
+        size = F.ceil(F.col("rows_") / (1 << height)).cast("long").alias("rows_")
         above = rounds[-1].where(first).select("tree_", F.col("block_").alias("rank_"), size, F.col("digest").alias("node"))
-        rounds.append(_records(above, []))
-    return Graph(rounds, rounds[-1].where(first).select("tree_", "digest"))
+        rounds.append(_records(above, [], height))
+    return Graph(rounds, rounds[-1].where(first).select("tree_", "digest"), height)
 
 
-def _opened(records: DataFrame, frontier: DataFrame) -> DataFrame:
+def _opened(records: DataFrame, frontier: DataFrame, height: int) -> DataFrame:
     """Children of the records that the frontier (tree_, block_, named, path, further columns) asks for, with their paths.
 
     A record whose children do not give its digest is refused, and so is one that its parent names otherwise.
     """
 
     def segments(record: pa.RecordBatch) -> list[bytes]:
-        levels = _levels(record)
+        levels = _levels(record, height)
         digest, named = record.column("digest")[0].as_py(), record.column("named")[0].as_py()
         if not levels[-1] == [digest.hex()] == [named.hex()]:
             raise ValueError(f"record {digest.hex()} does not hold what {named.hex()} stands for")
@@ -197,10 +199,10 @@ def descend(graph: Graph, frontier: DataFrame, requests: DataFrame | None = None
     ``requests`` (tree_, rank_) opens only the records on the way to these leaves; without it all leaves are asked for.
     """
     at = frontier.withColumn("rank_", F.lit(0).cast("long"))
-    for height in range(len(graph.rounds) - 1, -1, -1):
-        at = _opened(graph.rounds[height], at.withColumnsRenamed({"rank_": "block_", "node": "named"}))
+    for i in range(len(graph.rounds) - 1, -1, -1):
+        at = _opened(graph.rounds[i], at.withColumnsRenamed({"rank_": "block_", "node": "named"}), graph.height)
         if requests is not None:
-            digits = requests.select("tree_", F.shiftright("rank_", HEIGHT * height).alias("rank_")).distinct()
+            digits = requests.select("tree_", F.shiftright("rank_", graph.height * i).alias("rank_")).distinct()
             at = at.join(digits, ["tree_", "rank_"], "left_semi")
     return at
 
@@ -218,13 +220,13 @@ def tree_name(tree: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), tree.cast("string")), F.lit(""))
 
 
-def manifest(leaves: DataFrame, *, tree: str, order: list[str], leaf: str, payload: list[str]) -> Manifest:
+def manifest(leaves: DataFrame, *, tree: str, order: list[str], leaf: str, payload: list[str], height: int = HEIGHT) -> Manifest:
     """The graph over leaves (digests as bytes) in trees; ``payload`` columns are kept with the leaves."""
     kept = list(dict.fromkeys([*order, *payload]))
     nodes = leaves.select(tree_name(F.col(tree)).alias("tree_"), *kept, F.col(leaf).alias("node"))
-    trees = build(ranked(nodes, [*order, "node"]), payload)
+    trees = build(ranked(nodes, [*order, "node"]), payload, height)
     subroots = trees.roots.select(F.lit("").alias("tree_"), F.col("tree_").alias("name"), F.col("digest").alias("node"))
-    return Manifest(trees, build(ranked(subroots, ["name"]), ["name"]))
+    return Manifest(trees, build(ranked(subroots, ["name"]), ["name"], height))
 
 
 def proofs(made: Manifest, requests: DataFrame | None = None) -> DataFrame:

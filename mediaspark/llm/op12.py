@@ -76,13 +76,16 @@ def folded(found):
     return found.mapInArrow(fold, found.withColumn("folded_root", F.lit("")).withColumn("proof_sha256", F.lit("")).schema)
 
 
-@query("op12_merkle_manifest", OP12_SQL)
-def op12_merkle_manifest(spark, folder):
-    made = merkle.manifest(
-        saved(leaves(table(spark, folder, "documents"))), tree="lang", order=["doc_id"], leaf="leaf", payload=["doc_id", "tampered"]
-    )
+def manifest_rows(docs, height=merkle.HEIGHT):
+    """Leaf, roots and checked proof of every document."""
+    made = merkle.manifest(saved(leaves(docs)), tree="lang", order=["doc_id"], leaf="leaf", payload=["doc_id", "tampered"], height=height)
     shown = lambda c: F.lower(F.hex(c)).alias(c)
     found = folded(merkle.proofs(made)).withColumnRenamed("node", "leaf")
     return found.select(
         "doc_id", shown("leaf"), shown("subroot"), shown("root"), "proof_sha256", "folded_root", (F.col("folded_root") == F.lower(F.hex("root"))).alias("verified")
     )
+
+
+@query("op12_merkle_manifest", OP12_SQL)
+def op12_merkle_manifest(spark, folder):
+    return manifest_rows(table(spark, folder, "documents"))

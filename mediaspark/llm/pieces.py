@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from mediaspark.llm.common import text_bytes
 
-SLICE = 4 << 20
+SLICE = 1 << 20
 SPACE = "▁".encode()
 
 # Fixed values of the model file's format: field numbers, kinds of pieces and the normaliser's fields.
@@ -178,22 +178,23 @@ class Model:
     def normalise(self, text: bytes) -> tuple[bytes, np.ndarray]:
         """The normalised text, and for each of its bytes, and its end, the original place."""
         new, origin = self._replaced(text)
-        end = len(text)
-        if self.one_space:
+        if self.one_space and len(new):
             space = new == 32
-            kept = ~(space & np.concatenate([[True], space[:-1]])) if len(new) else np.zeros(0, bool)
+            kept = ~(space & np.concatenate([[True], space[:-1]]))
             new, origin = new[kept], origin[kept]
-            if len(new) and new[-1] == 32:
-                end, new, origin = int(origin[-1]), new[:-1], origin[:-1]
         if not len(new):
             return b"", np.zeros(1, np.int64)
         if self.add_prefix:
             new, origin = np.concatenate([np.array([32], np.uint8), new]), np.concatenate([origin[:1], origin])
-        origin = np.append(origin, end)
+        origin = np.append(origin, len(text))
+        normal, mark = new.tobytes(), b" "
         if self.mark_space:
             origin = np.repeat(origin, np.append(np.where(new == 32, len(SPACE), 1), 1))
-            return new.tobytes().replace(b" ", SPACE), origin
-        return new.tobytes(), origin
+            normal, mark = normal.replace(b" ", SPACE), SPACE
+        end = len(normal)
+        while self.one_space and normal.endswith(mark, 0, end):  # here the mark itself counts as a space
+            end -= len(mark)
+        return normal[:end], origin[: end + 1]
 
     def encode(self, texts: list[bytes]) -> tuple[list[list[int]], list[np.ndarray], list[np.ndarray]]:
         """Ids of each text, and where in its bytes each piece begins and ends."""

@@ -38,8 +38,14 @@ def labels(spark):
     )
 
 
-def folder_of(spark, tmp_path, docs, marked=None):
+def conversations(spark):
+    rows = [(r[0], i % 3 or None, (r[3] or "user") if i % 2 else None, r[1]) for i, r in enumerate(ROWS)]
+    return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+
+
+def folder_of(spark, tmp_path, docs, marked=None, talks=None):
     """A folder of tables as the queries read it."""
+    (conversations(spark) if talks is None else talks).write.parquet(f"{tmp_path}/conversations.parquet")
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     (labels(spark) if marked is None else marked).write.parquet(f"{tmp_path}/labels.parquet")
     return str(tmp_path)

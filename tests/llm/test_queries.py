@@ -5,9 +5,9 @@ import pytest
 import __spark_entry__ as entry
 from checks.compare import open_tables, rows
 from mediaspark.llm.queries import ORACLES, QUERIES, VARIANT_ORACLES, VARIANTS
-from tests.llm.helpers import FOLDER, ROWS, awkward, folder_of, key_counts, nothing
+from tests.llm.helpers import FOLDER, ROWS, awkward, conversations, folder_of, key_counts, nothing
 
-PER_DOCUMENT = [name for name in QUERIES if not name.startswith("op10_")]
+PER_DOCUMENT = [name for name in QUERIES if not name.startswith(("op10_", "op11_"))]
 
 
 @pytest.fixture(scope="module")
@@ -17,12 +17,12 @@ def odd(spark, tmp_path_factory):
 
 @pytest.fixture(scope="module")
 def empty(spark, tmp_path_factory):
-    return folder_of(spark, tmp_path_factory.mktemp("empty"), nothing(spark))
+    return folder_of(spark, tmp_path_factory.mktemp("empty"), nothing(spark), talks=conversations(spark).where("false"))
 
 
-def test_ten_queries_and_the_pipeline_are_registered():
+def test_thirteen_queries_and_the_pipeline_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
@@ -39,6 +39,11 @@ def test_awkward_rows_give_a_row_each(spark, odd, name):
     assert key_counts(QUERIES[name](spark, odd)) == expected
 
 
+def test_every_conversation_has_a_row(spark, odd):
+    found = key_counts(QUERIES["op11_conversation_repair"](spark, odd), "conv_id")
+    assert found == sorted({r[0] for r in ROWS}, key=lambda x: (x is not None, x or 0))
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_an_empty_table_gives_no_rows(spark, empty, name):
     assert QUERIES[name](spark, empty).count() == 0
