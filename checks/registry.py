@@ -19,6 +19,7 @@ from checks import standins as s
 from mediaspark.functions import temporal
 from mediaspark.jobs import bronze as bronze_job
 from mediaspark.jobs import gold as gold_job
+from mediaspark.jobs import increments
 from mediaspark.jobs import silver as silver_job
 from mediaspark.jobs import validate as validate_job
 from mediaspark.layout import LakeLayout
@@ -26,7 +27,7 @@ from mediaspark.ml import churn, features, popularity, recommend
 from mediaspark.operators import gold, quality, silver
 from mediaspark.plans import kpis, layer_checks, questions, saved, traces, traffic
 from mediaspark.session import shared_folder
-from mediaspark.sinks.tables import overwrite
+from mediaspark.sinks.tables import append, overwrite
 from mediaspark.sources import files
 from mediaspark.sources.tables import read_table, with_source
 from mediaspark.streaming import ingest, live
@@ -219,6 +220,43 @@ def silver_events_dedup(spark, folder):
     return shown(s.silver_events_pipeline(spark, folder))
 
 
+def _incremented(spark, folder):
+    """The silver table after two runs over new files: first the second copies of half of the events, then the rest.
+
+    Later files hold earlier copies of stored events and, a day's end away, some in another day; the third run finds none.
+    """
+    layout, events = _shared_layout(spark), s.read(spark, folder, "events")
+    half = F.col("event_id") % 2 == 0
+    append(s.bronze_events(events.filter(half), 1), layout.bronze("viewing_events"), layout.fmt)
+    increments.run(spark, layout, s.ZONE)
+    append(s.bronze_events(events, 0), layout.bronze("viewing_events_batch"), layout.fmt)
+    append(s.bronze_events(events.filter(~half), 1), layout.bronze("viewing_events"), layout.fmt)
+    increments.run(spark, layout, s.ZONE)
+    increments.run(spark, layout, s.ZONE)
+    return layout
+
+
+@query("silver_events_incremental", ORACLES["silver_events_dedup"])
+def silver_events_incremental(spark, folder):
+    stored = read_table(spark, _incremented(spark, folder), "silver", increments.TABLE)
+    return shown(stored.select(*[c for c in stored.columns if c != "event_date"], "event_date"))
+
+
+@query("silver_increments", """
+    WITH e AS (SELECT event_id % 2 = 0 AS even, event_id % 10 AS k FROM events)
+    SELECT 'viewing_events' AS source, 0 AS batch, count(*) FILTER (even) AS taken, count(*) FILTER (even AND k <> 4) AS added, 0 AS removed FROM e
+    UNION ALL SELECT 'viewing_events_batch', 0, count(*), count(*) FILTER (k <> 3), count(*) FILTER (even AND k <> 4) FROM e
+    UNION ALL SELECT 'viewing_events', 1, count(*) FILTER (NOT even), count(*) FILTER (k = 3), 0 FROM e""")
+def silver_increments(spark, folder):
+    """What each increment read (by the ledger of files, none twice), added and removed."""
+    layout = _incremented(spark, folder)
+    ledger, log = (read_table(spark, layout, "silver", t) for t in (increments.LEDGER, increments.LOG))
+    once = ledger.groupBy("file").agg(F.min("source").alias("source"), F.min("batch").alias("batch"), F.max("rows").alias("rows"))
+    read = once.groupBy("source", "batch").agg(F.sum("rows").alias("taken"))
+    number = F.substring_index("batch", "_", 1).cast("int").alias("batch")
+    return log.join(read, ["source", "batch"]).select("source", number, "taken", "added", "removed")
+
+
 @query("silver_campaign_budget", r"""
     SELECT campaign_id, campaign_name,
            TRY_CAST(CASE WHEN regexp_matches(budget, '^[A-Za-z]') THEN regexp_extract(budget, '(\d+)$', 1)

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import argparse
 import json
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from mediaspark.jobs.common import arguments, report, session_and_layout
 from mediaspark.layout import Database, LakeLayout
-from mediaspark.sinks.tables import overwrite, row_counts, run_together
+from mediaspark.sinks.tables import append, overwrite, row_counts, run_together
 from mediaspark.sources import files, jdbc, workbook
 from mediaspark.sources.tables import with_source
 
@@ -67,10 +67,10 @@ def file_sources(spark: SparkSession, folder: str, event_lines: str | None = Non
     return found
 
 
-def run(spark: SparkSession, layout: LakeLayout, sources: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Write every source with its audit columns; returns table and rows."""
+def run(spark: SparkSession, layout: LakeLayout, sources: Mapping[str, tuple[DataFrame, str]], added: Collection[str] = ()) -> DataFrame:
+    """Write every source with its audit columns; returns table and rows. Deliveries of the ``added`` ones join earlier ones."""
     writes = {
-        name: partial(overwrite, with_source(df, tag), layout.bronze(name), layout.fmt)
+        name: partial(append if name in added else overwrite, with_source(df, tag), layout.bronze(name), layout.fmt)
         for name, (df, tag) in sources.items()
     }
     return row_counts(spark, run_together(spark, writes))
@@ -79,9 +79,10 @@ def run(spark: SparkSession, layout: LakeLayout, sources: Mapping[str, tuple[Dat
 def main() -> None:
     parser = arguments(__doc__)
     add_source_arguments(parser)
+    parser.add_argument("--add-events", action="store_true", help="keep earlier deliveries of events, for silver increments")
     given = parser.parse_args()
     spark, layout = session_and_layout("bronze", given)
-    report(run(spark, layout, given_sources(spark, given)))
+    report(run(spark, layout, given_sources(spark, given), [EVENTS_FILE[1]] if given.add_events else ()))
     spark.stop()
 
 

@@ -74,3 +74,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """True if the path is there, on whichever file system it names."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, on whichever file system it names; one that is not there is no error."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)

@@ -129,27 +129,34 @@ def ratings(df: DataFrame) -> DataFrame:
     )
 
 
+def event_order() -> list:
+    """Which copy of an event counts: the earliest, ties by the other columns."""
+    rest = [name for name in EVENT_COLUMNS if name not in ("event_id", "event_ts")]
+    return tie_break(rest, [F.asc("event_ts")])
+
+
 def events(batch: DataFrame, stream: DataFrame | None = None, zone: str | None = None) -> DataFrame:
     """Viewing events of the batch file and, if there is one, the stream table, once each.
 
-    ``zone`` is where ``event_date`` is cut; without it the session's zone applies.
+    ``zone`` is where ``event_date`` is cut; without it the session's zone applies. Events without an id
+    cannot be told apart: of all of them the earliest is kept.
     """
     together = batch.select(*EVENT_COLUMNS)
     if stream is not None:
         together = together.unionByName(stream.select(*EVENT_COLUMNS))
     parsed = together.withColumns({
+        "event_type": F.lower("event_type"),
         "event_ts": temporal.instant(F.col("event_ts")),
         "session_start_ts": temporal.instant(F.col("session_start_ts")),
     }).filter(F.col("event_ts").isNotNull())
-    rest = [name for name in EVENT_COLUMNS if name not in ("event_id", "event_ts")]
-    single = keep_first(parsed, ["event_id"], tie_break(rest, [F.asc("event_ts")]))
+    single = keep_first(parsed, ["event_id"], event_order())
     return single.select(
         "event_id",
         "user_id",
         "content_id",
         "session_id",
         "device_category",
-        F.lower("event_type").alias("event_type"),
+        "event_type",
         "watch_duration_ms",
         numeric.seconds(F.col("watch_duration_ms")).alias("watch_duration_sec"),
         "seek_position_ms",

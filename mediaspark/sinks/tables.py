@@ -10,6 +10,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from mediaspark.layout import delete_path
 
 WRITES_AT_ONCE = 4
 
@@ -37,6 +38,25 @@ def overwrite(
     return written.get["rows"]
 
 
+def append(df: DataFrame, path: str, fmt: str) -> int:
+    """Add rows to a table in files of their own and return their number."""
+    written = Observation(f"rows-{uuid.uuid4().hex}")
+    df.observe(written, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode("append").save(path)
+    return written.get["rows"]
+
+
+def overwrite_folders(df: DataFrame, path: str, fmt: str, column: str, touched: Sequence) -> None:
+    """Replace the touched partitions of a table of files and no others; one that no row is left for goes.
+
+    A run that is stopped half way must be able to read ``df`` again: it must not come from the table itself.
+    """
+    spark, filled = df.sparkSession, Observation(f"folders-{uuid.uuid4().hex}")
+    out = df.hint("rebalance", column).observe(filled, F.collect_set(F.col(column).cast("string")).alias("values"))
+    out.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).save(path)
+    for value in {str(v) for v in touched} - set(filled.get["values"]):
+        delete_path(spark, f"{path}/{column}={value}")
+
+
 def run_together(spark: SparkSession, writes: Mapping[str, Callable[[], int]], at_once: int = WRITES_AT_ONCE) -> dict[str, int]:
     """Row counts of independent writes, some at a time, so that small tables fill idle cores."""
     start = inheritable_thread_target(spark)
