@@ -464,18 +464,17 @@ def live_traffic_by_country(spark, folder):
     return traffic.by_country(events, users, as_of, WIDE)
 
 
-def _windows_sql(length: int, slide: int, closed: bool) -> str:
-    """Sliding windows of ``length`` minutes every ``slide``; ``closed`` keeps those past the watermark."""
+def _windows_sql(length: int, slide: int) -> str:
+    """Sliding windows of ``length`` minutes every ``slide``."""
     steps = length // slide
-    limit = "WHERE window_end <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM events)" if closed else ""
     return f"""
     SELECT CAST(window_end - INTERVAL {length} MINUTE AS VARCHAR) AS window_start, CAST(window_end AS VARCHAR) AS window_end,
            count(*) AS events, count(DISTINCT user_id) AS users
     FROM (SELECT user_id, time_bucket(INTERVAL {slide} MINUTE, ts) + INTERVAL ({slide}) MINUTE * n AS window_end
-          FROM events, range(1, {steps + 1}) r(n)) {limit} GROUP BY window_end"""
+          FROM events, range(1, {steps + 1}) r(n)) GROUP BY window_end"""
 
 
-@query("live_sliding_from_minutes", _windows_sql(30, 1, closed=False))
+@query("live_sliding_from_minutes", _windows_sql(30, 1))
 def live_sliding_from_minutes(spark, folder):
     """Exact sliding windows rolled up from the per-minute table."""
     events = s.viewing_events(spark, folder)
@@ -975,64 +974,78 @@ def _timed_table(spark, folder):
     return spark.read.parquet(f"{folder}/events.parquet").withColumn("event_ts", _utc())
 
 
-@query("stream_traffic_window", _windows_sql(30, 1, closed=True))
-def stream_traffic_window(spark, folder):
-    """Windows of 30 minutes every minute; those the watermark has closed are written."""
-    return shown(_through_stream(spark, live.traffic_windows(_timed_stream(spark, folder))))
+def _traffic(spark, folder, name, dimensions=(), content=None, drops: int = 1, **kinds) -> live.Traffic:
+    """Live traffic tables after a stream over all events, in so many drops; with several, earlier events come late and the stream is started anew for each."""
+    tables = live.Traffic(_shared_layout(spark), name, dimensions)
+    if drops == 1:
+        events = _timed_stream(spark, folder)
+        live.start_traffic(_titled(events), tables, content=content, once=True, **kinds).awaitTermination()
+        return tables
+    inbox, stored = tables.layout.bronze("inbox"), _timed_table(spark, folder)
+    for drop in range(drops):
+        stored.filter(F.pmod(F.xxhash64("event_id"), F.lit(drops)) == drop).write.mode("append").parquet(inbox)
+        events = spark.readStream.schema(stored.schema).parquet(inbox)
+        live.start_traffic(_titled(events), tables, content=content, once=True, **kinds).awaitTermination()
+    return tables
 
 
-@query("stream_traffic_window_approximate")
-def stream_traffic_window_approximate(spark, folder):
-    windows = live.traffic_windows(_timed_stream(spark, folder), exact=False)
-    return shown(_through_stream(spark, windows))
+def _titled(events):
+    return events.withColumn("content_id", F.get_json_object("props", "$.k").cast("bigint"))
 
 
-@query("stream_traffic_by_genre", f"""
+GENRE_WINDOWS_SQL = f"""
     SELECT CAST(window_end - INTERVAL 30 MINUTE AS VARCHAR) AS window_start, CAST(window_end AS VARCHAR) AS window_end, genre,
            count(*) AS events, count(DISTINCT user_id) AS users
     FROM (SELECT user_id, content_id, date_trunc('minute', event_ts) + INTERVAL 1 MINUTE * n AS window_end FROM ({s.VIEWING_EVENTS_SQL}), range(1, 31) r(n))
-    JOIN (SELECT content_id, unnest(genre_array) AS genre FROM ({s.CONTENT_SQL})) USING (content_id)
-    WHERE window_end <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM events) GROUP BY window_end, genre""")
+    JOIN (SELECT content_id, unnest(genre_array) AS genre FROM ({s.CONTENT_SQL})) USING (content_id) GROUP BY window_end, genre"""
+MINUTES_SQL = """SELECT CAST(date_trunc('minute', ts) AS VARCHAR) AS "minute", user_id, count(*) AS events FROM events GROUP BY 1, 2"""
+
+
+@query("stream_traffic_window", _windows_sql(30, 1))
+def stream_traffic_window(spark, folder):
+    """Windows of 30 minutes every minute over all streamed events."""
+    return shown(_traffic(spark, folder, "all").windows(spark))
+
+
+ESTIMATE_ERROR = 0.05
+
+
+@query("stream_traffic_window_approximate", f"SELECT window_start, window_end, events, true AS users_within_error FROM ({_windows_sql(30, 1)})")
+def stream_traffic_window_approximate(spark, folder):
+    """Users estimated from sketches per minute; in each window within 5 % of the exact number (or 1 where there are few)."""
+    estimated = _traffic(spark, folder, "sketched", sketches=True).estimates(spark).withColumnRenamed("users", "estimate")
+    exact = traffic.sliding_from_minutes(live.minute_counts(_timed_table(spark, folder))).select("window_end", "users")
+    within = F.abs(F.col("estimate") - F.col("users")) <= F.greatest(F.lit(1.0), F.col("users") * ESTIMATE_ERROR)
+    return shown(estimated.join(exact, "window_end").select("window_start", "window_end", "events", within.alias("users_within_error")))
+
+
+@query("stream_traffic_by_genre", GENRE_WINDOWS_SQL)
 def stream_traffic_by_genre(spark, folder):
     """Windows of 30 minutes every minute per genre; events meet the titles as counts per minute, title and user."""
-    events = _timed_stream(spark, folder).withColumn("content_id", F.get_json_object("props", "$.k").cast("bigint"))
-    return shown(_through_stream(spark, live.genre_windows(events, s.content(spark, folder))))
+    return shown(_traffic(spark, folder, "genre", ("genre",), s.content(spark, folder)).windows(spark))
 
 
-@query("stream_minute_activity", """
-    SELECT CAST(date_trunc('minute', ts) AS VARCHAR) AS "minute", user_id, count(*) AS events FROM events
-    WHERE date_trunc('minute', ts) + INTERVAL 1 MINUTE <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM events)
-    GROUP BY 1, 2""")
+@query("stream_minute_activity", MINUTES_SQL)
 def stream_minute_activity(spark, folder):
-    return shown(_through_stream(spark, live.minute_activity(_timed_stream(spark, folder))))
+    minutes = _traffic(spark, folder, "all").read(spark, "minutes")
+    return shown(minutes.groupBy("minute", "user_id").agg(F.sum("events").alias("events")))
 
 
-@query("stream_traffic_window_all", _windows_sql(30, 1, closed=False))
+@query("stream_traffic_window_all", _windows_sql(30, 1))
 def stream_traffic_window_all(spark, folder):
-    """Closed windows of the stream with the open and late part from the stored events."""
-    closed = _through_stream(spark, live.traffic_windows(_timed_stream(spark, folder)))
-    return shown(traffic.completed_windows(closed, live.minute_activity(_timed_table(spark, folder))))
+    """The same windows where events come in three drops, each with events of all times."""
+    return shown(_traffic(spark, folder, "all", drops=3).windows(spark))
 
 
-@query("stream_traffic_by_genre_all", f"""
-    SELECT CAST(window_end - INTERVAL 30 MINUTE AS VARCHAR) AS window_start, CAST(window_end AS VARCHAR) AS window_end, genre,
-           count(*) AS events, count(DISTINCT user_id) AS users
-    FROM (SELECT user_id, content_id, date_trunc('minute', event_ts) + INTERVAL 1 MINUTE * n AS window_end FROM ({s.VIEWING_EVENTS_SQL}), range(1, 31) r(n))
-    JOIN (SELECT content_id, unnest(genre_array) AS genre FROM ({s.CONTENT_SQL})) USING (content_id) GROUP BY window_end, genre""")
+@query("stream_traffic_by_genre_all", GENRE_WINDOWS_SQL)
 def stream_traffic_by_genre_all(spark, folder):
-    title = F.get_json_object("props", "$.k").cast("bigint")
-    content = s.content(spark, folder)
-    closed = _through_stream(spark, live.genre_windows(_timed_stream(spark, folder).withColumn("content_id", title), content))
-    titles = live.minute_activity(_timed_table(spark, folder).withColumn("content_id", title), ["content_id"])
-    activity = live.with_genre(titles, content).groupBy("minute", "genre", "user_id").agg(F.sum("events").alias("events"))
-    return shown(traffic.completed_windows(closed, activity, ["genre"]))
+    return shown(_traffic(spark, folder, "genre", ("genre",), s.content(spark, folder), drops=2).windows(spark))
 
 
-@query("stream_minute_activity_all", """
-    SELECT CAST(date_trunc('minute', ts) AS VARCHAR) AS "minute", user_id, count(*) AS events FROM events GROUP BY 1, 2""")
+@query("stream_minute_activity_all", MINUTES_SQL)
 def stream_minute_activity_all(spark, folder):
-    closed = _through_stream(spark, live.minute_activity(_timed_stream(spark, folder)))
-    return shown(traffic.completed_minutes(closed, live.minute_activity(_timed_table(spark, folder))))
+    minutes = _traffic(spark, folder, "all", drops=2).read(spark, "minutes")
+    return shown(minutes.groupBy("minute", "user_id").agg(F.sum("events").alias("events")))
 
 
 # ---- models --------------------------------------------------------------------------

@@ -1,4 +1,4 @@
-"""Answer a saved query, a dashboard number, live traffic or free SQL from the lake's tables, as a table.
+"""Answer a saved query, a dashboard number, live traffic or free SQL from the lake's tables, as a table in the lake.
 
     python -m mediaspark.jobs.ask --base LAKE --out FOLDER top_content limit=500
     python -m mediaspark.jobs.ask --base LAKE streaming_traffic dimension=genre minutes=60
@@ -6,13 +6,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mediaspark.jobs.common import arguments, report, session_and_layout
+from mediaspark.jobs.common import arguments, session_and_layout
 from mediaspark.layout import LakeLayout
 from mediaspark.plans import kpis, saved, traffic
+from mediaspark.sinks.tables import overwrite
 from mediaspark.sources.tables import read_if_present
 
 # Gold and model tables that the queries may read.
@@ -48,25 +50,34 @@ def answer(spark: SparkSession, layout: LakeLayout, name: str, parameters: Mappi
         return saved.query_analytics(spark, tables, given["sql"])
     if name == "streaming_traffic":
         events, content, users = (read_if_present(spark, layout, "silver", t) for t in ("viewing_events", "content_enriched", "users"))
+        if events is None:
+            raise ValueError("there is no silver table viewing_events to answer streaming_traffic from")
         minutes = int(given.pop("minutes", traffic.LIVE_MINUTES))
         return traffic.streaming_traffic(events, content=content, users=users, minutes=minutes, **given)
     if name not in ANSWERS:
         raise ValueError(f"no query {name!r}; there are {', '.join(sorted([*ANSWERS, 'pipeline_health', 'query_analytics', 'streaming_traffic']))}")
-    return ANSWERS[name](tables, **given)
+    try:
+        return ANSWERS[name](tables, **given)
+    except KeyError as missing:
+        raise ValueError(f"there is no gold table {missing.args[0]} to answer {name} from") from missing
+
+
+def write_answer(result: DataFrame, layout: LakeLayout, name: str, out: str | None = None) -> tuple[str, int]:
+    """Where the answer was written, and its number of rows as the write counted them."""
+    path = out or layout.table("answers", f"{name}-{uuid.uuid4().hex}")
+    return path, overwrite(result, path, layout.fmt)
 
 
 def main() -> None:
     parser = arguments(__doc__)
-    parser.add_argument("--out", default=None, help="folder for the result; printed if left out")
+    parser.add_argument("--out", default=None, help="folder for the result; a new one in the lake's answers if left out")
     parser.add_argument("name")
     parser.add_argument("parameters", nargs="*", help="name=value")
     given = parser.parse_args()
     spark, layout = session_and_layout("ask", given)
     result = answer(spark, layout, given.name, dict(p.split("=", 1) for p in given.parameters))
-    if given.out:
-        result.write.mode("overwrite").format(given.format).save(given.out)
-    else:
-        report(result)
+    path, rows = write_answer(result, layout, given.name, given.out)
+    print(f"{path}: {rows} rows")
     spark.stop()
 
 

@@ -1,21 +1,50 @@
-"""Ingest the event topic into bronze until interrupted."""
+"""Ingest the event topic into bronze until interrupted, and with ``--live`` keep the live traffic tables as well."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
 from mediaspark.jobs.common import arguments, session_and_layout
+from mediaspark.layout import LakeLayout
 from mediaspark.sources.messages import read_topic
-from mediaspark.streaming.ingest import run_until_stopped, start_ingest
+from mediaspark.sources.tables import read_table
+from mediaspark.streaming import live
+from mediaspark.streaming.ingest import parse_viewing_events, run_until_stopped, start_ingest
+
+# Messages of one micro-batch, so that catching up is not one huge batch.
+MOST_PER_TRIGGER = 5_000_000
+
+
+def live_tables(layout: LakeLayout) -> dict[str, live.Traffic]:
+    """Kinds of live traffic that the job keeps."""
+    return {"all": live.Traffic(layout, "all"), "device": live.Traffic(layout, "device", ("device_category",)), "genre": live.Traffic(layout, "genre", ("genre",))}
+
+
+def start(spark: SparkSession, raw: DataFrame, layout: LakeLayout, *, with_live: bool = False, once: bool = False) -> list[StreamingQuery]:
+    """The ingest, and one stream for each kind of live traffic; genres are those of the silver titles at the start."""
+    running = [start_ingest(raw, layout, once=once)]
+    if with_live:
+        events = live.timed(parse_viewing_events(raw))
+        content = read_table(spark, layout, "silver", "content_enriched")
+        for name, tables in live_tables(layout).items():
+            running.append(live.start_traffic(events, tables, content=content if name == "genre" else None, once=once))
+    return running
 
 
 def main() -> None:
     parser = arguments(__doc__)
     parser.add_argument("--servers", required=True)
     parser.add_argument("--topic", required=True)
-    parser.add_argument("--max-per-trigger", type=int, default=None)
+    parser.add_argument("--max-per-trigger", type=int, default=MOST_PER_TRIGGER)
+    parser.add_argument("--live", action="store_true", help="keep the tables of live traffic too")
     given = parser.parse_args()
     spark, layout = session_and_layout("stream", given)
     topic = read_topic(spark, given.servers, given.topic, max_per_trigger=given.max_per_trigger)
-    run_until_stopped(start_ingest(topic, layout))
+    queries = start(spark, topic, layout, with_live=given.live)
+    run_until_stopped(queries[0])
+    for query in queries[1:]:
+        query.stop()
     spark.stop()
 
 

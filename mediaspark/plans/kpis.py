@@ -92,6 +92,13 @@ def watch_hours_histogram(engagement: DataFrame, bins: int = HISTOGRAM_BINS) ->
     )
 
 
-def to_client(small: DataFrame) -> pd.DataFrame:
-    """Hand an aggregated result to a chart."""
-    return small.toPandas()
+# A chart shows no more; larger results belong in a table.
+MOST_CLIENT_ROWS = 10_000
+
+
+def to_client(small: DataFrame, most: int = MOST_CLIENT_ROWS) -> pd.DataFrame:
+    """Hand an aggregated result to a chart; one of more than ``most`` rows is refused, not cut."""
+    rows = small.limit(most + 1).toPandas()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rows are too many for a chart")
+    return rows

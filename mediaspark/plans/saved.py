@@ -6,10 +6,10 @@ values come out the same way each time. No match is an empty result, not an erro
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -178,28 +178,63 @@ def overall_health(health: DataFrame) -> DataFrame:
     )
 
 
+# Leaves that hold no table, and functions that reach outside the query.
+HARMLESS_LEAVES = {"OneRowRelation", "LocalRelation", "CTERelationRef"}
+REFUSED_EXPRESSIONS = {"CallMethodViaReflection", "TryReflect", "InputFileName", "PythonUDF", "ScalaUDF"}
+
+
+def _refused(plan, own: set[str]) -> set[str]:
+    """What an analyzed plan reads or calls beyond the views of the given names.
+
+    The walk goes through children, subqueries and CTEs, and stops at the given views; so whatever a name was resolved
+    to, by an identifier clause, a path, a function or a CTE of the same name elsewhere, is judged as what it is.
+    """
+    kind = plan.getClass().getSimpleName().rstrip("$")
+    if kind == "View" and plan.desc().identifier().table() in own:
+        return set()
+    children, found = _items(plan.children()), set()
+    if not children and kind not in HARMLESS_LEAVES:
+        found.add(f"{kind} {plan.simpleString(3)}"[:200])
+    expressions = _items(plan.expressions())
+    while expressions:
+        expression = expressions.pop()
+        name = expression.getClass().getSimpleName()
+        if name in REFUSED_EXPRESSIONS:
+            found.add(f"{name} {expression.sql()}"[:200])
+        expressions += _items(expression.children())
+    return found.union(*(_refused(below, own) for below in [*children, *_items(plan.subqueries())]))
+
+
+def _items(sequence) -> list:
+    return [sequence.apply(i) for i in range(sequence.size())]
+
+
 def query_analytics(spark: SparkSession, tables: Tables, sql: str) -> DataFrame:
     """Run the caller's own query with every table visible under its name.
 
-    The text is planned as a subquery, so a statement that changes anything does not parse, and it may
-    name the given tables and its own CTEs only. The views it is planned with have names of their own and
-    are dropped again, so views of the caller's stay as they are.
+    The text is planned as a subquery, so a statement that changes anything does not parse. What the analyzed plan
+    reads must be the given tables, its own CTEs and inline values; table functions, other tables, views, paths, UDFs
+    and calls of Java methods are refused. The views it is planned with have names of their own and are dropped again,
+    so views of the caller's stay as they are.
     """
     text = sql.strip().rstrip(";")
     if not text:
         raise ValueError("there is no query to run")
     whole = f"SELECT * FROM (\n{text}\n)"
-    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(whole).toString()
-    own = {name.strip().lower() for names in re.findall(r"CTE \[([^\]]*)\]", plan) for name in names.split(",")}
-    named = {name.lower() for name in re.findall(r"'UnresolvedRelation \[([^\]]*)\]", plan)}
-    if refused := named - own - {name.lower() for name in tables}:
-        raise ValueError(f"the query may not read {', '.join(sorted(refused))}")
+    spark._jsparkSession.sessionState().sqlParser().parsePlan(whole)  # the text alone must be a query
     views = {name: f"{name}_{uuid.uuid4().hex}" for name in tables}
     for name, view in views.items():
         tables[name].createOrReplaceTempView(view)
     try:
         defined = ", ".join(f"{name} AS (SELECT * FROM {view})" for name, view in views.items())
-        return spark.sql(f"WITH {defined} {whole}" if defined else whole)
+        answer = spark.sql(f"WITH {defined} {whole}" if defined else whole)
+        if refused := _refused(answer._jdf.queryExecution().analyzed(), {v.lower() for v in views.values()}):
+            raise ValueError(f"the query may not read {', '.join(sorted(refused))}")
+        return answer
+    except AnalysisException as fault:
+        if fault.getCondition() == "TABLE_OR_VIEW_NOT_FOUND":
+            raise ValueError(f"the query may not read what is not given: {fault.getMessage()}") from fault
+        raise
     finally:
         for view in views.values():
             spark.catalog.dropTempView(view)

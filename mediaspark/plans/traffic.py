@@ -99,12 +99,11 @@ def streaming_traffic(
     raise ValueError(f"no events by {dimension}")
 
 
-def sliding_from_minutes(activity: DataFrame, dimensions=(), minutes: int = LIVE_MINUTES) -> DataFrame:
-    """Sliding windows, one per minute, from the per-minute table; users are counted exactly.
+def activity_changes(activity: DataFrame, dimensions=(), minutes: int = LIVE_MINUTES) -> DataFrame:
+    """When events (e) and users (u) enter and leave the sliding windows: ``at`` is the end of the first window concerned.
 
     A user is in the windows that end 1 to ``minutes`` minutes after an active one. Where such runs of windows
-    begin and end is told by the user's minute before and after, so each row gives two changes at most, and a
-    running sum over minutes gives the numbers. The windows over minutes see a row a minute and dimension value.
+    begin and end is told by the user's minute before and after, so each row gives two changes at most.
     """
     length = F.make_dt_interval(mins=F.lit(minutes))
     step = F.make_dt_interval(mins=F.lit(1))
@@ -119,10 +118,17 @@ def sliding_from_minutes(activity: DataFrame, dimensions=(), minutes: int = LIVE
         F.struct((F.col("minute") + step).alias("at"), F.col("events").alias("e"), F.col("begins").alias("u")),
         F.struct((F.col("minute") + step + length).alias("at"), (-F.col("events")).alias("e"), F.col("ends").alias("u")),
     ))
-    changes = moved.select(*dimensions, change).groupBy("at", *dimensions).agg(F.sum("e").alias("e"), F.sum("u").alias("u"))
+    return moved.select(*dimensions, change).groupBy("at", *dimensions).agg(F.sum("e").alias("e"), F.sum("u").alias("u"))
+
+
+def windows_of(changes: DataFrame, dimensions=(), minutes: int = LIVE_MINUTES) -> DataFrame:
+    """Sliding windows, one per minute, as running sums of their changes; a row a minute and dimension value is sorted."""
+    length = F.make_dt_interval(mins=F.lit(minutes))
+    step = F.make_dt_interval(mins=F.lit(1))
+    together = changes.groupBy("at", *dimensions).agg(F.sum("e").alias("e"), F.sum("u").alias("u"))
     in_time = Window.partitionBy(*dimensions).orderBy("at")
     running = in_time.rowsBetween(Window.unboundedPreceding, 0)
-    numbers = changes.select(
+    numbers = together.select(
         "at", *dimensions, F.sum("e").over(running).alias("events"), F.sum("u").over(running).alias("users"), F.lead("at").over(in_time).alias("next")
     ).where("events > 0")  # the last change leaves no events, so there is a next one
     window_end = F.explode(F.sequence(F.col("at"), F.col("next") - step, step)).alias("window_end")
@@ -131,41 +137,17 @@ def sliding_from_minutes(activity: DataFrame, dimensions=(), minutes: int = LIVE
     )
 
 
-def _lacking(expected: DataFrame, closed: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys whose number of events is not in the closed rows, or is another there."""
-    theirs = closed.select(*[F.col(k).alias(f"{k}_") for k in keys], F.col("events").alias("events_"))
-    same = [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys] + [F.col("events") == F.col("events_")]
-    return expected.join(theirs, same, "left_anti").select(*keys)
-
-
-def _matched(rows: DataFrame, wanted: DataFrame, keys: list[str], how: str) -> DataFrame:
-    named = wanted.select(*[F.col(k).alias(f"{k}_") for k in keys])
-    return rows.join(named, [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys], how)
-
-
-def completed_minutes(closed: DataFrame, activity: DataFrame, dimensions=()) -> DataFrame:
-    """The stream's closed minutes, and from the per-minute table of all events those that it holds open or that lack late rows.
-
-    A row that the stream has not taken lowers a minute's number of events; so equal numbers tell that none is missing.
-    """
-    keys = ["minute", *dimensions]
-    numbers = activity.groupBy(*keys).agg(F.sum("events").alias("events"))
-    lacking = _lacking(numbers, closed.groupBy(*keys).agg(F.sum("events").alias("events")), keys)
-    columns = [*keys, "user_id", "events"]
-    return _matched(closed, lacking, keys, "left_anti").select(*columns).unionByName(_matched(activity, lacking, keys, "left_semi").select(*columns))
-
+def sliding_from_minutes(activity: DataFrame, dimensions=(), minutes: int = LIVE_MINUTES) -> DataFrame:
+    """Sliding windows, one per minute, from the per-minute table; users are counted exactly, in work linear in its rows."""
+    return windows_of(activity_changes(activity, dimensions, minutes), dimensions, minutes)
 
-def completed_windows(closed: DataFrame, activity: DataFrame, dimensions=(), minutes: int = LIVE_MINUTES) -> DataFrame:
-    """The stream's closed windows, and from the per-minute table of all events those that it holds open or that lack late rows.
 
-    Which these are, numbers of events without users tell; only their minutes are rolled up with users.
-    """
-    keys = ["window_start", "window_end", *dimensions]
-    numbers = activity.groupBy("minute", *dimensions).agg(F.sum("events").alias("events"))
-    expected = sliding_from_minutes(numbers.withColumn("user_id", F.lit(None).cast("string")), dimensions, minutes)
-    lacking = _lacking(expected, closed, keys)
+def sliding_estimates(sketches: DataFrame, dimensions=(), minutes: int = LIVE_MINUTES) -> DataFrame:
+    """Sliding windows with estimated users, from events and user sketches per minute; only a row a minute meets its windows."""
     step = F.make_dt_interval(mins=F.lit(1))
-    reached = lacking.select(*dimensions, F.explode(F.sequence("window_start", F.col("window_end") - step, step)).alias("minute")).distinct()
-    again = sliding_from_minutes(_matched(activity, reached, ["minute", *dimensions], "left_semi"), dimensions, minutes)
-    columns = [*keys, "events", "users"]
-    return _matched(closed, lacking, keys, "left_anti").select(*columns).unionByName(_matched(again, lacking, keys, "left_semi").select(*columns))
+    first = F.col("minute") + step
+    ends = F.explode(F.sequence(first, F.col("minute") + F.make_dt_interval(mins=F.lit(minutes)), step)).alias("window_end")
+    merged = sketches.groupBy("minute", *dimensions).agg(F.sum("events").alias("events"), F.hll_union_agg("sketch").alias("sketch"))
+    placed = merged.select("events", "sketch", *dimensions, ends)
+    counted = placed.groupBy("window_end", *dimensions).agg(F.sum("events").alias("events"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("users"))
+    return counted.select((F.col("window_end") - F.make_dt_interval(mins=F.lit(minutes))).alias("window_start"), "window_end", *dimensions, "events", "users")

@@ -162,6 +162,12 @@ def test_questions_are_answered_from_the_tables_of_the_lake(spark, lake):
         ask.answer(spark, layout, "anything")
     with pytest.raises(ValueError, match="may not read"):
         ask.answer(spark, layout, "query_analytics", {"sql": "SELECT * FROM nowhere"})
+    empty = LakeLayout(layout.base + "-empty")
+    for name, table in (("streaming_traffic", "viewing_events"), ("top_content", "content_watch_metrics")):
+        with pytest.raises(ValueError, match=table):
+            ask.answer(spark, empty, name)
+    path, rows = ask.write_answer(ask.answer(spark, layout, "genre_popularity"), layout, "genre_popularity")
+    assert rows == 2 == spark.read.parquet(path).count() and path.startswith(layout.table("answers", ""))
 
 
 def test_events_as_lines_replace_the_array(spark, tmp_path):

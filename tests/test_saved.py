@@ -120,6 +120,44 @@ def test_query_analytics_reads_the_given_tables_only(spark, tmp_path):
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("genres_")]
 
 
+def test_what_a_name_is_resolved_to_is_judged(spark, tmp_path):
+    tables = {"ok": frame(spark, "x long", (1,), (2,)), "few": frame(spark, "x long", (1,), (2,)).filter("x = 1")}
+    frame(spark, "x long", (7,)).write.parquet(f"{tmp_path}/t")
+    spark.read.parquet(f"{tmp_path}/t").createOrReplaceTempView("secret")
+    spark.range(3).createOrReplaceTempView("numbers_elsewhere")
+    spark.udf.register("shout", lambda x: x)
+    for sql in (
+        f"SELECT count(*) FROM IDENTIFIER('parquet.`{tmp_path}/t`')",
+        "SELECT * FROM IDENTIFIER('secret')",
+        "SELECT * FROM IDENTIFIER('se' || 'cret')",
+        "SELECT count(*) FROM secret WHERE 1 IN (WITH secret AS (SELECT 1 AS x) SELECT x FROM secret)",
+        "SELECT x FROM ok WHERE EXISTS (SELECT 1 FROM numbers_elsewhere WHERE id = x)",
+        "SELECT x, (SELECT max(x) FROM secret) AS most FROM ok",
+        "SELECT * FROM ok, LATERAL (SELECT max(x) AS most FROM secret)",
+        "SELECT x FROM ok UNION ALL SELECT x FROM secret",
+        "SELECT * FROM range(10)",
+        "SELECT * FROM ok JOIN range(10) ON x = id",
+        "SELECT reflect('java.lang.System', 'getProperty', 'user.home') FROM ok",
+        "SELECT x FROM ok ORDER BY java_method('java.util.UUID', 'randomUUID')",
+        "SELECT input_file_name() FROM ok",
+        "SELECT shout(x) FROM ok",
+        "SELECT * FROM (TABLE secret)",
+    ):
+        with pytest.raises(ValueError, match="may not read"):
+            saved.query_analytics(spark, tables, sql)
+    for sql, expected in (
+        ("SELECT sum(x) FROM ok WHERE x IN (SELECT x FROM few)", [(1,)]),
+        ("WITH t AS (SELECT x FROM ok), u AS (SELECT x + 1 AS y FROM t) SELECT max(y) FROM u JOIN t ON x = y", [(2,)]),
+        ("SELECT y FROM ok LATERAL VIEW explode(array(x, x * 10)) AS y WHERE x = 2 ORDER BY y", [(2,), (20,)]),
+        ("SELECT a.x FROM ok a JOIN IDENTIFIER('few') b ON a.x = b.x", [(1,)]),
+        ("SELECT count(*) FROM (VALUES (1), (2)) v(x) JOIN ok USING (x)", [(2,)]),
+        ("SELECT max(x) FROM ok WHERE x > (SELECT min(x) FROM few)", [(2,)]),
+        ("WITH ok AS (SELECT 9 AS x) SELECT x FROM ok", [(9,)]),
+    ):
+        assert in_order(saved.query_analytics(spark, tables, sql)) == expected
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(("ok_", "few_"))]
+
+
 def test_overview(spark):
     daily = frame(
         spark, "event_date string, daily_active_users long, total_views long, total_watch_time_sec double",
@@ -131,7 +169,9 @@ def test_overview(spark):
     assert collected(kpis.plan_status(plans)) == [
         ("A", "Active", 5), ("A", "Cancelled", 1), ("B", "Active", 6), ("B", "Cancelled", 2)
     ]
-    assert list(kpis.to_client(plans)["plan_id"]) == ["A", "B"]
+    assert list(kpis.to_client(plans)["plan_id"]) == ["A", "B"] and len(kpis.to_client(plans, most=2)) == 2
+    with pytest.raises(ValueError, match="too many"):
+        kpis.to_client(plans, most=1)
 
 
 def test_charts(spark):

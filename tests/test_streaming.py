@@ -1,11 +1,13 @@
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from mediaspark.layout import LakeLayout
 from mediaspark.operators import silver
+from mediaspark.plans import traffic
 from mediaspark.sources.messages import read_message_files
 from mediaspark.sources.tables import read_if_present, read_table
 from mediaspark.streaming import ingest, live
@@ -92,29 +94,84 @@ EVENTS = [message(i, f"e{i}", minute, user) for i, (minute, user) in enumerate(
 )]
 
 
-def windows_by_hand(length, slide, until):
-    """Every window that ends by ``until`` minutes: events and users."""
+def windows_by_hand(length, events=EVENTS):
+    """Every window, one a minute: its end, events and users."""
     placed = {}
-    for body in (json.loads(m["value"]) for m in EVENTS):
-        at = (dt.datetime.fromisoformat(body["event_ts"][:-1]) - START).total_seconds() / 60
-        start = at // slide * slide
-        while start > at - length:
-            placed.setdefault(start, []).append(body["user_id"])
-            start -= slide
-    return sorted((start, len(users), len(set(users))) for start, users in placed.items() if start + length <= until)
-
-
-@pytest.mark.parametrize("exact", [True, False])
-def test_traffic_windows_match_a_count_by_hand(spark, tmp_path, lake, exact):
-    inbox = tmp_path / "in"
-    drop(inbox, "1.json", EVENTS[:4])
-    windows = dict(length="10 minutes", slide="5 minutes", exact=exact)
-    run(spark, live.traffic_windows(stream_of(spark, inbox), **windows), lake, "w")
-    drop(inbox, "2.json", EVENTS[4:])
-    result = run(spark, live.traffic_windows(stream_of(spark, inbox), **windows), lake, "w")
-    since = F.lit(START.isoformat() + "Z").cast("timestamp").cast("long")
-    found = sorted(tuple(r) for r in result.select(((F.col("window_start").cast("long") - since) / 60), "events", "users").collect())
-    assert found == windows_by_hand(10, 5, until=90 - 10)
+    for body in (json.loads(m["value"]) for m in events):
+        at = int((dt.datetime.fromisoformat(body["event_ts"][:-1]) - START).total_seconds() // 60)
+        for end in range(at + 1, at + length + 1):
+            placed.setdefault(end, []).append(body["user_id"])
+    return sorted((end, len(users), len(set(users))) for end, users in placed.items())
+
+
+MINUTE = f"CAST((unix_seconds(window_end) - {int(START.replace(tzinfo=dt.UTC).timestamp())}) DIV 60 AS INT)"
+
+
+def traffic_of(spark, inbox, tables, content=None, sketches=False):
+    finish(live.start_traffic(stream_of(spark, inbox), tables, content=content, sketches=sketches, once=True))
+
+
+@pytest.mark.parametrize("order", ["as sent", "late ones last", "one by one"])
+def test_live_windows_match_a_count_by_hand(spark, tmp_path, lake, order):
+    inbox, tables = tmp_path / "in", live.Traffic(lake, "all", length=10)
+    drops = {"as sent": [EVENTS[:4], EVENTS[4:]], "late ones last": [EVENTS[5:], EVENTS[:2], EVENTS[2:5]], "one by one": [[e] for e in EVENTS[:5]]}[order]
+    for i, drop_ in enumerate(drops):
+        drop(inbox, f"{i}.json", drop_)
+        traffic_of(spark, inbox, tables)
+    sent = [e for d in drops for e in d]
+    expected = windows_by_hand(10, sent)
+    assert sorted(collected(tables.windows(spark).selectExpr(MINUTE, "events", "users"))) == expected
+    for since, until in ((0, 12), (5, 15), (11, 30), (40, 95)):
+        at = [START.replace(tzinfo=dt.UTC) + dt.timedelta(minutes=m) for m in (since, until)]
+        part = tables.windows_between(spark, *at).selectExpr(MINUTE, "events", "users")
+        assert sorted(collected(part)) == [w for w in expected if since < w[0] <= until]
+
+
+def test_live_windows_by_dimension_equal_a_roll_up_of_all(spark, tmp_path, lake):
+    rng = random.Random(3)
+    inbox, tables = tmp_path / "in", live.Traffic(lake, "device", ("device_category",), length=7)
+    for go in range(3):
+        drop(inbox, f"{go}.json", [message(i, f"e{go}-{i}", rng.randrange(90), rng.choice("abcd"), device_category=rng.choice([None, "tv", "web"])) for i in range(60)])
+        traffic_of(spark, inbox, tables)
+    everything = live.timed(ingest.parse_viewing_events(spark.read.schema("value string, partition int, offset long").json(str(inbox))))
+    whole = traffic.sliding_from_minutes(live.minute_counts(everything, ["device_category"]), ["device_category"], minutes=7)
+    key = lambda df: sorted(map(repr, df.select("window_end", "device_category", "events", "users").collect()))
+    assert key(tables.windows(spark)) == key(whole)
+
+
+def test_a_batch_that_is_run_again_replaces_its_own_rows(spark, lake):
+    tables = live.Traffic(lake, "again", length=10)
+    times = lambda *minutes: spark.createDataFrame([(START + dt.timedelta(minutes=m), "u") for m in minutes], "event_ts timestamp, user_id string")
+    live.take_traffic(times(0, 3), 0, tables=tables)
+    live.take_traffic(times(8, 30), 1, tables=tables)
+    once = collected(tables.windows(spark))
+    live.take_traffic(times(8, 30), 1, tables=tables)
+    assert collected(tables.windows(spark)) == once
+    live.take_traffic(times(), 2, tables=tables)
+    assert collected(tables.windows(spark)) == once
+
+
+def test_estimates_are_near_the_exact_numbers(spark, lake):
+    rng = random.Random(4)
+    rows = [(START + dt.timedelta(minutes=rng.randrange(20)), rng.randrange(4_000)) for _ in range(10_000)]
+    events, tables = spark.createDataFrame(rows, "event_ts timestamp, user_id long"), live.Traffic(lake, "sketch", length=10)
+    for batch in range(2):
+        live.take_traffic(events.filter(F.col("user_id") % 2 == batch), batch, tables=tables, sketches=True)
+    exact = {r.window_end: (r.events, r.users) for r in traffic.sliding_from_minutes(live.minute_counts(events), minutes=10).collect()}
+    found = {r.window_end: (r.events, r.users) for r in tables.estimates(spark).collect()}
+    assert found.keys() == exact.keys() and all(found[k][0] == exact[k][0] for k in exact)
+    assert all(abs(found[k][1] - exact[k][1]) <= max(1, 0.05 * exact[k][1]) for k in exact)
+
+
+def test_only_days_and_minutes_within_reach_are_read(spark, lake):
+    tables = live.Traffic(lake, "days")
+    far = spark.range(96).select(F.timestamp_seconds(F.col("id") * 3600 + 1_700_000_000).alias("event_ts"), F.lit("u").alias("user_id"))
+    live.take_traffic(far, 0, tables=tables)
+    live.take_traffic(far.limit(0), 1, tables=tables)
+    counts = live.minute_counts(far.limit(1).withColumn("event_ts", F.timestamp_seconds(F.lit(1_700_040_000))))
+    plan = live._affected(spark, tables, 2, counts)._jdf.queryExecution().executedPlan().toString()
+    scan = plan[plan.index("PartitionFilters"):]
+    assert "day" in scan[: scan.index("]")] and "GreaterThanOrEqual(minute" in scan and "CartesianProduct" not in plan
 
 
 def test_late_events_are_left_out_of_closed_windows(spark, tmp_path, lake):
@@ -130,11 +187,30 @@ def test_late_events_are_left_out_of_closed_windows(spark, tmp_path, lake):
 
 
 def test_stream_is_joined_to_titles(spark, tmp_path, lake):
-    inbox = tmp_path / "in"
-    drop(inbox, "1.json", [message(0, "e1", 0, "a", "c1"), message(1, "e2", 1, "b", "c2"), message(2, "e3", 1, "b", "gone"), message(3, "e4", 99)])
+    inbox, tables = tmp_path / "in", live.Traffic(lake, "genre", ("genre",), length=2)
     content = frame(spark, "content_id string, genre_array array<string>", ("c1", ["A", "B"]), ("c2", ["B"]))
-    windows = live.genre_windows(stream_of(spark, inbox), content, slide="30 minutes")
-    assert collected(run(spark, windows, lake, "g"), "genre", "events", "users") == [("A", 1, 1), ("B", 2, 2)]
+    drop(inbox, "1.json", [message(0, "e1", 0, "a", "c1"), message(1, "e2", 1, "b", "c2")])
+    traffic_of(spark, inbox, tables, content)
+    drop(inbox, "2.json", [message(2, "e3", 1, "b", "gone"), message(3, "e4", 0, "a", "c2")])
+    traffic_of(spark, inbox, tables, content)
+    found = tables.windows(spark).selectExpr(MINUTE, "genre", "events", "users")
+    assert collected(found) == [(1, "A", 1, 1), (1, "B", 2, 1), (2, "A", 1, 1), (2, "B", 3, 2), (3, "B", 1, 1)]
+
+
+def test_the_stream_job_keeps_live_tables(spark, tmp_path, lake):
+    from mediaspark.jobs import stream
+    from mediaspark.sinks.tables import overwrite
+
+    inbox = tmp_path / "in"
+    overwrite(frame(spark, "content_id string, genre_array array<string>", ("c1", ["A", "B"])), lake.silver("content_enriched"), lake.fmt)
+    drop(inbox, "1.json", [*EVENTS[:3], {"value": "{broken", "partition": 1, "offset": 100}])
+    for query in stream.start(spark, read_message_files(spark, str(inbox)), lake, with_live=True, once=True):
+        finish(query)
+    assert read_table(spark, lake, "bronze", ingest.TABLE).count() == 4
+    tables = stream.live_tables(lake)
+    whole = collected(tables["all"].windows(spark))
+    assert len(whole) == 34 and [row[3] for row in collected(tables["genre"].windows(spark).filter("genre = 'B'"))] == [row[2] for row in whole]
+    assert collected(tables["device"].windows(spark).select("device_category").distinct()) == [(None,)]
 
 
 def test_interrupt_stops_the_query():

@@ -75,18 +75,3 @@ def test_sliding_windows_from_minutes(spark):
         (dt.datetime(2024, 1, 1, 0, 1), 2, 1), (dt.datetime(2024, 1, 1, 0, 2), 3, 1),
         (dt.datetime(2024, 1, 1, 0, 3), 2, 2), (dt.datetime(2024, 1, 1, 0, 4), 1, 1),
     ]
-
-
-def test_open_and_late_windows_are_completed(spark):
-    """The closed rows lack a late row of minute 1 and all from minute 6 on."""
-    rows = [(1, "a", "u"), (1, "a", "v"), (2, "a", "u"), (3, None, "w"), (6, "a", "u"), (7, "b", None), (7, "b", "x")]
-    minutes = lambda found: spark.createDataFrame(found, "m int, genre string, user_id string").select(
-        F.timestamp_seconds(F.col("m") * 60).alias("minute"), "genre", "user_id"
-    ).groupBy("minute", "genre", "user_id").agg(F.count(F.lit(1)).alias("events"))
-    activity, taken = minutes(rows), minutes([r for r in rows if r != (1, "a", "v") and r[0] < 6])
-    key = lambda df: sorted(map(repr, (tuple(r) for r in df.collect())))
-    whole = traffic.sliding_from_minutes(activity, ["genre"], minutes=3)
-    closed = traffic.sliding_from_minutes(taken, ["genre"], minutes=3)
-    assert key(closed) != key(whole) and key(traffic.completed_windows(closed, activity, ["genre"], minutes=3)) == key(whole)
-    columns = ["minute", "genre", "user_id", "events"]
-    assert key(traffic.completed_minutes(taken, activity, ["genre"])) == key(activity.select(*columns))
