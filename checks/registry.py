@@ -12,7 +12,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks import standins as s
@@ -23,7 +23,7 @@ from mediaspark.jobs import increments
 from mediaspark.jobs import silver as silver_job
 from mediaspark.jobs import validate as validate_job
 from mediaspark.layout import LakeLayout
-from mediaspark.ml import churn, features, popularity, recommend
+from mediaspark.ml import churn, features, popularity, products, recommend
 from mediaspark.operators import gold, quality, silver
 from mediaspark.plans import kpis, layer_checks, questions, saved, traces, traffic
 from mediaspark.session import shared_folder
@@ -1120,3 +1120,17 @@ def ml_recommendations(spark, folder):
     users = _written(spark, recommend.user_numbers(viewers))
     titles = _written(spark, recommend.title_numbers(viewers))
     return recommend.recommend(viewers, s.content(spark, folder), users, titles)
+
+
+@query("ml_best_items", """
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+    scored AS (SELECT u.vec_id AS "user", i.vec_id AS item, list_dot_product(u.e, i.e) * (1 + i.vec_id % 7) AS score FROM v u, v i),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item) AS place FROM scored)
+    SELECT "user", item, place, round(score, 6) AS score FROM ranked WHERE place <= 10""")
+def ml_best_items(spark, folder):
+    """The ten greatest products of every vector with all vectors, which are stretched so that lengths differ."""
+    vectors = s.read(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("features"))
+    stretched = vectors.withColumn("features", F.transform("features", lambda x: x * (1 + F.col("id") % 7)))
+    best = products.best_products(vectors, stretched, 10, block_rows=100, group_rows=200)
+    place = F.row_number().over(Window.partitionBy("user").orderBy(F.desc("score"), "item"))
+    return best.select("user", "item", place.alias("place"), F.round("score", 6).alias("score"))

@@ -1,27 +1,23 @@
 """Personal recommendations: implicit ALS on views, best titles per user.
 
-ALS scores every user against every title. Here the title factors, a block of checked
-size at a time, are broadcast and scored where the user factors lie: nothing is joined or
-shuffled, and each user keeps k titles per block. A catalogue larger than one block takes
-several blocks, whose results are merged exactly.
+ALS scores every user against every title. Here a user meets only the blocks of titles whose
+factors are long enough to hold one of its k best (see ``products``); the result is exact.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mediaspark.ml.features import LARGEST_ALS_ID, dense_ids
+from mediaspark.ml.products import best_products
 
 SEED = 42
 RANK = 10
 ITERATIONS = 10
 TOP_TITLES = 10
-BLOCK_BYTES = 64 * 1024 * 1024
-SCORED = "user int, item int, score double"
+BLOCK_BYTES = 4 * 1024 * 1024
 
 
 def interactions(viewers: DataFrame, user_ids: DataFrame, content_ids: DataFrame) -> DataFrame:
@@ -51,50 +47,9 @@ def train(pairs: DataFrame, blocks: int = 10) -> ALSModel:
 
 
 def best_items(model: ALSModel, k: int = TOP_TITLES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The k highest-scoring items of each user."""
-    per_block = max(1, block_bytes // (4 * model.rank))
-    last = model.itemFactors.agg(F.max("id")).first()[0]
-    parts = []
-    for start in range(0, (-1 if last is None else last) + 1, per_block):
-        block = model.itemFactors.filter(F.col("id").between(start, start + per_block - 1))
-        parts.append(_score_block(model.userFactors, block, k))
-    if not parts:
-        return model.userFactors.sparkSession.createDataFrame([], SCORED)
-    scored = reduce(DataFrame.union, parts)
-    if len(parts) == 1:
-        return scored
-    order = Window.partitionBy("user").orderBy(F.desc("score"), "item")
-    return scored.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= k).drop("_rank")
-
-
-def _score_block(user_factors: DataFrame, block: DataFrame, k: int) -> DataFrame:
-    import numpy as np
-
-    rows = block.orderBy("id").toPandas()  # at most ``block_bytes`` of factors
-    if rows.empty:
-        return user_factors.sparkSession.createDataFrame([], SCORED)
-    shared = user_factors.sparkSession.sparkContext.broadcast(
-        (rows["id"].to_numpy("int32"), np.stack(rows["features"].to_numpy()).astype("float32"))
-    )
-
-    def score(batches, users_at_once=256):
-        import numpy as np
-        import pandas as pd
-
-        ids, factors = shared.value
-        kept = min(k, len(ids))
-        for batch in batches:
-            for at in range(0, len(batch), users_at_once):
-                part = batch.iloc[at:at + users_at_once]
-                scores = np.stack(part["features"].to_numpy()).astype("float32") @ factors.T
-                best = np.argpartition(-scores, kept - 1, axis=1)[:, :kept]
-                yield pd.DataFrame({
-                    "user": np.repeat(part["id"].to_numpy("int32"), kept),
-                    "item": ids[best].ravel(),
-                    "score": np.take_along_axis(scores, best, axis=1).ravel().astype("float64"),
-                })
-
-    return user_factors.mapInPandas(score, SCORED)
+    """The k highest-scoring items of each user, with items in blocks of at most about ``block_bytes``."""
+    factors = (table.select("id", "features") for table in (model.userFactors, model.itemFactors))
+    return best_products(*factors, k, block_rows=max(1, block_bytes // (8 * model.rank)))
 
 
 def known_viewers(viewers: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from mediaspark.ml import churn, features, forest, popularity, recommend
+from mediaspark.ml import churn, features, forest, popularity, products, recommend
 from tests.helpers import collected, frame, plan_of
 
 D = dt.date
@@ -138,9 +138,36 @@ def test_best_items_equal_brute_force(model, block_bytes):
         assert np.allclose([s for _, s in ours], [s for s, _ in scores[:10]], atol=1e-5)
 
 
-def test_best_items_need_no_join(model):
-    plan = plan_of(recommend.best_items(model, 3))
-    assert "Join" not in plan and "Cartesian" not in plan and "MapInPandas" in plan
+def factors(spark, rows):
+    return spark.createDataFrame(rows, "id int, features array<float>")
+
+
+@pytest.mark.parametrize("block_rows,group_rows", [(1_000, 1_000), (7, 5), (1, 100)])
+def test_products_with_ties_and_zero_factors_equal_brute_force(spark, block_rows, group_rows):
+    rng = np.random.default_rng(3)
+    vectors = lambda n, scale: [(i, [float(x) for x in rng.integers(-2, 3, 3) * scale(i)]) for i in range(n)]
+    users, items = vectors(23, lambda i: i % 3), vectors(31, lambda i: 1 + i % 4)
+    found = {}
+    for row in products.best_products(factors(spark, users), factors(spark, items), 4, block_rows=block_rows, group_rows=group_rows).collect():
+        found.setdefault(row.user, set()).add((row.item, row.score))
+    for user, features in users:
+        scores = sorted(((float(np.dot(features, v)), i) for i, v in items), key=lambda p: (-p[0], p[1]))[:4]
+        assert found[user] == {(i, s) for s, i in scores}
+
+
+def test_products_of_nothing(spark):
+    some, none = factors(spark, [(1, [1.0])]), factors(spark, [])
+    assert products.best_products(some, none, 3).count() == products.best_products(none, some, 3).count() == 0
+    assert products.best_products(some, some, 3).collect() == [(1, 1, 1.0)]
+
+
+def test_most_blocks_are_not_met(spark, monkeypatch):
+    items = factors(spark, [(i, [1.0 if i < 20 else 0.01, 0.0]) for i in range(400)])
+    met = []
+    original = products._ranked
+    monkeypatch.setattr(products, "_ranked", lambda scored, k: (met.append(k), original(scored, k))[1])
+    assert products.best_products(factors(spark, [(i, [1.0, 1.0]) for i in range(10)]), items, 5, block_rows=20).count() == 50
+    assert len(met) <= 2  # of 5 rounds
 
 
 def test_recommend_names_titles(spark):
