@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from checks import standins as s
 from mediaspark.functions import temporal
+from mediaspark.jobs import ask as ask_job
 from mediaspark.jobs import bronze as bronze_job
 from mediaspark.jobs import gold as gold_job
 from mediaspark.jobs import increments
@@ -27,6 +28,7 @@ from mediaspark.ml import churn, features, popularity, products, recommend
 from mediaspark.operators import gold, quality, silver
 from mediaspark.plans import kpis, layer_checks, questions, saved, traces, traffic
 from mediaspark.session import shared_folder
+from mediaspark.sinks.measures import read_measures
 from mediaspark.sinks.tables import append, overwrite
 from mediaspark.sources import files
 from mediaspark.sources.tables import read_table, with_source
@@ -601,11 +603,11 @@ def dq_ranges(spark, folder):
 
 SILVER_CHECKS = (
     *((f"{table} has _silver_processed_at", "true") for table in layer_checks.SILVER_TABLES),
-    ("users keeps all rows", "true"),
+    ("users keeps all rows", "(SELECT count(*) FROM (" + s.USERS_SQL + ")) = (SELECT count(*) FROM customer)"),
     ("users user_id", "(SELECT count(*) = count(user_id) FROM (" + s.USERS_SQL + "))"),
     ("users is_valid_email where an email is given", "true"),
     ("users device_os", "true"),
-    ("subscriptions keeps all rows", "true"),
+    ("subscriptions keeps all rows", "(SELECT count(*) FROM (" + s.SILVER_SUBSCRIPTIONS_SQL + ")) = (SELECT count(*) FROM orders)"),
     ("subscriptions duration_days", "(SELECT count(*) = count(duration_days) FROM (" + s.SILVER_SUBSCRIPTIONS_SQL + "))"),
     ("content_enriched keeps all rows", "(SELECT count(*) = count(DISTINCT p_partkey) FROM part)"),
     ("content_enriched runtime_minutes", "(SELECT count(*) = count(runtime_value) FROM (" + s.CATALOGUE_SQL + "))"),
@@ -868,6 +870,16 @@ def job_layers(spark, folder):
     return quality.union_all(runs[layer].select(F.lit(layer).alias("layer"), "table", "rows") for layer in runs)
 
 
+JOB_GOLD_VERDICTS = {
+    "event_date": f"(SELECT count(*) = count(event_ts) FROM {JOB_EVENTS_SQL})",
+    "total_views at least 1": f"(SELECT min(n) >= 1 FROM (SELECT count(*) AS n FROM {JOB_EVENTS_SQL} JOIN ({s.CATALOGUE_SQL}) USING (content_id) GROUP BY content_id))",
+    "genre": f"(SELECT count(*) = count(genre) FROM {JOB_GENRES_SQL})",
+    "user_id": f"(SELECT count(*) = count(user_id) FROM {JOB_EVENTS_SQL})",
+    "one row per plan": f"(SELECT count(*) = count(DISTINCT plan_id) FROM ({PLANS_SQL}))",
+    "avg_rating in range": f"(SELECT min(a) >= 0 AND max(a) <= 5 FROM (SELECT avg(rating_value) AS a FROM ({s.SILVER_RATINGS_SQL}) GROUP BY content_id))",
+}
+
+
 def _job_checks_sql() -> str:
     """Verdicts on the stand-ins: the row limits of the real sources, and a tenth of the events broken."""
     rows = {(layer, table): source for layer, table, source in JOB_ROWS}
@@ -886,7 +898,7 @@ def _job_checks_sql() -> str:
         verdicts.append((f"silver/{name}", verdict))
     for table, names in GOLD_CHECKS:
         has_rows = f"(SELECT count(*) > 0 FROM {rows['gold', table]} t)"
-        verdicts += [(f"gold/{table} {name}", has_rows) for name in names]
+        verdicts += [(f"gold/{table} {name}", JOB_GOLD_VERDICTS.get(name, has_rows)) for name in names]
     return " UNION ALL ".join(f"SELECT '{name}' AS name, {verdict} AS passed" for name, verdict in verdicts)
 
 
@@ -897,6 +909,54 @@ def job_checks(spark, folder):
     return quality.union_all(validate_job.run(spark, layout, layer) for layer in validate_job.LAYERS).select("name", "passed")
 
 
+# Measured columns: table, column, SQL of the table.
+MEASURED = (
+    ("viewing_events", "event_id", JOB_EVENTS_SQL),
+    ("viewing_events", "watch_duration_ms", JOB_EVENTS_SQL),
+    ("viewing_events", "session_id", JOB_EVENTS_SQL),
+    ("viewing_events", "referrer", JOB_EVENTS_SQL),
+    ("subscriptions", "plan_id", f"({s.SILVER_SUBSCRIPTIONS_SQL})"),
+    ("subscriptions", "duration_days", f"({s.SILVER_SUBSCRIPTIONS_SQL})"),
+)
+MEASURED_KEYS = ("event_id", "plan_id")
+
+
+def _measured_sql() -> str:
+    parts = []
+    for table, column, source in MEASURED:
+        distinct = f"count(DISTINCT {column})" if column in MEASURED_KEYS else "NULL::BIGINT"
+        parts.append(f"""SELECT '{table}' AS "table", '{column}' AS "column", count(*) AS "rows", count(*) - count({column}) AS nulls,
+            CAST(min({column}) AS VARCHAR) AS least, CAST(max({column}) AS VARCHAR) AS greatest, {distinct} AS distinct_values FROM {source} t""")
+    return " UNION ALL ".join(parts)
+
+
+@query("dq_stored_measures", _measured_sql())
+def dq_stored_measures(spark, folder):
+    """What the silver job measured while it wrote; no table is read for it."""
+    layout, _ = _layers(spark, folder)
+    parts = []
+    for table, column, _ in MEASURED:
+        found = read_measures(spark, layout, "silver", table)
+        of = lambda kind: F.element_at(kind, column)  # noqa: B023, E731
+        parts.append(found.select(
+            F.lit(table).alias("table"), F.lit(column).alias("column"), "rows", of("nulls").alias("nulls"), of("least").alias("least"),
+            of("greatest").alias("greatest"), of("distinct").alias("distinct_values"),
+        ))
+    return quality.union_all(parts)
+
+
+HEALTH_TABLES = {name: source for layer, name, source in JOB_ROWS if layer == "gold"}
+
+
+@query("job_health", " UNION ALL ".join(
+    f"""SELECT '{name}' AS "table", count(*) AS "rows", 'OK' AS status FROM {HEALTH_TABLES[name]} t""" if name in HEALTH_TABLES
+    else f"""SELECT '{name}', 0, 'ERROR'""" for name in saved.WATCHED_TABLES))
+def job_health(spark, folder):
+    """Health of the tables that the jobs wrote, as the lake's own query tells it from stored measures; no model was trained."""
+    layout, _ = _layers(spark, folder)
+    return ask_job.answer(spark, layout, "pipeline_health")
+
+
 def _written(spark: SparkSession, df: DataFrame) -> DataFrame:
     """The same rows as a table in the shared place: for results that are read many times."""
     layout = _shared_layout(spark)

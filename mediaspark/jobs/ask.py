@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from mediaspark.jobs.common import arguments, session_and_layout
 from mediaspark.layout import LakeLayout
 from mediaspark.plans import kpis, saved, traffic
+from mediaspark.sinks.measures import read_known
 from mediaspark.sinks.tables import overwrite
 from mediaspark.sources.tables import read_if_present
 
@@ -42,10 +43,11 @@ ANSWERS: dict[str, Callable[..., DataFrame]] = {
 def answer(spark: SparkSession, layout: LakeLayout, name: str, parameters: Mapping[str, str] | None = None) -> DataFrame:
     """The named answer; a table that is not there is an error, but for health, which reports it."""
     given = dict(parameters or {})
+    if name == "pipeline_health":
+        known = {table: read_known(spark, layout, "gold", table) for table in saved.WATCHED_TABLES}
+        return saved.pipeline_health(spark, known)
     found = {table: read_if_present(spark, layout, "gold", table) for table in TABLES}
     tables = {table: df for table, df in found.items() if df is not None}
-    if name == "pipeline_health":
-        return saved.pipeline_health(spark, tables)
     if name == "query_analytics":
         return saved.query_analytics(spark, tables, given["sql"])
     if name == "streaming_traffic":

@@ -9,9 +9,9 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mediaspark.jobs.common import arguments, report, session_and_layout
+from mediaspark.jobs.common import arguments, report, session_and_layout, write_layer
 from mediaspark.layout import Database, LakeLayout
-from mediaspark.sinks.tables import append, overwrite, row_counts, run_together
+from mediaspark.sinks.tables import append, row_counts, run_together
 from mediaspark.sources import files, jdbc, workbook
 from mediaspark.sources.tables import with_source
 
@@ -70,7 +70,9 @@ def file_sources(spark: SparkSession, folder: str, event_lines: str | None = Non
 def run(spark: SparkSession, layout: LakeLayout, sources: Mapping[str, tuple[DataFrame, str]], added: Collection[str] = ()) -> DataFrame:
     """Write every source with its audit columns; returns table and rows. Deliveries of the ``added`` ones join earlier ones."""
     writes = {
-        name: partial(append if name in added else overwrite, with_source(df, tag), layout.bronze(name), layout.fmt)
+        name: partial(append, with_source(df, tag), layout.bronze(name), layout.fmt)
+        if name in added
+        else partial(write_layer, with_source(df, tag), layout, "bronze", name)
         for name, (df, tag) in sources.items()
     }
     return row_counts(spark, run_together(spark, writes))

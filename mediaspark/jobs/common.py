@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import argparse
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
 from mediaspark.layout import LakeLayout
+from mediaspark.plans import layer_checks
 from mediaspark.session import DEFAULT_FORMAT, DEFAULT_ZONE, DELTA_OPTIONS, build_session
+from mediaspark.sinks.measures import overwrite_measured
 
 
 def arguments(description: str) -> argparse.ArgumentParser:
@@ -29,5 +32,11 @@ def session_and_layout(name: str, given: argparse.Namespace):
     return spark, LakeLayout(given.base, given.format)
 
 
+def write_layer(df: DataFrame, layout: LakeLayout, layer: str, table: str, partition_by: Sequence[str] = ()) -> int:
+    """Write a table with the measures that the checks of its layer read."""
+    extra = (layer, table)
+    return overwrite_measured(df, layout, layer, table, partition_by, conditions=layer_checks.CONDITIONS.get(extra), keys=layer_checks.KEYS.get(extra, ()))
+
+
 def report(rows: DataFrame) -> None:
     rows.show(rows.count(), truncate=False)

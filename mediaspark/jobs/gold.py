@@ -6,7 +6,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mediaspark.jobs.common import arguments, report, session_and_layout
+from mediaspark.jobs.common import arguments, report, session_and_layout, write_layer
 from mediaspark.layout import LakeLayout
 from mediaspark.operators import gold
 from mediaspark.sinks.tables import overwrite, row_counts, run_together
@@ -35,7 +35,7 @@ def run(spark: SparkSession, layout: LakeLayout) -> DataFrame:
         "subscription_metrics": gold.subscription_metrics(subscriptions),
         "content_ratings_summary": gold.content_ratings_summary(ratings, content),
     }
-    writes = {name: partial(overwrite, df, layout.gold(name), layout.fmt) for name, df in built.items()}
+    writes = {name: partial(write_layer, df, layout, "gold", name) for name, df in built.items()}
     return row_counts(spark, run_together(spark, writes))
 
 

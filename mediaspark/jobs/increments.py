@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from mediaspark import schemas
 from mediaspark.layout import LakeLayout, delete_path, path_exists
 from mediaspark.operators import increment, silver
+from mediaspark.sinks.measures import measures_path
 from mediaspark.sinks.tables import overwrite, overwrite_folders
 from mediaspark.sources.tables import read_if_present, read_table
 
@@ -79,6 +80,7 @@ def take(batch: DataFrame, batch_id: int, *, spark: SparkSession, layout: LakeLa
     changed = _read_staged(spark, f"{staging}/changed")
     touched = _days(changed)
     if touched:
+        delete_path(spark, measures_path(layout, "silver", TABLE))  # they were of the whole table as it was
         overwrite_folders(_read_staged(spark, f"{staging}/days"), layout.silver(TABLE), layout.fmt, "event_date", touched)
     files = overwrite(names, f"{layout.silver(LEDGER)}/{place}", layout.fmt)
     counts = changed.agg(*(F.count_if(F.col("change") == c).alias(c) for c in (increment.ADDED, increment.REMOVED)))

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mediaspark.jobs import increments
-from mediaspark.jobs.common import arguments, report, session_and_layout
+from mediaspark.jobs.common import arguments, report, session_and_layout, write_layer
 from mediaspark.layout import LakeLayout
 from mediaspark.operators import silver
-from mediaspark.sinks.tables import overwrite, row_counts, run_together
+from mediaspark.sinks.tables import row_counts, run_together
 from mediaspark.sources.tables import read_if_present, read_table
 
 
@@ -37,7 +37,7 @@ def run(spark: SparkSession, layout: LakeLayout, as_of=None, zone: str | None =
         )
     by_day = {"viewing_events": ["event_date"]}
     writes = {
-        name: partial(overwrite, df, layout.silver(name), layout.fmt, by_day.get(name, ()))
+        name: partial(write_layer, df, layout, "silver", name, by_day.get(name, ()))
         for name, df in built.items()
     }
     if look_back is not None:

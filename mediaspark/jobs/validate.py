@@ -10,16 +10,19 @@ from mediaspark.jobs.common import arguments, report, session_and_layout
 from mediaspark.layout import LakeLayout
 from mediaspark.operators.quality import union_all
 from mediaspark.plans import layer_checks
-from mediaspark.sources.tables import read_if_present
+from mediaspark.sinks.measures import read_known
 
 LAYERS = ("bronze", "silver", "gold")
 
 
 def run(spark: SparkSession, layout: LakeLayout, layer: str, expected=layer_checks.BRONZE_EXPECTED) -> DataFrame:
-    """Check results of one layer: name, passed, detail."""
+    """Check results of one layer: name, passed, detail.
+
+    Tables that the jobs wrote are judged by their stored measures; others, and those of increments, are read.
+    """
 
     def found(layer_name, tables):
-        return {table: read_if_present(spark, layout, layer_name, table) for table in tables}
+        return {table: read_known(spark, layout, layer_name, table) for table in tables}
 
     sources = (*layer_checks.BRONZE_EXPECTED, layer_checks.STREAM_TABLE)
     if layer == "bronze":

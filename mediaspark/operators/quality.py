@@ -1,4 +1,4 @@
-"""Data-quality rules. All rules of a table are computed in one aggregation over it.
+"""Data-quality rules. All rules of a table are computed in one aggregation, over it or over its stored measures.
 
 A rule gives a verdict and a detail. Verdicts are null-safe: an empty table has no value
 out of range, and fails only rules that ask for rows.
@@ -6,7 +6,7 @@ out of range, and fails only rules that ask for rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -16,17 +16,69 @@ from pyspark.sql import functions as F
 RESULT = "name string, passed boolean, detail string"
 
 
+class Live:
+    """Measures as aggregates over the table itself."""
+
+    def rows(self) -> Column:
+        return F.count(F.lit(1))
+
+    def nulls(self, column: str) -> Column:
+        return F.count_if(F.col(column).isNull())
+
+    def least(self, column: str) -> Column:
+        return F.min(column)
+
+    def greatest(self, column: str) -> Column:
+        return F.max(column)
+
+    def broken(self, name: str, condition: str) -> Column:
+        return F.count_if(F.expr(condition))
+
+    def distinct(self, columns: Sequence[str]) -> Column:
+        return F.count_distinct(F.struct(*columns))
+
+
 @dataclass(frozen=True)
-class Rule:
-    """``passed`` and ``detail`` are aggregates over the table, or literals."""
+class Stored:
+    """A table known by its schema and one row of measures taken when it was written; the table itself is not read."""
 
-    name: str
-    passed: Column
-    detail: Column
+    table: DataFrame
+    measures: DataFrame
+
+    @property
+    def columns(self) -> list[str]:
+        return self.table.columns
+
+    @property
+    def schema(self):
+        return self.table.schema
+
+    def rows(self) -> Column:
+        return F.max("rows")
+
+    def nulls(self, column: str) -> Column:
+        return F.max(F.col("nulls")[column])
+
+    def least(self, column: str) -> Column:
+        return F.max(F.col("least")[column]).cast(self.schema[column].dataType)
+
+    def greatest(self, column: str) -> Column:
+        return F.max(F.col("greatest")[column]).cast(self.schema[column].dataType)
 
+    def broken(self, name: str, condition: str) -> Column:
+        return F.max(F.col("broken")[name])
 
-def _rows() -> Column:
-    return F.count(F.lit(1))
+    def distinct(self, columns: Sequence[str]) -> Column:
+        return F.max(F.col("distinct")[",".join(columns)])
+
+
+@dataclass(frozen=True)
+class Rule:
+    """``passed`` and ``detail`` are aggregates over the table, literals, or functions of its measures."""
+
+    name: str
+    passed: Column | Callable[[Live | Stored], Column]
+    detail: Column | Callable[[Live | Stored], Column]
 
 
 def _text(*parts) -> Column:
@@ -35,36 +87,46 @@ def _text(*parts) -> Column:
 
 
 def rows_between(name: str, low: int, high: int) -> Rule:
-    return Rule(name, _rows().between(low, high), _text(_rows(), f" rows, {low} to {high} expected"))
+    return Rule(name, lambda m: m.rows().between(low, high), lambda m: _text(m.rows(), f" rows, {low} to {high} expected"))
 
 
 def not_empty(name: str) -> Rule:
-    return Rule(name, _rows() > 0, _text(_rows(), " rows"))
+    return Rule(name, lambda m: m.rows() > 0, lambda m: _text(m.rows(), " rows"))
 
 
 def no_nulls(name: str, column: str, where: Column | None = None) -> Rule:
-    """No null in ``column``, among the rows that ``where`` keeps."""
-    broken = F.col(column).isNull() if where is None else F.col(column).isNull() & where
-    return Rule(name, F.count_if(broken) == 0, _text(F.count_if(broken), " nulls"))
+    """No null in ``column``; among the rows that ``where`` keeps, if given, which only the table itself can tell."""
+    if where is not None:
+        broken = F.count_if(F.col(column).isNull() & where)
+        return Rule(name, broken == 0, _text(broken, " nulls"))
+    return Rule(name, lambda m: m.nulls(column) == 0, lambda m: _text(m.nulls(column), " nulls"))
+
+
+def none_broken(name: str, condition: str, called: str, shown: str) -> Rule:
+    """No row for which the SQL condition holds; stored measures have its count under the name ``called``."""
+    return Rule(name, lambda m: m.broken(called, condition) == 0, lambda m: _text(m.broken(called, condition), f" {shown}"))
 
 
 def unique(name: str, *columns: str) -> Rule:
-    distinct = F.count_distinct(F.struct(*columns))
-    return Rule(name, distinct == _rows(), _text(_rows() - distinct, " repeats"))
+    return Rule(name, lambda m: m.distinct(columns) == m.rows(), lambda m: _text(m.rows() - m.distinct(columns), " repeats"))
 
 
 def within(name: str, column: str, low, high) -> Rule:
-    inside = (F.min(column) >= low) & (F.max(column) <= high)
-    return Rule(name, F.coalesce(inside, F.lit(True)), _text(F.min(column), " to ", F.max(column)))
+    def inside(m):
+        return F.coalesce((m.least(column) >= low) & (m.greatest(column) <= high), F.lit(True))
+
+    return Rule(name, inside, lambda m: _text(m.least(column), " to ", m.greatest(column)))
 
 
 def at_least(name: str, column: str, low) -> Rule:
-    return Rule(name, F.coalesce(F.min(column) >= low, F.lit(True)), _text("lowest ", F.min(column)))
+    return Rule(name, lambda m: F.coalesce(m.least(column) >= low, F.lit(True)), lambda m: _text("lowest ", m.least(column)))
 
 
 def always_equals(name: str, column: str, value: str) -> Rule:
-    other = F.count_if(~F.col(column).eqNullSafe(F.lit(value)))
-    return Rule(name, other == 0, _text(other, f" rows are not {value}"))
+    def same(m):
+        return (m.nulls(column) == 0) & F.coalesce((m.least(column) == value) & (m.greatest(column) == value), F.lit(True))
+
+    return Rule(name, same, lambda m: _text(m.least(column), " to ", m.greatest(column), ", ", m.nulls(column), f" nulls, {value} expected"))
 
 
 def has_like(name: str, column: str, counted: str, pattern: str) -> Rule:
@@ -73,25 +135,25 @@ def has_like(name: str, column: str, counted: str, pattern: str) -> Rule:
     return Rule(name, found > 0, _text(found, f" distinct values like {pattern}"))
 
 
-def same_rows(name: str, other: DataFrame) -> Rule:
+def same_rows(name: str, other: DataFrame | Stored) -> Rule:
     expected = row_count(other)
-    return Rule(name, _rows() == expected, _text(_rows(), " rows, other table has ", expected))
+    return Rule(name, lambda m: m.rows() == expected, lambda m: _text(m.rows(), " rows, other table has ", expected))
 
 
-def no_more_rows(name: str, other: DataFrame) -> Rule:
+def no_more_rows(name: str, other: DataFrame | Stored) -> Rule:
     limit = row_count(other)
-    return Rule(name, _rows() <= limit, _text(_rows(), " rows, other table has ", limit))
+    return Rule(name, lambda m: m.rows() <= limit, lambda m: _text(m.rows(), " rows, other table has ", limit))
 
 
-def share_of(name: str, other: DataFrame, share: float) -> Rule:
+def share_of(name: str, other: DataFrame | Stored, share: float) -> Rule:
     base = row_count(other)
-    return Rule(name, _rows() >= base * share, _text(_rows(), f" rows, at least {share:.0%} expected of ", base))
+    return Rule(name, lambda m: m.rows() >= base * share, lambda m: _text(m.rows(), f" rows, at least {share:.0%} expected of ", base))
 
 
-def one_row_per(name: str, other: DataFrame, column: str) -> Rule:
+def one_row_per(name: str, other: DataFrame | Stored, column: str) -> Rule:
     """As many rows as ``other`` has values of ``column``, null being one of them."""
-    values = other.select(column).distinct().agg(_rows()).scalar()
-    return Rule(name, _rows() == values, _text(_rows(), f" rows, values of {column}: ", values))
+    values = _measured(other, lambda m: m.distinct([column]))
+    return Rule(name, lambda m: m.rows() == values, lambda m: _text(m.rows(), f" rows, values of {column}: ", values))
 
 
 def fixed(name: str, passed: bool, detail: str) -> Rule:
@@ -114,22 +176,34 @@ def has_type(name: str, df: DataFrame, column: str, kind: type) -> Rule:
     return fixed(name, isinstance(actual, kind), actual.simpleString())
 
 
-def row_count(df: DataFrame) -> Column:
+def _measured(table: DataFrame | Stored, measure: Callable[[Live | Stored], Column]) -> Column:
+    """A measure of another table as a scalar subquery."""
+    if isinstance(table, Stored):
+        return table.measures.agg(measure(table)).scalar()
+    return table.agg(measure(Live())).scalar()
+
+
+def row_count(table: DataFrame | Stored) -> Column:
     """Row count as a scalar subquery."""
-    return df.agg(_rows()).scalar()
+    return _measured(table, lambda m: m.rows())
 
 
-def checks(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
-    """Results of all rules, one row each, from one aggregation."""
+def checks(table: DataFrame | Stored, rules: Iterable[Rule]) -> DataFrame:
+    """Results of all rules, one row each, from one aggregation over the table, or over its stored measures."""
+    source, rows = (table, table.measures) if isinstance(table, Stored) else (Live(), table)
+
+    def of(part):
+        return part(source) if callable(part) else part
+
     entries = [
         F.struct(
             F.lit(rule.name).alias("name"),
-            F.coalesce(rule.passed, F.lit(False)).alias("passed"),
-            rule.detail.alias("detail"),
+            F.coalesce(of(rule.passed), F.lit(False)).alias("passed"),
+            of(rule.detail).alias("detail"),
         )
         for rule in rules
     ]
-    return df.agg(F.array(*entries).alias("found")).select(F.inline("found"))
+    return rows.agg(F.array(*entries).alias("found")).select(F.inline("found"))
 
 
 def verdicts(spark: SparkSession, rules: Iterable[Rule]) -> DataFrame:
@@ -143,7 +217,7 @@ def union_all(parts: Iterable[DataFrame]) -> DataFrame:
 
 def duplicate_keys(df: DataFrame, *columns: str) -> DataFrame:
     """Keys that occur more than once, with their count."""
-    return df.groupBy(*columns).agg(_rows().alias("copies")).filter("copies > 1")
+    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
 
 
 def references(facts: DataFrame, keys: DataFrame, column: str) -> DataFrame:
@@ -152,7 +226,7 @@ def references(facts: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     Facts are counted per key before the join, so a hot key is one row in it.
     """
     known = keys.select(column).distinct().withColumn("_known", F.lit(True))
-    counted = facts.groupBy(column).agg(_rows().alias("n")).join(known, column, "left")
+    counted = facts.groupBy(column).agg(F.count(F.lit(1)).alias("n")).join(known, column, "left")
     total = [
         F.sum(F.when(condition, F.col("n")).otherwise(0)).alias(name)
         for name, condition in (

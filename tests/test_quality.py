@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 
 from mediaspark.operators import quality as q
 from mediaspark.plans import layer_checks
+from mediaspark.layout import LakeLayout
+from mediaspark.sinks.measures import overwrite_measured, read_measures
+from mediaspark.sources.tables import read_table
 from tests.helpers import collected, frame, plan_of
 
 
@@ -95,3 +98,35 @@ def test_source_profile(spark, top, passed):
     assert found["source users top country"] is passed
     assert found["source ratings have repeats"] and found["source ratings user_id form"]
     assert not found["source users"] and not found["source ratings"]
+
+
+def test_stored_measures_give_the_verdicts_of_the_table(spark, tmp_path):
+    import datetime as dt
+
+    lake = LakeLayout(str(tmp_path / "lake"))
+    df = frame(
+        spark, "k string, v double, d date, n int, e string, a array<int>, tag string",
+        ("x", 1.0, dt.date(2024, 1, 1), 9, None, [1], "t"), ("x", None, None, 10, "e", None, "t"), (None, -2.5, dt.date(2023, 1, 1), 100, "f", [], "t"),
+    )
+    rows = overwrite_measured(df, lake, "silver", "t", conditions={"odd": "k IS NULL AND e IS NOT NULL"}, keys=[("k",), ("k", "n")])
+    assert rows == 3
+    stored = q.Stored(read_table(spark, lake, "silver", "t"), read_measures(spark, lake, "silver", "t"))
+    rules = [
+        q.rows_between("rows", 1, 2), q.not_empty("some"), q.no_nulls("k", "k"), q.no_nulls("n", "n"), q.unique("unique", "k"), q.unique("pair", "k", "n"),
+        q.within("v", "v", -3, 1), q.within("n", "n", 9, 99), q.at_least("n least", "n", 10), q.always_equals("tag", "tag", "t"), q.always_equals("e", "e", "e"),
+        q.none_broken("odd", "k IS NULL AND e IS NOT NULL", "odd", "rows"), q.same_rows("same", stored), q.one_row_per("per", stored, "k"), q.share_of("share", stored, 0.5),
+    ]
+    found = q.checks(stored, rules)
+    assert collected(found) == collected(q.checks(df, rules))
+    plan = plan_of(found)
+    assert plan.count("Scan parquet") >= 1 and f"{lake.silver('t')}]" not in plan and "measures" in plan
+    empty = df.limit(0)
+    overwrite_measured(empty, lake, "silver", "t", conditions={"odd": "false"}, keys=[("k",), ("k", "n")])
+    again = q.Stored(read_table(spark, lake, "silver", "t"), read_measures(spark, lake, "silver", "t"))
+    some = [r for r in rules if r.name in ("some", "k", "v", "tag", "unique", "n least")]
+    assert collected(q.checks(again, some)) == collected(q.checks(empty, some))
+
+
+def test_measures_are_kept_for_nothing_else(spark, tmp_path):
+    lake = LakeLayout(str(tmp_path / "lake"))
+    assert read_measures(spark, lake, "silver", "t") is None
