@@ -1008,6 +1008,20 @@ def stream_ingest_parse(spark, folder):
     ))
 
 
+@query("stream_ingest_split", f"""
+    SELECT CAST(k % 3 AS INTEGER) AS "partition", k AS "offset", CASE WHEN k % 101 <> 0 THEN event_id END AS event_id,
+           CASE WHEN k % 101 = 0 THEN 'no JSON object' END AS reason, CASE WHEN k % 101 = 0 THEN '{{broken' END AS value
+    FROM (SELECT event_id, CAST(split_part(event_id, '-', 2) AS BIGINT) AS k FROM ({s.bronze_events_sql()}))""")
+def stream_ingest_split(spark, folder):
+    """Each message is in one of two tables; the stream is started again, which adds none."""
+    layout = _shared_layout(spark)
+    for _ in range(2):
+        ingest.start_split_ingest(_messages(_event_stream(spark, folder)), layout, once=True).awaitTermination()
+    events, rejected = (read_table(spark, layout, "bronze", t) for t in (ingest.TABLE, ingest.REJECTED))
+    taken = events.select(F.col("_kafka_partition").alias("partition"), F.col("_kafka_offset").alias("offset"), "event_id")
+    return taken.unionByName(rejected.select("partition", "offset", "reason", "value"), allowMissingColumns=True)
+
+
 @query("stream_dedup", f"""
     SELECT event_id, user_id, content_id, session_id, device_category, event_type, watch_duration_ms, seek_position_ms,
            CAST(event_ts AS VARCHAR) AS event_ts, strftime(session_start_ts, '%Y-%m-%dT%H:00:00Z') AS session_start_ts, referrer

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from mediaspark.layout import LakeLayout
 from mediaspark.operators import silver
 from mediaspark.plans import traffic
-from mediaspark.sources.messages import read_message_files
+from mediaspark.sources.messages import read_message_files, topic_options
 from mediaspark.sources.tables import read_if_present, read_table
 from mediaspark.streaming import ingest, live
 from tests.helpers import collected, frame
@@ -60,6 +60,34 @@ def test_ingest_appends_each_drop_once(spark, tmp_path, lake):
     assert collected(clean, "event_id") == [("e1",), ("e2",)]
 
 
+def test_rejected_messages_are_kept_with_their_reason(spark, tmp_path, lake):
+    inbox = tmp_path / "in"
+    bodies = ["{broken", None, "", "[1, 2]", "7", '{"other": 1}', "{}", '{"event_id": "e9", "watch_duration_ms": "long"}']
+    drop(inbox, "1.json", [message(0, "e1", 0), *({"value": v, "partition": 1, "offset": i} for i, v in enumerate(bodies))])
+    start = lambda: finish(ingest.start_split_ingest(read_message_files(spark, str(inbox)), lake, once=True))
+    start()
+    drop(inbox, "2.json", [message(20, "e2", 1)])
+    start()
+    start()
+    events, rejected = (read_table(spark, lake, "bronze", t) for t in (ingest.TABLE, ingest.REJECTED))
+    assert collected(events, "event_id", "watch_duration_ms", "_kafka_offset") == [("e1", 1000, 0), ("e2", 1000, 20), ("e9", None, 7)]
+    assert collected(rejected, "offset", "reason", "value") == [
+        (0, "no JSON object", "{broken"), (1, "no value", None), (2, "no JSON object", ""), (3, "no JSON object", "[1, 2]"), (4, "no JSON object", "7"),
+        (5, "no known field", '{"other": 1}'), (6, "no known field", "{}"),
+    ]
+    ingest.split_batch(spark.read.schema("value string, partition int, offset long").json(f"{inbox}/2.json"), 1, layout=lake)  # the batch again
+    assert read_table(spark, lake, "bronze", ingest.TABLE).count() == 3
+
+
+def test_topic_options():
+    plain = topic_options("h:1", "t")
+    assert plain["startingOffsets"] == "earliest" and plain["maxOffsetsPerTrigger"] == "5000000" and "startingTimestamp" not in plain
+    since = topic_options("h:1", "t", since=dt.datetime(2024, 1, 1, tzinfo=dt.UTC), max_per_trigger=None, min_partitions=7)
+    assert since["startingTimestamp"] == "1704067200000" and since["minPartitions"] == "7" and "maxOffsetsPerTrigger" not in since
+    with pytest.raises(ValueError, match="zone"):
+        topic_options("h:1", "t", since=dt.datetime(2024, 1, 1))
+
+
 def test_binary_messages_are_parsed(spark):
     raw = frame(spark, "value binary, partition int, offset long", (bytearray(b'{"event_id": "e1"}'), 0, 7))
     assert collected(ingest.parse_viewing_events(raw), "event_id", "_kafka_offset") == [("e1", 7)]
