@@ -9,7 +9,7 @@ from checks.registry import ORACLES, QUERIES
 FOLDER = "/root/testdata/sf0.001"
 
 # Queries without SQL: models and sketches.
-NO_SQL = {"ml_churn", "ml_popularity", "ml_recommendations", "stream_traffic_window_approximate"}
+NO_SQL = {"ml_churn", "ml_popularity", "ml_recommendations"}
 
 
 @pytest.fixture(scope="module")
