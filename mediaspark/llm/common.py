@@ -103,8 +103,3 @@ def hashes_of(items, width: int = 8) -> np.ndarray:
     from xxhash import xxh3_64_intdigest
 
     return np.fromiter(map(xxh3_64_intdigest, items), np.uint64, count=len(items))
-
-
-def sampled(df: DataFrame, bound: int, *keys: str) -> DataFrame:
-    """At most ``bound`` rows, those with the smallest hash of the keys: the same rows in every run."""
-    return df.orderBy(F.xxhash64(*keys), *keys).limit(bound)
