@@ -1,6 +1,7 @@
 """Query op4_imatch_fingerprints: fingerprints of every document and of its edited text.
 
-Its variant op4_imatch_fingerprints_whole_band uses every term of the band.
+Every term of the band is dealt into one of the lexicons. The variant op4_imatch_fingerprints_random_lexicons draws
+smaller lexicons, which together hold about a fifth of the band.
 """
 
 from pyspark.sql import functions as F
@@ -67,16 +68,20 @@ prints AS (
 {OP4_SQL[OP4_SQL.index("joined AS (") :]}"""
 
 
-@query("op4_imatch_fingerprints", OP4_SQL.replace("@EDITED@", _LIKE.format("fp_edited")).replace("@NEXT@", _LIKE.format("fp_next")))
-def op4_imatch_fingerprints(spark, folder):
-    return _fingerprints(spark, folder, imatch.lexicon, imatch.with_fingerprint)
+def _with_likeness(sql):
+    return sql.replace("@EDITED@", _LIKE.format("fp_edited")).replace("@NEXT@", _LIKE.format("fp_next"))
 
 
-@variant("op4_imatch_fingerprints_whole_band", WHOLE_SQL.replace("@EDITED@", _LIKE.format("fp_edited")).replace("@NEXT@", _LIKE.format("fp_next")))
-def op4_imatch_fingerprints_whole_band(spark, folder):
+@query("op4_imatch_fingerprints", _with_likeness(WHOLE_SQL))
+def op4_imatch_fingerprints(spark, folder):
     return _fingerprints(spark, folder, imatch.lexicon_parts, imatch.with_parts)
 
 
+@variant("op4_imatch_fingerprints_random_lexicons", _with_likeness(OP4_SQL))
+def op4_imatch_fingerprints_random_lexicons(spark, folder):
+    return _fingerprints(spark, folder, imatch.lexicon, imatch.with_fingerprint)
+
+
 def _fingerprints(spark, folder, lexicon, with_fingerprint):
     docs = table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     slots = lexicon(docs)
