@@ -22,9 +22,11 @@ _SAVED: dict[str, DataFrame] = {}
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new path in the cluster's shared folder; only where none is set (tests) in one of our own."""
+    """A new path in the cluster's shared folder; a local master (tests) may do without and gets one of its own."""
     base = shared_folder(spark)
     if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         if app not in _OWN_FOLDERS:
             _OWN_FOLDERS[app] = tempfile.mkdtemp(prefix="llm-")
@@ -67,6 +69,19 @@ def noted() -> Iterator[list[DataFrame]]:
     made += [table for path, table in _SAVED.items() if path not in before]
 
 
+def placed(docs: DataFrame, file: str, row: str) -> DataFrame:
+    """The rows with where each lies: a 64-bit hash of its file's path and its place in that file.
+
+    Both stay the same however often and in whatever parts the files are read, so no numbered copy is needed. Rows
+    that are not plainly read from Parquet files are written first.
+    """
+    plan = docs._jdf.queryExecution().analyzed()
+    files = plan.getClass().getSimpleName() == "LogicalRelation" and plan.relation().getClass().getSimpleName() == "HadoopFsRelation"
+    plain = files and plan.relation().fileFormat().toString() == "Parquet" and fresh(docs, "_metadata") == "_metadata"
+    lying = docs if plain else saved(docs)
+    return lying.withColumns({file: F.xxhash64("_metadata.file_path"), row: F.col("_metadata.row_index")})
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """The name, with as many underscores behind it as no column of the table has."""
     taken = {c.lower() for c in df.columns}

@@ -16,7 +16,7 @@
 5. Components follow from the links by alternating stars.
 
 Defined cases: a null text or one without words has an empty set and is linked with nothing; a text with fewer words
-than a shingle is one shingle; equal rows share a component; a null key never is a component's least key if
+than a shingle is one shingle; very long texts are read whole, their signatures in parts; equal rows share a component; a null key never is a component's least key if
 another is there, and rows whose component has no key have a null component and are kept; empty tables give no rows;
 only key and text are read.
 """
@@ -33,12 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mediaspark.llm.common import discard, fresh, hashes_of, saved, shingles_of, text_bytes, words_of
+from mediaspark.llm.common import discard, fresh, hashes_of, placed, saved, shingles_of, text_bytes, words_of
 from mediaspark.llm.components import components
 
 COORDINATES = 64
 MISSED = 1e-6  # chance that a pair right at the threshold agrees in fewer coordinates than asked for
 BITMAP_BITS = 25  # 4 MB
+MEMBERS = 256  # classes of one centre that one task takes
 
 _RANDOM = np.random.default_rng(20240229)
 _FACTORS = _RANDOM.integers(1, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -81,7 +82,8 @@ def _described(size: int):
                 digests.append(blake2b(hashes.tobytes(), digest_size=16).digest() if len(hashes) else None)
                 tokens.append(signature(hashes) if len(hashes) else None)
             columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.array(tokens, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["key_", "n_shingles", "digest", "tokens"])
+            names = ["key_", "n_shingles", "digest", "tokens", *batch.schema.names[2:]]
+            yield pa.RecordBatch.from_arrays([*columns, *batch.columns[2:]], names)
 
     return describe
 
@@ -132,14 +134,18 @@ def _sets(docs: DataFrame, classes: DataFrame, size: int, key: str, text: str) -
 
 
 def near_duplicates(
-    docs: DataFrame, *, size: int = 5, num: int = 80, den: int = 100, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, *, size: int = 5, num: int = 80, den: int = 100, key: str = "doc_id", text: str = "text", more: tuple[str, ...] = ()
 ) -> DataFrame:
     """key_, n_shingles and component of every row: the least key among all rows linked with it, directly or not.
 
-    Rows are linked if den × intersection ≥ num × union of their sets of ``size``-word shingles.
+    Rows are linked if den × intersection ≥ num × union of their sets of ``size``-word shingles. ``item_`` numbers
+    the rows, ``root`` is the least such number of the component (null for empty sets); ``more`` names columns of
+    longs that rows take along as more_0, more_1, ….
     """
-    chosen = docs.select(F.col(key).cast("long").alias("key_"), F.col(text).alias("text_"))
-    described = chosen.mapInArrow(_described(size), "key_ long, n_shingles long, digest binary, tokens array<long>")
+    along = {f"more_{i}": F.col(c).cast("long") for i, c in enumerate(more)}
+    chosen = docs.select(F.col(key).cast("long").alias("key_"), F.col(text).alias("text_"), *(c.alias(name) for name, c in along.items()))
+    schema = "key_ long, n_shingles long, digest binary, tokens array<long>" + "".join(f", {name} long" for name in along)
+    described = chosen.mapInArrow(_described(size), schema)
     whole = saved(described.withColumn("item_", F.monotonically_increasing_id()))
     rows = saved(whole.drop("tokens"))
     full = whole.where("digest IS NOT NULL")
@@ -151,22 +157,28 @@ def near_duplicates(
     posts = saved(_rarest(signatures.select("node", F.explode("tokens").alias("token")), ["node"], ["token"], lambda n: n - matches + 1))
     discard(whole)
     centres = posts.groupBy("token").agg(F.max(F.struct("central", F.col("node").alias("id")))["id"].alias("centre"), F.count(F.lit(1)).alias("n"))
-    pairs = saved(posts.join(centres.where("n > 1"), "token").where("node != centre").select("node", "centre").distinct())
-
-    # exact comparison with the centre
+    met = saved(posts.join(centres.where("n > 1"), "token").where("node != centre").select("node", "centre").distinct())
+    discard(posts)
+
+    # exact comparison with the centre; a centre of many classes is dealt out in parts
+    wide = saved(met.groupBy("centre").agg(F.count(F.lit(1)).alias("classes")).where(F.col("classes") > MEMBERS))
+    part = F.when(F.col("classes").isNull(), 0).otherwise(F.pmod(F.xxhash64("node"), F.ceil(F.col("classes") / MEMBERS)))
+    pairs = saved(met.join(wide, "centre", "left").select("node", "centre", part.cast("int").alias("part")))
+    parts = saved(pairs.select("centre", "part").distinct())
     members = pairs.select("node").union(pairs.select(F.col("centre").alias("node"))).distinct()
     items = _sets(docs, classes.join(members, "node").select("digest", "node", "label"), size, key, text)
-    theirs = items.select(F.col("node").alias("centre"), F.col("items").alias("theirs"))
+    theirs = parts.join(items.select(F.col("node").alias("centre"), F.col("items").alias("theirs")), "centre")
     edits = F.concat(F.array_except("items", "theirs"), F.array_except("theirs", "items"))
     compared = saved(
-        pairs.join(items, "node").join(theirs, "centre")
-        .select("node", "centre", F.size("items").alias("n"), (F.size("items") + F.size("theirs")).alias("both"), edits.alias("edits"))
+        pairs.join(items, "node").join(theirs, ["centre", "part"])
+        .select("node", "centre", "part", F.size("items").alias("n"), (F.size("items") + F.size("theirs")).alias("both"), edits.alias("edits"))
         .withColumn("linked", (den - num) * F.col("both") >= (den + num) * F.size("edits"))
     )
 
     # posting under edits of the centre, where some class of it is not linked
-    unlinked = compared.where("NOT linked")
-    open_rows = compared.join(unlinked.select("centre").distinct(), "centre", "left_semi")
+    discard(items, met, wide)
+    unlinked = saved(parts.join(compared.where("NOT linked").select("centre").distinct(), "centre", "left_semi"))
+    open_rows = compared.join(unlinked, ["centre", "part"], "left_semi")
     rare = saved(_rarest_edits(open_rows, num, den))
     own = rare.where("NOT linked").select("centre", F.col("node").alias("a"), "token", "by_unlinked", F.col("rest").alias("ra"), F.col("need").alias("da"))
     partner = rare.select("centre", F.col("node").alias("b"), "token", F.col("by_unlinked").alias("other"), "linked", F.col("rest").alias("rb"), F.col("need").alias("db"))
@@ -174,24 +186,21 @@ def near_duplicates(
     useful = F.col("linked") | (F.col("by_unlinked") & F.col("other") & (F.col("a") < F.col("b")))
     # at the first edit that two share, what is left of either's must be enough for a link
     enough = 2 * (den + num) * F.least("ra", "rb") >= F.col("da") + F.col("db")
-    met = own.join(partner.where("linked OR other"), ["centre", "token"]).where(useful & enough)
-    candidates = met.select("centre", "a", "b").distinct()
+    shared = own.join(partner.where("linked OR other"), ["centre", "token"]).where(useful & enough)
+    candidates = shared.select("centre", "a", "b").distinct()
     one, other = (compared.select("centre", F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("edits").alias(f"e{x}")) for x in "ab")
     apart = F.size("ea") + F.size("eb") - 2 * F.size(F.array_intersect("ea", "eb"))
     confirmed = candidates.join(one, ["centre", "a"]).join(other, ["centre", "b"]).where((den - num) * (F.col("na") + F.col("nb")) >= (den + num) * apart)
 
     links = compared.where("linked").select(F.col("node").alias("u"), F.col("centre").alias("v")).union(confirmed.select("a", "b"))
     rooted = components(links)
-    discard(posts, pairs, items, compared, rare)
+    discard(pairs, parts, unlinked, compared, rare)
     labels = rooted.join(classes, "node").select("node", "root", "label")
     named = labels.groupBy("root").agg(F.min("label").alias("component"))
-    of_node = labels.join(named, "root").select("node", "component")
-    of_class = classes.join(of_node, "node", "left").select("digest", F.coalesce("component", "label").alias("component"))
-    return (
-        rows.select("key_", "n_shingles", "digest", "item_")
-        .join(of_class, "digest", "left")
-        .select("key_", "n_shingles", F.when(F.col("digest").isNull(), F.col("key_")).otherwise(F.col("component")).alias("component"), "digest", "item_")
-    )
+    of_node = labels.join(named, "root").select("node", "component", "root")
+    of_class = classes.join(of_node, "node", "left").select("digest", F.coalesce("component", "label").alias("component"), F.coalesce("root", "node").alias("root"))
+    component = F.when(F.col("digest").isNull(), F.col("key_")).otherwise(F.col("component"))
+    return rows.join(of_class, "digest", "left").select("key_", "n_shingles", component.alias("component"), "digest", "item_", "root", *along)
 
 
 def _rarest_edits(rows: DataFrame, num: int, den: int) -> DataFrame:
@@ -220,10 +229,11 @@ def _rarest_edits(rows: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, *, size: int = 5, num: int = 80, den: int = 100, text: str = "text") -> DataFrame:
-    """One document of each component, with the columns they have. Rows are numbered and written first, so repeated
-    rows and missing keys do no harm; the first row by number stays, and texts without words are no copies."""
-    item = fresh(docs, "item")
-    numbered = saved(docs.withColumn(item, F.monotonically_increasing_id()))
-    found = near_duplicates(numbered, size=size, num=num, den=den, key=item, text=text)
-    others = found.where("key_ != component").select(F.col("key_").alias(item))
-    return numbered.join(others, item, "left_anti").drop(item)
+    """One document of each component, with the columns they have: the first by number. Rows are told apart by where
+    they lie, so repeated rows and missing keys do no harm; texts without words are no copies."""
+    file, row = (fresh(docs, name) for name in ("file", "row"))
+    lying = placed(docs, file, row)
+    own = fresh(docs, "own")
+    found = near_duplicates(lying.withColumn(own, F.xxhash64(file, row)), size=size, num=num, den=den, key=own, text=text, more=(file, row))
+    others = saved(found.where("item_ != root").select(F.col("more_0").alias(file), F.col("more_1").alias(row)))
+    return lying.join(others, [file, row], "left_anti").select(*docs.columns)
