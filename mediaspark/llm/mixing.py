@@ -9,11 +9,13 @@ undecided document at most, and a tree of blocks of these pairs them on, until o
 That one is drawn, and other documents of its block, none larger than what the draw misses, are turned to
 make up for it. So a source misses its target by a fraction of one document; largest are paired first.
 
-Random numbers come from hashes of source, level and block, blocks from hashes of the key, and every block is
+Random numbers come from hashes of source, level and block, blocks from hashes of key and text, and every block is
 sorted: reruns agree, whatever the partitions. The sources' totals, one row a source, pass the driver.
 
-Defined cases: a null source is a source, the last; a document without words is taken its whole copies and
-moves nothing; equal rows are drawn each for itself; an empty table has no targets; no other columns are read.
+Defined cases: a null source is a source, the last; a null or repeated key is like any other, as blocks come from
+key and text, and from a number where rows are wholly equal; a document without words is taken its whole copies and
+moves nothing; a very long text is one large size; equal rows are drawn each for itself; an empty table has no
+targets; no other columns are read.
 """
 
 from __future__ import annotations
@@ -23,10 +25,10 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mediaspark.llm.common import fresh, saved
+from mediaspark.llm.common import fresh, placed, saved
 
 WEIGHTS = (5, 2, 1)
 BUDGET = 1.5
@@ -109,13 +111,35 @@ def _rounded(level: int, last: bool, seed: int):
     return pair
 
 
+def _numbered(sized: DataFrame, block: int) -> DataFrame:
+    """``among_``: rows with the same source and order_ that are more than a block are numbered in blocks; 0 elsewhere.
+
+    Rows are numbered in parts, each behind the rows of the parts before it, so no task takes a whole group. Which
+    of these rows gets which number does not matter, as they are equal.
+    """
+    group = [F.coalesce(F.col("source"), F.lit("")).alias("group_"), F.col("source").isNull().alias("none_"), "order_"]
+    keyed = sized.select("*", *group[:2])
+    names = ["group_", "none_", "order_"]
+    repeated = saved(keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("equal_")).where(F.col("equal_") > block))
+    if repeated.isEmpty():
+        return sized.withColumn("among_", F.lit(0).cast("long"))
+    parts = keyed.join(repeated, names, "left").withColumn("part_", F.pmod(F.xxhash64("item_"), F.ceil(F.col("equal_") / block)))
+    many = parts.where("equal_ IS NOT NULL")
+    before = Window.partitionBy(*names).orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)
+    sums = many.groupBy(*names, "part_").agg(F.count(F.lit(1)).alias("n")).withColumn("ahead_", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    place = F.row_number().over(Window.partitionBy(*names, "part_").orderBy("item_")) - 1
+    among = F.floor((F.col("ahead_") + F.col("place_")) / block)
+    numbered = many.withColumn("place_", place).join(sums, [*names, "part_"]).select(*sized.columns, among.alias("among_"))
+    return parts.where("equal_ IS NULL").select(*sized.columns, F.lit(0).cast("long").alias("among_")).union(numbered)
+
+
 def copies(sized: DataFrame, goals: DataFrame, *, seed: int = 0, block: int = BLOCK, fan: int = 256) -> DataFrame:
     """item_ and copies for each (item_, order_, source, size); ``order_`` is a stable number of the row's key."""
     goal = goals.select(F.col("source").alias("source_"), "source_rows", (F.col("target") / F.nullif(F.col("source_size"), F.lit(0))).alias("times"))
     times = F.coalesce("times", F.lit(0.0))
     level = (
-        sized.join(F.broadcast(goal), F.col("source").eqNullSafe(F.col("source_")))
-        .withColumn("block", F.pmod(F.xxhash64("order_"), F.ceil(F.col("source_rows") / block)))
+        _numbered(sized, block).join(F.broadcast(goal), F.col("source").eqNullSafe(F.col("source_")))
+        .withColumn("block", F.pmod(F.xxhash64("order_", "among_"), F.ceil(F.col("source_rows") / block)))
         .withColumn("whole", F.floor(times + TINY).cast("int"))
         .withColumn("part", F.greatest(F.lit(0.0), times - F.col("whole")))
         .select("source", "block", "item_", "order_", "size", "whole", "part")
@@ -137,23 +161,27 @@ def copies(sized: DataFrame, goals: DataFrame, *, seed: int = 0, block: int = BL
     return decided
 
 
-def sized_documents(docs: DataFrame, *, item: str | None = None, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """item_, key_, order_, source and size in words of every document; ``item`` is a column that numbers the rows."""
+def sized_documents(
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source", carry: dict[str, str] | None = None
+) -> DataFrame:
+    """item_, key_, order_, source and size in words of every document; ``carry`` names columns to take along."""
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
     return docs.select(
-        (F.col(item) if item else F.monotonically_increasing_id()).alias("item_"),
+        F.monotonically_increasing_id().alias("item_"),
         F.col(key).cast("long").alias("key_"),
-        F.xxhash64(F.col(key)).alias("order_"),
+        F.xxhash64(F.col(key), F.col(text)).alias("order_"),
         F.col(source).cast("string").alias("source"),
         size.alias("size"),
+        *(F.col(column).alias(name) for name, column in (carry or {}).items()),
     )
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The documents themselves, each as often as the mix takes it, with the columns they have."""
-    item = fresh(docs, "item")
-    numbered = saved(docs.withColumn(item, F.monotonically_increasing_id()))
-    sized = saved(sized_documents(numbered, item=item))
+    file, row, copy = (fresh(docs, name) for name in ("file", "row", "copy"))
+    lying = placed(docs, file, row)
+    sized = saved(sized_documents(lying, carry={"file_": file, "row_": row}))
     decided = copies(sized, targets(sized, **options)).where("copies > 0")
-    often = decided.select(F.col("item_").alias(item), F.explode(F.sequence(F.lit(1), F.col("copies"))).alias(fresh(docs, "copy")))
-    return numbered.join(often, item).select(*(numbered[c] for c in docs.columns))
+    places = sized.join(decided, "item_").select(F.col("file_").alias(file), F.col("row_").alias(row), F.col("copies").alias(copy))
+    taken = lying.join(saved(places), [file, row])  # each document meets its decision once, and is repeated behind the join
+    return taken.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copy)))).select(*docs.columns)
