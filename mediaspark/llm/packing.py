@@ -1,14 +1,15 @@
 """Best-fit packing of token sequences, hierarchically.
 
 ``token_pieces`` turns texts into pieces of at most ``capacity`` tokens. ``pack`` then packs items into
-bins: every task best-fits its own items, longest first, in blocks of bounded size, and emits bins that
-are nearly full; the underfull ones, now items themselves, are merged by a tree: block after block of them
-is best-fitted again, until one block is left. A block hands on at most a quarter of ``BLOCK`` bins, the
-emptiest; so every task holds at most ``BLOCK`` items, and a level has at most a quarter of the items of
-the level before. Bins that are not handed on stay as they are: no item is ever dropped.
-
-Defined cases: a null or empty text is one piece with the closing id only; equal rows are packed each for
-itself; a null key is carried; an empty table gives no rows; other columns are not read.
+bins: items are dealt by a hash of their number, so that no order of the files matters; every task best-fits
+its own, longest first, in blocks of bounded size, and emits bins that are nearly full. All underfull ones,
+now items themselves, are merged by a tree: dealt anew into as many blocks as they need, each best-fitted
+again, round after round until they are one block, or until a round takes less than ``LEAST_GAIN`` of
+them away. Bins left then stay as they are: no item is ever dropped, no number of bins is capped.
+
+Defined cases: a null or empty text is one piece with the closing id only; a very long text is many pieces,
+written in batches of 256 texts; equal rows are packed each for itself; a null key is carried; an empty table
+gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from mediaspark.llm.common import saved
 CAPACITY = 1024
 BLOCK = 65_536
 NEARLY_FULL = 0.99
+LEAST_GAIN = 0.02
 END_ID = 2
 
 PIECES = "key_ long, piece int, start long, length int, ids_crc32 long"
@@ -131,7 +133,7 @@ def best_fit(sizes: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def _packed(ids: list[int], fills: np.ndarray, members: list, capacity: int, block: int, last: bool) -> pa.RecordBatch:
+def _packed(ids: list[int], fills: np.ndarray, members: list, capacity: int, last: bool) -> pa.RecordBatch:
     """Best-fit one block; ``members`` has items and offsets of each entry."""
     rows = []
     for entries in best_fit(fills, capacity):
@@ -143,12 +145,10 @@ def _packed(ids: list[int], fills: np.ndarray, members: list, capacity: int, blo
             offsets += [at + o for o in members[e][1]]
             at += int(fills[e])
         rows.append((ids[entries[0]], at, items, offsets))
-    rows.sort(key=lambda r: r[1])
-    hand_on = 0 if last else min(block // 4, sum(r[1] < NEARLY_FULL * capacity for r in rows))
     columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
     kinds = (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()))
     arrays = [pa.array(x, t) for x, t in zip(columns, kinds, strict=True)]
-    return pa.RecordBatch.from_arrays([*arrays, pa.array([i < hand_on for i in range(len(rows))])], ["bin", "fill", "items", "offsets", "open"])
+    return pa.RecordBatch.from_arrays([*arrays, pa.array([not last and r[1] < NEARLY_FULL * capacity for r in rows], pa.bool_())], ["bin", "fill", "items", "offsets", "open"])
 
 
 def pack(items: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) -> DataFrame:
@@ -161,28 +161,32 @@ def pack(items: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) -> Data
             ids += batch.column("item_").to_pylist()
             sizes += batch.column("length").to_pylist()
             while len(ids) >= block:
-                yield _packed(ids[:block], np.array(sizes[:block]), [([i], [0]) for i in ids[:block]], capacity, block, False)
+                yield _packed(ids[:block], np.array(sizes[:block]), [([i], [0]) for i in ids[:block]], capacity, False)
                 ids, sizes = ids[block:], sizes[block:]
         if ids:
-            yield _packed(ids, np.array(sizes), [([i], [0]) for i in ids], capacity, block, False)
+            yield _packed(ids, np.array(sizes), [([i], [0]) for i in ids], capacity, False)
 
     def merged(last: bool):
         def merge(table: pa.Table) -> pa.Table:
             table = table.sort_by("bin")
             members = list(zip(table["items"].to_pylist(), table["offsets"].to_pylist(), strict=True))
-            return pa.Table.from_batches([_packed(table["bin"].to_pylist(), table["fill"].to_numpy(), members, capacity, block, last)])
+            return pa.Table.from_batches([_packed(table["bin"].to_pylist(), table["fill"].to_numpy(), members, capacity, last)])
 
         return merge
 
     whole = items.where(F.col("length") >= capacity).select("item_", F.col("item_").alias("sequence_id"), F.lit(0).alias("offset"))
-    level = saved(items.where(F.col("length") < capacity).select("item_", "length").mapInArrow(local, BINS))
-    done = [level.where("NOT open")]
-    while left := (open_bins := level.where("open")).count():
+    dealt = items.where(F.col("length") < capacity).select("item_", "length").repartition("item_").sortWithinPartitions("item_")
+    level = saved(dealt.mapInArrow(local, BINS))
+    done, number = [level.where("NOT open")], 0
+    left = level.where("open").count()
+    while left:
         blocks = -(-left * 2 // block)  # half full on average, so that chance does not overfill one
-        group = F.pmod(F.xxhash64("bin"), F.lit(blocks))
-        level = saved(open_bins.groupBy(group.alias("block")).applyInArrow(merged(blocks == 1), BINS))
+        group = F.pmod(F.xxhash64("bin", F.lit(number)), F.lit(blocks))
+        level = saved(level.where("open").groupBy(group.alias("block")).applyInArrow(merged(blocks == 1), BINS))
         done.append(level.where("NOT open"))
-        if blocks == 1:
+        before, left, number = left, level.where("open").count(), number + 1
+        if left > (1 - LEAST_GAIN) * before:
+            done.append(level.where("open"))
             break
     placed = done[0]
     for more in done[1:]:
