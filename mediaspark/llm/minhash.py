@@ -39,6 +39,7 @@ from mediaspark.llm.components import components
 COORDINATES = 64
 MISSED = 1e-6  # chance that a pair right at the threshold agrees in fewer coordinates than asked for
 BITMAP_BITS = 25  # 4 MB
+MOST_BITS = 1 << 28  # 32 MB
 MEMBERS = 256  # classes of one centre that one task takes
 
 _RANDOM = np.random.default_rng(20240229)
@@ -88,16 +89,45 @@ def _described(size: int):
     return describe
 
 
-def _rarest(posts: DataFrame, group: list[str], counted: list[str], keep) -> DataFrame:
-    """For each group the rarest of its tokens that others have too; ``keep`` says how many of n such tokens.
+def _bitmap(places: DataFrame, bits: int) -> np.ndarray:
+    """Which numbers below ``bits`` the column ``at`` has: number n is bit n - 1, and 0 shares the bit of 1."""
+    bucket, bit = F.bitmap_bucket_number("at").alias("b"), F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("m")
+    bitmap = np.zeros(bits // 8 + 8192, np.uint8)
+    for row in places.groupBy(bucket).agg(bit).collect():
+        start = (row.b - 1) * 4096 if row.b else 0
+        bitmap[start : start + len(row.m)] |= np.frombuffer(bytes(row.m), np.uint8)
+    return bitmap
+
+
+def _likely_shared(signatures: DataFrame, common: DataFrame) -> DataFrame:
+    """node and token of every token in ``common``, and some more: a bitmap passes over most others before they are shuffled.
+
+    It has about 8 bits a common token, but ``MOST_BITS`` at most; beyond that more tokens pass, and the join decides.
+    """
+    bits = min(MOST_BITS, 1 << max(20, (8 * common.count()).bit_length()))
+    shared = signatures.sparkSession.sparkContext.broadcast(_bitmap(common.select(F.pmod("token", F.lit(bits)).alias("at")), bits))
+
+    def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chosen = shared.value
+        for batch in batches:
+            tokens = batch.column(1).flatten().to_numpy()
+            nodes = np.repeat(batch.column(0).to_numpy(), COORDINATES)
+            at = np.maximum((tokens.view(np.uint64) & np.uint64(bits - 1)).astype(np.int64) - 1, 0)
+            hit = ((chosen[at // 8] >> (at % 8).astype(np.uint8)) & 1).astype(bool)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[hit], pa.int64()), pa.array(tokens[hit], pa.int64())], ["node", "token"])
+
+    return signatures.select("node", "tokens").mapInArrow(passed, "node long, token long")
+
 
-    Counting combines in the map tasks, and the join with the counts is split where a token is frequent.
+def _rarest(posts: DataFrame, common: DataFrame, keep) -> DataFrame:
+    """For each node the rarest of its tokens that others have too; ``keep`` says how many of n such tokens.
+
+    The join with the counts is split where a token is frequent.
     """
-    common = posts.groupBy(*counted).agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    shared = posts.join(common, counted)
-    gathered = shared.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("found"), F.sum("df").alias("central"))
+    found = F.sort_array(F.collect_list(F.struct("df", "token"))).alias("found")
+    gathered = posts.join(common, "token").groupBy("node").agg(found, F.sum("df").alias("central"))
     n = keep(F.size("found"))
-    return gathered.where(n > 0).select(*group, "central", F.explode(F.slice("found", F.lit(1), n)["token"]).alias("token"))
+    return gathered.where(n > 0).select("node", "central", F.explode(F.slice("found", F.lit(1), n)["token"]).alias("token"))
 
 
 def _sets(docs: DataFrame, classes: DataFrame, size: int, key: str, text: str) -> DataFrame:
@@ -107,12 +137,7 @@ def _sets(docs: DataFrame, classes: DataFrame, size: int, key: str, text: str) -
     """
     bits = 1 << BITMAP_BITS
     at = F.pmod(F.xxhash64("label"), F.lit(bits))
-    rows = classes.groupBy(F.bitmap_bucket_number(at).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("m")).collect()
-    bitmap = np.zeros(bits // 8 + 8192, np.uint8)
-    for row in rows:
-        start = (row.b - 1) * 4096 if row.b else 0
-        bitmap[start : start + len(row.m)] |= np.frombuffer(bytes(row.m), np.uint8)
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(classes.select(at.alias("at")), bits))
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chosen = shared.value
@@ -154,8 +179,9 @@ def near_duplicates(
     # posting under coordinates: prefix of the rarest, one centre a list
     signatures = full.select(F.col("item_").alias("node"), "tokens").join(classes.select("node"), "node")
     matches = least_matches(num, den)
-    posts = saved(_rarest(signatures.select("node", F.explode("tokens").alias("token")), ["node"], ["token"], lambda n: n - matches + 1))
-    discard(whole)
+    common = saved(signatures.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
+    posts = saved(_rarest(_likely_shared(signatures, common), common, lambda n: n - matches + 1))
+    discard(whole, common)
     centres = posts.groupBy("token").agg(F.max(F.struct("central", F.col("node").alias("id")))["id"].alias("centre"), F.count(F.lit(1)).alias("n"))
     met = saved(posts.join(centres.where("n > 1"), "token").where("node != centre").select("node", "centre").distinct())
     discard(posts)
