@@ -175,7 +175,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) -> Data
         return merge
 
     whole = items.where(F.col("length") >= capacity).select("item_", F.col("item_").alias("sequence_id"), F.lit(0).alias("offset"))
-    dealt = items.where(F.col("length") < capacity).select("item_", "length").repartition("item_").sortWithinPartitions("item_")
+    dealt = items.where(F.col("length") < capacity).select("item_", "length").repartition("item_").sortWithinPartitions(F.xxhash64("item_"), "item_")
     level = saved(dealt.mapInArrow(local, BINS))
     done, number = [level.where("NOT open")], 0
     left = level.where("open").count()
