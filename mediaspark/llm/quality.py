@@ -4,7 +4,8 @@
 learns from a sample of about ``bound`` labelled rows at most, chosen by a hash of the key; ``apply_rules``
 scores all rows with flat node arrays, ``filtered`` does both for tables with other columns. More repetition, symbols, capitals or table bars can only lower a score.
 
-Defined cases: a null or blank text has no words and fails the hard limits; equal rows get equal
+Defined cases: a null or blank text has no words and fails the hard limits; very long texts are read whole, one at
+a time; a key repeated in labels counts once with each label; equal rows get equal
 verdicts; labels other than 0 and 1 and labels without a document are not used; without labels of both
 classes the trees keep everything that passes the limits; an empty table gives no rows. Columns of the
 input other than key and text are not read and cannot clash.
@@ -101,14 +102,15 @@ def statistics(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 
 def sample_of(labels: DataFrame, *, label: str = "quality", key: str = "doc_id", bound: int = SAMPLE) -> DataFrame:
     """About ``bound`` labelled rows at most, the same in every run."""
-    known = labels.select(F.col(key).cast("long").alias("key_"), F.col(label).cast("int").alias("label_")).where(F.col("label_").isin(0, 1))
+    known = labels.select(F.col(key).cast("long").alias("key_"), F.col(label).cast("int").alias("label_")).where(F.col("label_").isin(0, 1)).distinct()
     share = min(1.0, bound / max(1, known.count()))
     return known.where(F.pmod(F.xxhash64("key_"), F.lit(1 << 30)) < int(share * (1 << 30)))
 
 
 def fit_rules(found: DataFrame, sample: DataFrame) -> trees.Forest:
     """Trees for P(label = 1) from the sample's rows."""
-    rows = found.join(sample, "key_").select("key_", "features", "label_").toPandas()
+    rows = found.join(sample, "key_").select("key_", "features", "label_")
+    rows = rows.orderBy(F.xxhash64("key_", "label_", "features")).limit(2 * SAMPLE).toPandas()  # a bound under repeated keys too
     rows = rows.sort_values(["key_", "label_"], kind="stable")
     if not len(rows):
         return trees.constant(1.0)

@@ -117,7 +117,7 @@ def describe(text: bytes, lexicon: Lexicon) -> list[float]:
 
 def sample_of(labels: DataFrame, *, label: str = "toxic", key: str = "doc_id", bound: int = SAMPLE) -> DataFrame:
     """About ``bound`` labelled rows at most, the same in every run, with the part each belongs to."""
-    known = labels.select(F.col(key).cast("long").alias("key_"), F.col(label).cast("int").alias("label_")).where(F.col("label_").isin(0, 1))
+    known = labels.select(F.col(key).cast("long").alias("key_"), F.col(label).cast("int").alias("label_")).where(F.col("label_").isin(0, 1)).distinct()
     share = min(1.0, bound / max(1, known.count()))
     picked = known.where(F.pmod(F.xxhash64("key_"), F.lit(1 << 30)) < int(share * (1 << 30)))
     tenth = F.pmod(F.xxhash64("key_", F.lit("part")), F.lit(10))
@@ -180,7 +180,8 @@ class Model:
 
 def fit_model(found: DataFrame, sample: DataFrame) -> Model:
     """Trees and calibration from the second and third part of the sample."""
-    rows = found.join(F.broadcast(sample.where("part_ != 'lexicon'")), "key_").toPandas()
+    rows = found.join(F.broadcast(sample.where("part_ != 'lexicon'")), "key_")
+    rows = rows.orderBy(F.xxhash64("key_", "label_", "features")).limit(2 * SAMPLE).toPandas()  # a bound under repeated keys too
     rows = rows.sort_values(["key_", "label_"], kind="stable")
     if not len(rows):
         return Model(trees.constant(0.0), np.zeros(1), np.zeros(1))
