@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from mediaspark.llm import imatch, kneser_ney, language, licenses, minhash, mixing, op10, packing, quality, sharding, toxicity, trees
-from mediaspark.llm.common import fold, saved
+from mediaspark.llm.common import fold, placed, saved
 from mediaspark.llm.components import components
 from mediaspark.llm.queries import QUERIES, VARIANTS
 from tests.llm.helpers import FOLDER, awkward, labels
@@ -239,6 +239,17 @@ def test_one_row_of_each_component_stays(spark):
     assert len(kept.collect()) == 10
 
 
+def test_passed_tokens_have_all_common_ones(spark):
+    draw = np.random.default_rng(4)
+    tokens = draw.integers(-(2**63), 2**63 - 1, (200, minhash.COORDINATES))
+    tokens[0, :3] = (0, 1, 1 << 20)
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(tokens)], "node long, tokens array<long>")
+    common = saved(spark.createDataFrame([(int(t), 2) for t in tokens[:40].ravel()], "token long, df long"))
+    found = {(r.node, r.token) for r in minhash._likely_shared(df, common).collect()}
+    wanted = {(i, int(t)) for i in range(40) for t in tokens[i]}
+    assert wanted <= found and len(found) < len(wanted) + 100
+
+
 def test_least_matches_miss_one_link_in_a_million():
     assert 36 <= minhash.least_matches(85, 100) <= 44 and minhash.least_matches(80, 100) < minhash.least_matches(85, 100)
 
@@ -427,6 +438,32 @@ def test_copies_keep_their_expectation(spark):
         assert np.mean(own) == pytest.approx(times[source], abs=0.04) and max(own) <= math.ceil(times[source])
 
 
+def test_equal_rows_are_split_into_blocks(spark):
+    """500 equal rows of a null source are dealt into blocks of at most 64, alike in another partitioning."""
+    rows = [(i, 7 if i < 500 else i, None if i < 500 else "a", 20) for i in range(600)]
+    df = saved(spark.createDataFrame(rows, "item_ long, order_ long, source string, size long"))
+    dealt = Counter(r.among_ for r in mixing._numbered(df, 64).where("order_ = 7").collect())
+    assert sum(dealt.values()) == 500 and max(dealt.values()) <= 64 and dealt == Counter(i // 64 for i in range(500))
+    goals = saved(mixing.targets(df))
+    one, two = (mixing.copies(x, goals, block=64).join(df, "item_") for x in (df, df.repartition(5)))
+    taken = [Counter((r.order_, r.copies) for r in x.collect()) for x in (one, two)]
+    assert taken[0] == taken[1] and sum(taken[0].values()) == 600
+
+
+def test_places_hold_in_any_parts(spark, tmp_path):
+    spark.range(1000).withColumn("file", F.lit(1)).repartition(3).write.parquet(f"{tmp_path}/t")
+    first = {r.id: (r.f, r.r) for r in placed(spark.read.parquet(f"{tmp_path}/t"), "f", "r").collect()}
+    again = {r.id: (r.f, r.r) for r in placed(spark.read.parquet(f"{tmp_path}/t"), "f", "r").where("id % 2 = 0").repartition(7).collect()}
+    assert len(set(first.values())) == 1000 and again == {k: v for k, v in first.items() if k % 2 == 0}
+
+
+def test_repeated_labels_do_not_break_the_bound(spark):
+    marked = spark.createDataFrame([(1, 1, 1)] * 3000 + [(i, i % 2, i % 2) for i in range(2, 2000)], "doc_id long, quality int, toxic int")
+    for module in (quality, toxicity):
+        found = module.sample_of(marked, bound=500)
+        assert 300 < found.count() < 700 and found.select("key_").distinct().count() == found.count()
+
+
 def test_mixed_documents_keep_their_columns(spark):
     df = awkward(spark)
     out = mixing.mixed(df)
@@ -602,6 +639,21 @@ def test_bins_are_gapless_and_few(spark, block):
     assert bins <= (1.2 if block == 64 else 1.02) * sum(sizes.values()) / 1024 + 1
 
 
+@pytest.mark.parametrize("block", [64, 65_536])
+def test_sorted_items_take_no_more_bins(spark, block):
+    """Long ones in the first files and those that fit beside them in the last; a block of 64 has them uneven by chance."""
+    sizes = {i: 600 if i < 2000 else 424 for i in range(4000)}
+    df = saved(spark.createDataFrame(list(sizes.items()), "item_ long, length int").coalesce(1).repartitionByRange(4, "item_"))
+    rows = packing.pack(df, block=block).collect()
+    assert len(rows) == 4000 and places_hold(rows, sizes, 1024) <= (1.05 if block == 64 else 1.02) * 2000
+
+
+def test_items_that_never_fit_together_end_the_rounds(spark):
+    sizes = {i: 600 for i in range(500)}
+    rows = packing.pack(spark.createDataFrame(list(sizes.items()), "item_ long, length int"), block=64).collect()
+    assert places_hold(rows, sizes, 1024) == len(rows) == 500
+
+
 def test_best_fit_takes_the_fullest_bin():
     assert packing.best_fit(np.array([6, 5, 4, 4, 1]), 10) == [[0, 2], [1, 3, 4]]
     assert packing.best_fit(np.array([], dtype=int), 10) == []
