@@ -24,7 +24,7 @@ from mediaspark.jobs import increments
 from mediaspark.jobs import silver as silver_job
 from mediaspark.jobs import validate as validate_job
 from mediaspark.layout import LakeLayout
-from mediaspark.ml import churn, features, popularity, products, recommend
+from mediaspark.ml import churn, features, forest, popularity, products, recommend
 from mediaspark.operators import gold, quality, silver
 from mediaspark.plans import kpis, layer_checks, questions, saved, traces, traffic
 from mediaspark.session import shared_folder
@@ -1188,6 +1188,30 @@ def ml_popularity(spark, folder):
     return popularity.predict(model, table)
 
 
+@query("ml_auc", """
+    WITH given AS (SELECT CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label, least(l_quantity / 60 + l_discount, 1.0) AS score FROM lineitem),
+    h AS (SELECT floor(least(greatest(score, 0.0), 1.0) * 10000) AS bin, count(*) FILTER (WHERE label = 1) AS p, count(*) FILTER (WHERE label = 0) AS n
+          FROM given GROUP BY 1),
+    pairs AS (SELECT sum(a.p * b.n * CASE WHEN b.bin < a.bin THEN 1.0 ELSE 0.5 END) AS won FROM h a JOIN h b ON b.bin <= a.bin)
+    SELECT (SELECT CAST(sum(p) AS BIGINT) FROM h) AS positives, (SELECT CAST(sum(n) AS BIGINT) FROM h) AS negatives,
+           round(CAST(won AS DOUBLE) / ((SELECT sum(p) FROM h) * (SELECT sum(n) FROM h)), 9) AS area FROM pairs""")
+def ml_auc(spark, folder):
+    """Area under the ROC curve of given scores, by all pairs of bins in the SQL and by rank sums here."""
+    score = F.least(F.col("l_quantity") / 60 + F.col("l_discount"), F.lit(1.0))
+    given = s.read(spark, folder, "lineitem").select((F.col("l_returnflag") == "R").cast("int").alias("label"), score.alias("score"))
+    return shown(forest.roc_area(given), area=9)
+
+
+@query("ml_category_counts", f"""
+    SELECT 'plan_id' AS field, coalesce(nullif(trim(plan_id), ''), '(unknown)') AS category, count(*) AS n, sum(label) AS positives
+    FROM ({ORACLES["ml_user_features"]}) GROUP BY ALL""")
+def ml_category_counts(spark, folder):
+    """The table of categories that the churn model joins to its rows."""
+    labelled = forest.with_categories(_user_features(spark, folder), churn.CATEGORIES)
+    counts = forest.category_counts(labelled, churn.CATEGORIES, F.pmod(F.xxhash64("user_id"), F.lit(forest.FOLDS)))
+    return counts.select("field", "category", F.col("rows").alias("n"), "positives")
+
+
 @query("ml_recommendations")
 def ml_recommendations(spark, folder):
     viewers = _written(spark, gold.viewer_titles(s.viewing_events(spark, folder)))

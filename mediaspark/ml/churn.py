@@ -12,10 +12,10 @@ CATEGORIES = ("plan_id",)
 NUMBERS = ("subscriptions_held", "active_days", "views", "watch_sec", "titles_per_day")
 
 
-def train(features: DataFrame) -> tuple[PipelineModel, float]:
-    """Model, and its area under the ROC curve on users it has not seen."""
+def train(features: DataFrame) -> tuple[PipelineModel, float | None]:
+    """Model, and its area under the ROC curve on users it has not seen (None if those are all of one class)."""
     training, test = forest.split(features, "user_id")
-    model = forest.fit(training, CATEGORIES, NUMBERS)
+    model = forest.fit(training, CATEGORIES, NUMBERS, "user_id")
     return model, forest.area_under_roc(model, test, CATEGORIES)
 
 

@@ -91,6 +91,47 @@ def test_churn_learns_from_activity(spark):
     assert again.stages[-1].getNumTrees == forest.TREES
 
 
+def test_shares_of_categories_leave_out_the_own_fold(spark):
+    rows = [(f"k{i}", ["a", "b", " ", None, "c"][i % 5] if i < 40 else f"rare{i}", float(i % 3 == 0)) for i in range(60)]
+    labelled = forest.with_categories(frame(spark, "key string, plan string, label double", *rows), ["plan"])
+    fold = F.pmod(F.xxhash64("key"), F.lit(forest.FOLDS))
+    shares = forest.CategoryShares(forest.category_counts(labelled, ["plan"], fold), ["plan"], 0.3)
+    named = {r.key: (r.plan_category, r.label, r.fold) for r in labelled.withColumn("fold", fold).collect()}
+    assert {c for c, _, _ in named.values()} == {"a", "b", "c", forest.UNKNOWN, *(f"rare{i}" for i in range(40, 60))}
+    for given in (None, fold):
+        out = shares.encoded(labelled, given)
+        assert out.columns == ["plan_category", "key", "plan", "label", "plan_share"]
+        for r in out.collect():
+            own = named[r.key]
+            others = [label for c, label, f in named.values() if c == own[0] and (given is None or f != own[2])]
+            assert r.plan_share == pytest.approx((sum(others) + forest.PRIOR * 0.3) / (len(others) + forest.PRIOR))
+    unseen = forest.with_categories(frame(spark, "plan string", ("new",)), ["plan"])
+    assert shares.transform(unseen).first().plan_share == pytest.approx(0.3)
+
+
+def test_ten_thousand_categories_leave_the_vector_short(spark):
+    table = spark.range(20_000).select(
+        F.concat(F.lit("u"), "id").alias("user_id"), F.concat(F.lit("P"), F.col("id") % 10_000).alias("plan_id"), F.lit(1).alias("subscription_duration_days"),
+        *(F.lit(1.0).alias(c) for c in churn.NUMBERS), (F.col("id") % 10_000 % 2).cast("double").alias("label"),
+    )
+    model = forest.fit(table, churn.CATEGORIES, churn.NUMBERS, "user_id")
+    assert model.stages[-1].numFeatures == 1 + len(churn.NUMBERS)
+    assert forest.area_under_roc(model, table, churn.CATEGORIES) > 0.95
+
+
+def test_area_equals_all_pairs(spark):
+    draw = np.random.default_rng(8)
+    label, score = draw.integers(0, 2, 300), np.round(draw.random(300), 2)
+    rows = [(int(a), float(b)) for a, b in zip(label, score, strict=True)]
+    won = [1.0 if a > b else 0.5 if a == b else 0.0 for a in score[label == 1] for b in score[label == 0]]
+    scored = frame(spark, "label int, score double", *rows, (None, 0.5), (1, None), (0, float("nan")))
+    for dealt in (scored, scored.repartition(7)):
+        out = forest.roc_area(dealt).first()
+        assert (out.positives, out.negatives) == (label.sum(), 300 - label.sum()) and out.area == pytest.approx(np.mean(won))
+    assert forest.roc_area(scored.where("label = 1")).first().area is None
+    assert tuple(forest.roc_area(scored.limit(0)).first()) == (0, 0, None)
+
+
 def test_one_class_still_trains(spark):
     table = spark.range(40).select(
         F.col("id").cast("string").alias("user_id"), F.lit("P").alias("plan_id"), F.lit(1).alias("subscription_duration_days"),
