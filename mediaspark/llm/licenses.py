@@ -1,7 +1,8 @@
 """License scan: ordered signature rules with keyword gates, priorities and containment, in DataFrame functions only.
 
 A rule has two keywords, a regex, a label, a priority and a confidence. A text is searched with a rule only
-if it has both keywords, and looked at rule by rule only if it has any rule's first keyword (``GATES``, few).
+if it has both keywords, and looked at rule by rule only if it has one of a few words (``GATES``) or speaks of
+something licensed, released, … under terms (``UNDER_GATE``). Space between words may hold the mark of a comment line.
 All places where a rule matches become detections. One that lies inside another of the same or a higher
 priority is suppressed; at equal extent the earlier rule stays. Everything happens within the row, so
 nothing is shuffled; suppression is one pass over a document's detections in order of their start.
@@ -121,9 +122,81 @@ HINTS = (
     ("non-commercial", "commercial", r"for_non[- ]?commercial_(?:use|purposes)_only"),
 )
 
+#: Short names, which speak of a license only where the words around them do: label, keyword, regex.
+LATER = r"(?:\+|-only|-or-later|_or_(?:any_)?(?:later|newer)(?:_version)?|,?_or_\(at_your_option\)_any_later_version)?"
+SHORT = (
+    ("mit", "mit", r"(?:the_)?mit(?:/x11)?(?!-0)"),
+    ("mit", "expat", r"(?:the_)?expat"),
+    ("apache-2.0", "apache", r"(?:the_)?(?:asl|apache)(?:_licen[cs]e)?[-,]?\s?(?:version_|v\.?\s?)?2(?:\.0)?(?!\.?\d)"),
+    ("apache-1.1", "apache", r"(?:the_)?apache[-,]?\s?(?:version_|v\.?\s?)?1\.1"),
+    ("bsd-2-clause", "bsd", r"(?:the_)?(?:bsd[- ]2(?:[- ]clause)?|2[- ]clause_bsd|simplified_bsd|freebsd)"),
+    ("bsd-3-clause", "bsd", r"(?:the_)?(?:bsd[- ]3(?:[- ]clause)?|3[- ]clause_bsd|(?:new|modified|revised)_bsd)"),
+    ("bsd", "bsd", r"(?:the_)?bsd(?![- ][0-9])"),
+    ("isc", "isc", r"(?:the_)?isc"),
+    ("gpl-3.0", "gpl", r"(?:the_)?(?:gnu_)?gpl[-,]?\s?(?:version_|v\.?\s?)?3(?:\.0)?(?!\.?\d)" + LATER),
+    ("gpl-2.0", "gpl", r"(?:the_)?(?:gnu_)?gpl[-,]?\s?(?:version_|v\.?\s?)?2(?:\.0)?(?!\.?\d)" + LATER),
+    ("gpl", "gpl", r"(?:the_)?(?:gnu_)?gpl(?![-,]?\s?(?:version|v\.?)?\s?[0-9])"),
+    ("lgpl-3.0", "lgpl", r"(?:the_)?(?:gnu_)?lgpl[-,]?\s?(?:version_|v\.?\s?)?3(?:\.0)?(?!\.?\d)" + LATER),
+    ("lgpl-2.1", "lgpl", r"(?:the_)?(?:gnu_)?lgpl[-,]?\s?(?:version_|v\.?\s?)?2\.1" + LATER),
+    ("lgpl", "lgpl", r"(?:the_)?(?:gnu_)?lgpl(?![-,]?\s?(?:version|v\.?)?\s?[0-9])"),
+    ("agpl-3.0", "agpl", r"(?:the_)?(?:gnu_)?agpl[-,]?\s?(?:version_|v\.?\s?)?3(?:\.0)?(?!\.?\d)" + LATER),
+    ("agpl", "agpl", r"(?:the_)?(?:gnu_)?agpl(?![-,]?\s?(?:version|v\.?)?\s?[0-9])"),
+    ("mpl-2.0", "mpl", r"(?:the_)?mpl[-,]?\s?(?:version_|v\.?\s?)?2(?:\.0)?"),
+    ("mpl-1.1", "mpl", r"(?:the_)?mpl[-,]?\s?(?:version_|v\.?\s?)?1\.1"),
+    ("epl-2.0", "epl", r"(?:the_)?epl[-,]?\s?(?:version_|v\.?\s?)?2(?:\.0)?"),
+    ("epl-1.0", "epl", r"(?:the_)?epl[-,]?\s?(?:version_|v\.?\s?)?1(?:\.0)?"),
+    ("bsl-1.0", "boost", r"(?:the_)?boost(?:_1\.0)?"),
+    ("zlib", "zlib", r"(?:the_)?zlib(?:/libpng)?"),
+    ("unlicense", "unlicense", r"(?:the_)?unlicense"),
+    ("cc0-1.0", "cc0", r"(?:the_)?cc0(?:[- ]1\.0)?"),
+    ("wtfpl", "wtfpl", r"(?:the_)?wtfpl"),
+)
+#: Short names that name a version, so that they need no words around them.
+CLEAR = {"apache-2.0", "bsd-2-clause", "bsd-3-clause", "gpl-3.0", "gpl-2.0", "lgpl-3.0", "lgpl-2.1", "agpl-3.0"}
+
+#: What may stand before "or MIT": a keyword and how the other name ends.
+ALTERNATIVES = (("apache", ("apache", r"apache-2\.0", r"apache 2\.0")), ("bsd", ("bsd", "clause")), ("gpl", ("gpl", "gplv2", "gplv3", r"gpl-2\.0", r"gpl-3\.0")))
+
+#: Passages of the licenses themselves and of their standard notices: label, two keywords, regex.
+PUBLISHED = r"_as_published_by_the_free_software_foundation[;,:]?_(?:either_)?(?:under_)?version_"
+BODIES = (
+    ("mit", "permission", "associated documentation", r"permission_is_hereby_granted,_free_of_charge,_to_any_person_obtaining_a_copy_of_this_software_and_associated_documentation_files"),
+    ("mit", "sublicense", "merge", r"to_use,_copy,_modify,_merge,_publish,_distribute,_sublicense,_and/or_sell_copies_of_the_software"),
+    ("isc", "permission", "fee", r"permission_to_use,_copy,_modify,_and(?:/or)?_distribute_this_software_for_any_purpose_with_or_without_fee_is_hereby_granted,_provided"),
+    ("0bsd", "permission", "fee", r"permission_to_use,_copy,_modify,_and(?:/or)?_distribute_this_software_for_any_purpose_with_or_without_fee_is_hereby_granted\."),
+    ("bsd-2-clause", "redistribution", "materials", r"documentation_and/or_other_materials_provided_with_the_distribution\._this_software_is_provided"),
+    ("bsd-3-clause", "redistribution", "endorse", r"neither_the_names?_of_(?:\S+\s+){1,12}?may_be_used_to_endorse_or_promote_products"),
+    ("bsd-4-clause", "redistribution", "advertising", r"all_advertising_materials_mentioning_features_or_use_of_this_software_must_display"),
+    ("zlib", "permission", "altered", r"altered_source_versions_must_be_plainly_marked_as_such,_and_must_not_be_misrepresented"),
+    ("bsl-1.0", "permission", "machine-executable", r"machine-executable_object_code_generated_by_a_source_language_processor"),
+    ("unlicense", "domain", "unencumbered", r"this_is_free_and_unencumbered_software_released_into_the_public_domain"),
+    ("cc0-1.0", "domain", "affirmer", r"affirmer_hereby_overtly,_fully,_permanently,_irrevocably_and_unconditionally_waives"),
+    ("apache-2.0", "licen", "reproduction", r"terms_and_conditions_for_use,_reproduction,_and_distribution"),
+    ("apache-2.0", "licen", "compliance", r"licensed_under_the_apache_licen[cs]e,_version_2\.0_\(the_[\"“]licen[cs]e[\"”]\);?_you_may_not_use_this_file_except_in_compliance"),
+    ("mpl-2.0", "licen", "source code form", r"this_source_code_form_is_subject_to_the_terms_of_the_mozilla_public_licen[cs]e,_v\._2\.0"),
+    ("gpl-3.0", "licen", "published", r"general_public_licen[cs]e" + PUBLISHED + r"3"),
+    ("gpl-2.0", "licen", "published", r"general_public_licen[cs]e" + PUBLISHED + r"2(?!\.1)"),
+    ("lgpl-3.0", "licen", "lesser", r"lesser_general_public_licen[cs]e" + PUBLISHED + r"3"),
+    ("lgpl-2.1", "licen", "lesser", r"lesser_general_public_licen[cs]e" + PUBLISHED + r"2\.1"),
+    ("agpl-3.0", "licen", "affero", r"affero_general_public_licen[cs]e" + PUBLISHED + r"3"),
+    ("gpl-3.0", "licen", "29 june", r"gnu_general_public_licen[cs]e_version_3,_29_june_2007"),
+    ("gpl-2.0", "licen", "june 1991", r"gnu_general_public_licen[cs]e_version_2,_june_1991"),
+    ("lgpl-2.1", "licen", "february 1999", r"gnu_lesser_general_public_licen[cs]e_version_2\.1,_february_1999"),
+    ("lgpl-3.0", "licen", "29 june", r"gnu_lesser_general_public_licen[cs]e_version_3,_29_june_2007"),
+    ("agpl-3.0", "licen", "november 2007", r"gnu_affero_general_public_licen[cs]e_version_3,_19_november_2007"),
+    ("ofl-1.1", "licen", "font", r"this_font_software_is_licensed_under_the_sil_open_font_licen[cs]e"),
+    ("artistic-2.0", "licen", "artistic", r"the_artistic_licen[cs]e_2\.0_copyright"),
+)
+
 #: A text that any rule matches has one of these; a text without any is not looked at further.
 GATES = ("licen", "spdx", "copyright", "reserved", "domain", "permission", "redistribution", "warrant", "gpl", "cc by", "cc-by", "cc0",
-         "attribution", "://", "wtfpl", "proprietary", "commercial", "mit-0")
+         "attribution", "://", "wtfpl", "proprietary", "commercial", "mit-0", "apache", "bsd")
+
+#: Space between words; a line of a comment may begin in it.
+SPACE = r"(?:\s+(?:[*#/;%|-]{1,3}\s+)?)"
+GIVEN = r"(?:licen[cs]ed|released|distributed|available|published|provided|issued|offered|shared)"
+#: As are the rules about something that is given under terms, which need no other word.
+UNDER_GATE = f"{GIVEN}{SPACE}under|under{SPACE}the{SPACE}terms"
 
 
 @dataclass(frozen=True)
@@ -138,17 +211,18 @@ class Rule:
 
 
 def written(name: str) -> str:
-    return r"(?i)(?<![a-z0-9])(?:" + name.replace("_", r"(?:\s+)") + r")(?![a-z0-9])"
+    return r"(?i)(?<![a-z0-9])(?:" + name.replace("_", SPACE) + r")(?![a-z0-9])"
 
 
 def rules() -> tuple[Rule, ...]:
     """All rules in order; for each signature a tag, a notice, an address and the bare name."""
     found: list[tuple] = []
-    under = r"(?:licen[cs]ed|released|distributed|available|published|provided|issued|offered|shared)_under_(?:the_)?(?:terms_of_)?(?:the_)?(?:gnu_)?"
+    under = GIVEN + r"_under_(?:the_)?(?:terms_(?:and_conditions_)?of_)?(?:either_)?(?:the_)?(?:gnu_)?"
 
     def signature(label, keyword, name, tag, address):
         gate = "cc" if keyword == "cc" else "licen" if "licen" in name else next((g for g in GATES if g in keyword), keyword)
-        found.append((label, "spdx", "identifier", rf"spdx-license-identifier:\s*{tag}(?![-.\w])", TAG, "tag"))
+        found.append((label, "spdx", "identifier", rf"spdx-license-identifier:\s*\(*{tag}(?![-.\w])", TAG, "tag"))
+        found.append((label, "spdx", keyword if keyword in tag else "spdx", rf"(?:and|or)_\(*{tag}(?![-.\w])", TAG, "tag"))
         found.append((label, "under", keyword, rf"{under}(?:{name})", NOTICE, "notice"))
         host, slash, path = address.partition("/") if address else ("", "", "")
         for one in host.removeprefix("(?:").removesuffix(")").split("|") if host else ():
@@ -165,6 +239,20 @@ def rules() -> tuple[Rule, ...]:
             signature(label, "cc", rf"cc[- ]{short}[- ]{dotted}", rf"cc-{clauses}-{dotted}", rf"creativecommons\.org/licenses/{clauses}/{dotted}")
             found.append((label, "creative", "attribution", rf"creative_commons_{long}_(?:licen[cs]e_)?(?:version_|v)?{dotted}", NAME, "name"))
         found.append((f"cc-{clauses}", "creative", "attribution", rf"creative_commons_{long}", NAME, "name"))
+    for label, first, second, regex in BODIES:
+        found.append((label, first, second, regex, NOTICE, "notice"))
+    for label, keyword, short in SHORT:
+        found.append((label, "under", keyword, rf"{under}{short}", NOTICE, "notice"))
+        found.append((label, "terms", keyword, rf"under_the_terms_(?:and_conditions_)?of_{short}", NOTICE, "notice"))
+        found.append((label, "licen", keyword, rf"licen[cs]e(?:s|_type)?[\"']?\s*[:=]\s*[\"'\[(]*{short}", NOTICE, "notice"))
+        found.append((label, "licen", keyword, rf"licen[cs]ed(?:_(?:under|as|with|by))?:?_(?:either_)?{short}", NOTICE, "notice"))
+        found.append((label, "licen", keyword, rf"{short}[- ]licen[cs]ed", NOTICE, "notice"))
+        found.append((label, "licen", keyword, rf"badge/licen[cs]e-{short}", ADDRESS, "address"))
+        if label in CLEAR:
+            found.append((label, next(g for g in GATES if g in keyword), keyword, short, NAME, "name"))
+    for other, ends in ALTERNATIVES:
+        before = "|".join(f"(?<={end}{joined})" for end in ends for joined in ("/", " / ", r"\|", " or ", " and "))
+        found.append(("mit", other, "mit", rf"(?:{before})mit", NAME, "name"))
     for label, keyword, regex in HINTS:
         found.append((label, keyword, keyword, regex, HINT, "hint"))
     return tuple(Rule(i, f[0], f[1], f[2], written(f[3]), f[4], CONFIDENCE[f[5]]) for i, f in enumerate(found))
@@ -246,6 +334,7 @@ def scan(docs: DataFrame, text: str = "text", chosen: tuple[Rule, ...] | None =
     worth = F.lit(False)
     for gate in GATES:
         worth = worth | F.contains(F.col(low), F.lit(gate))
+    worth = worth | (F.contains(F.col(low), F.lit("under")) & F.rlike(F.col(low), F.lit(UNDER_GATE)))
     candidates = F.filter(_literal(chosen), lambda r: F.contains(F.col(low), r["first"]) & F.contains(F.col(low), r["second"]))
     found = F.flatten(F.transform(candidates, lambda r: _places(F.col(body), r)))
     kept = F.when(worth, _unsuppressed(found)).otherwise(F.array().cast(DETECTIONS))

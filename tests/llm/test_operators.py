@@ -121,11 +121,11 @@ def test_isotonic_steps_rise():
 # ---- 2: licenses
 
 
-def plain_scan(text):
+def plain_scan(text, keywords=True):
     found = []
     low = text.lower()
     for r in licenses.rules():
-        if r.first in low and r.second in low:
+        if (r.first in low and r.second in low) or not (keywords or r.first == "spdx"):
             found += [(m.start(), -m.end(), -r.priority, r.order, r.label) for m in re.finditer(r.regex, text, re.A)]
     kept = []
     for d in sorted(found):
@@ -166,6 +166,36 @@ def test_every_rule_is_reached_through_a_gate():
         assert r.first == r.first.lower() and r.second == r.second.lower()
 
 
+# Notices as people write them, with the licenses that a reader finds in them.
+NOTICES = [
+    ("License: MIT", "mit"), ("This project is MIT licensed.", "mit"), ("Released under Apache 2.0", "apache-2.0"), ('"license": "ISC"', "isc"),
+    ("under the terms of the GNU GPL version 3", "gpl-3.0"), ("GPL version 2 or later", "gpl-2.0"), ("dual-licensed MIT/Apache-2.0", "apache-2.0,mit"),
+    ("licensed under MIT", "mit"), ("SPDX-License-Identifier: MIT OR Apache-2.0", "apache-2.0,mit"), ("license = BSD-3-Clause", "bsd-3-clause"),
+    ("SPDX-License-Identifier: (GPL-2.0-only AND BSD-2-Clause)", "bsd-2-clause,gpl-2.0"), ("Apache License\n * Version 2.0", "apache-2.0"),
+    ("# Licensed under the Apache\n# License, Version 2.0", "apache-2.0"), ("Distributed\nunder the MPL 2.0", "mpl-2.0"), ("Apache-2.0 OR MIT", "apache-2.0,mit"),
+    ("GNU LGPL v2.1", "lgpl-2.1"), ("available under the AGPLv3", "agpl-3.0"), ("published under the zlib", "zlib"), ("Licensed under the GPL", "gpl"),
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files", "mit"),
+    ("Redistribution and use in source and binary forms: neither the name of the author nor the names of its\n contributors may be used to endorse or promote products", "bsd-3-clause"),
+    ("Redistributions must reproduce it in the documentation and/or other materials provided with the distribution.\n\nTHIS SOFTWARE IS PROVIDED", "bsd-2-clause"),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that", "isc"),
+    ("GNU General Public License as published by the Free Software Foundation; either version 3 of the License", "gpl-3.0"),
+    ("GNU Lesser General Public License as published by\n// the Free Software Foundation; either version 2.1", "lgpl-2.1"),
+    ("TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION of the License", "apache-2.0"),
+    ("we submit under pressure", ""), ("Apache helicopters, version 20", ""), ("er kam mit Apache und ging", ""), ("under the terms of the limited contract", ""), ("a permit, licensed", ""),
+]
+NO_LICENSE = {"licensed", "bsd-grant", "mit-grant", "isc-grant", "no-warranty", "copyright-notice"}
+
+
+def test_notices_name_their_licenses(spark):
+    df = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(NOTICES)], "doc_id long, text string")
+    for row in licenses.scan(df).collect():
+        found = {d.label for d in row.detections} - NO_LICENSE
+        # a family beside its version says nothing more
+        named = {f for f in found if not any(o != f and o.startswith(f + "-") for o in found)}
+        assert ",".join(sorted(named)) == NOTICES[row.doc_id][1], row.text
+        assert [(d.start, d.end, d.label, d.priority) for d in row.detections] == plain_scan(row.text, keywords=False), row.text
+
+
 def plain_base(text):
     low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
