@@ -211,6 +211,21 @@ def test_most_blocks_are_not_met(spark, monkeypatch):
     assert len(met) <= 2  # of 5 rounds
 
 
+def test_users_travel_once_a_strip_however_small_the_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    unit = lambda n: [(i, [float(x) for x in v / np.linalg.norm(v)]) for i, v in enumerate(rng.normal(size=(n, 8)))]
+    users, items = unit(60), unit(70)
+    items += [(i + 70, v) for i, v in items]  # copies: equal products, the lower id first
+    kept, original = [], products.written
+    monkeypatch.setattr(products, "written", lambda df: (kept.append(original(df)), kept[-1])[1])
+    as_doubles = lambda rows: spark.createDataFrame(rows, "id int, features array<double>")
+    found = products.best_products(as_doubles(users), as_doubles(items), 3, block_rows=2, group_rows=10).orderBy("user", F.desc("score"), "item").collect()
+    for user, features in users:
+        best = sorted(range(140), key=lambda i: (-round(float(np.dot(features, items[i][1])), 9), i))[:3]
+        assert [row.item for row in found if row.user == user] == best
+    assert max(df.count() for df in kept) <= 180  # three a user; a row a user and block would be 60 x 32 in the widest round
+
+
 def test_recommend_names_titles(spark):
     viewers = spark.range(200).select(
         F.concat(F.lit("USR-"), F.col("id") % 12).alias("user_id"), F.concat(F.lit("CNT-"), (F.col("id") * 5) % 17).alias("content_id"),
