@@ -143,11 +143,14 @@ def sliding_from_minutes(activity: DataFrame, dimensions=(), minutes: int = LIVE
 
 
 def sliding_estimates(sketches: DataFrame, dimensions=(), minutes: int = LIVE_MINUTES) -> DataFrame:
-    """Sliding windows with estimated users, from events and user sketches per minute; only a row a minute meets its windows."""
+    """Sliding windows with estimated users, from events and user sketches per minute; only a row a minute meets its windows.
+
+    Sketches of different sizes, from older batches, give one of the smallest.
+    """
     step = F.make_dt_interval(mins=F.lit(1))
     first = F.col("minute") + step
     ends = F.explode(F.sequence(first, F.col("minute") + F.make_dt_interval(mins=F.lit(minutes)), step)).alias("window_end")
-    merged = sketches.groupBy("minute", *dimensions).agg(F.sum("events").alias("events"), F.hll_union_agg("sketch").alias("sketch"))
+    merged = sketches.groupBy("minute", *dimensions).agg(F.sum("events").alias("events"), F.hll_union_agg("sketch", True).alias("sketch"))
     placed = merged.select("events", "sketch", *dimensions, ends)
-    counted = placed.groupBy("window_end", *dimensions).agg(F.sum("events").alias("events"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("users"))
+    counted = placed.groupBy("window_end", *dimensions).agg(F.sum("events").alias("events"), F.hll_sketch_estimate(F.hll_union_agg("sketch", True)).alias("users"))
     return counted.select((F.col("window_end") - F.make_dt_interval(mins=F.lit(minutes))).alias("window_start"), "window_end", *dimensions, "events", "users")

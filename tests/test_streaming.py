@@ -191,6 +191,14 @@ def test_estimates_are_near_the_exact_numbers(spark, lake):
     assert all(abs(found[k][1] - exact[k][1]) <= max(1, 0.05 * exact[k][1]) for k in exact)
 
 
+def test_no_estimate_of_many_strays(spark, lake):
+    tables = live.Traffic(lake, "many", length=1)
+    events = spark.range(400 * 4_000).select(F.timestamp_seconds(1_700_000_000 + (F.col("id") % 400) * 60).alias("event_ts"), F.col("id").alias("user_id"))
+    live.take_traffic(events, 0, tables=tables, sketches=True)
+    low, high, windows = tables.estimates(spark).agg(F.min("users"), F.max("users"), F.count(F.lit(1))).first()
+    assert windows == 400 and 3_860 <= low and high <= 4_140
+
+
 def test_only_days_and_minutes_within_reach_are_read(spark, lake):
     tables = live.Traffic(lake, "days")
     far = spark.range(96).select(F.timestamp_seconds(F.col("id") * 3600 + 1_700_000_000).alias("event_ts"), F.lit("u").alias("user_id"))
