@@ -127,6 +127,22 @@ def test_stored_measures_give_the_verdicts_of_the_table(spark, tmp_path):
     assert collected(q.checks(again, some)) == collected(q.checks(empty, some))
 
 
+def test_measures_do_not_slow_the_write(spark, tmp_path, monkeypatch):
+    """They are taken from the written files, also of a table by folders without a row; no row is observed on its way."""
+    from pyspark.sql import DataFrame
+
+    monkeypatch.setattr(DataFrame, "observe", lambda *_: pytest.fail("a row is observed"))
+    lake = LakeLayout(str(tmp_path / "lake"))
+    df = frame(spark, "k string, d string, n int", ("a", "x", 1), ("b", "y", None), (None, "x", 10))
+    assert overwrite_measured(df, lake, "silver", "t", ["d"], conditions={"no n": "n IS NULL"}) == 3
+    (row,) = read_measures(spark, lake, "silver", "t").collect()
+    assert (row["nulls"], row["least"], row["greatest"], row["broken"]) == (
+        {"k": 1, "d": 0, "n": 1}, {"k": "a", "d": "x", "n": "1"}, {"k": "b", "d": "y", "n": "10"}, {"no n": 1},
+    )
+    assert overwrite_measured(df.limit(0), lake, "silver", "t", ["d"]) == 0
+    assert read_measures(spark, lake, "silver", "t").first()["least"] == {"k": None, "d": None, "n": None}
+
+
 def test_measures_are_kept_for_nothing_else(spark, tmp_path):
     lake = LakeLayout(str(tmp_path / "lake"))
     assert read_measures(spark, lake, "silver", "t") is None

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mediaspark.functions import text
-from mediaspark.operators import gold, quality, silver
+from mediaspark.operators import gold, keep, quality, silver
 from mediaspark.plans import traffic
 from tests.helpers import collected, frame
 
@@ -80,6 +80,26 @@ def test_one_row_per_key_with_a_hot_key(spark, events):
     assert collected(quality.checks(silver.events(raw), [quality.unique("one", "event_id")]), "passed") == [(True,)]
 
 
+@pytest.mark.parametrize("hot", [0, 500, 10**9])
+def test_rare_keys_are_kept_apart_from_hot_ones(spark, events, hot):
+    """All keys, only the hot one, and none take the group limit; null keys are one group each way."""
+    raw = events.select(F.when(F.col("user_id") != "u-1", F.col("event_id")).alias("event_id"), F.col("content_id"), "event_ts", "user_id")
+    keys, order = ["event_id", "content_id"], keep.tie_break(["user_id"], [F.desc_nulls_last("event_ts")])
+    ours = keep.keep_first_spread(raw, keys, order, hot=hot)
+    assert collected(ours) == collected(keep.keep_first(raw, keys, order))
+    assert collected(keep.keep_first_spread(raw, keys, order, source=raw.select(*keys).union(raw.select(*keys)), hot=hot)) == collected(ours)
+
+
+def test_rare_keys_are_sorted_once(spark, events):
+    """Where no key is hot, no rows are sorted before the shuffle."""
+    rare = events.filter("event_id != 'e-hot'").select("event_id", "user_id", "event_ts")
+    ours = keep.keep_first_spread(rare, ["event_id"], keep.tie_break(["user_id", "event_ts"]))
+    ours.collect()
+    plan = ours._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "lag(" in plan
+    assert re.search(r"row_number\(\), 1, Partial\n.*Sort .*\n.*EmptyRelation", plan)
+
+
 def test_hot_cancel_reason(spark):
     subs = spark.range(0, 30_000, 1, 8).select(
         F.concat(F.lit("P"), F.col("id") % 2).alias("plan_id"),
