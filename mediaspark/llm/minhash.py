@@ -262,4 +262,4 @@ def one_of_each(docs: DataFrame, *, size: int = 5, num: int = 80, den: int = 100
     own = fresh(docs, "own")
     found = near_duplicates(lying.withColumn(own, F.xxhash64(file, row)), size=size, num=num, den=den, key=own, text=text, more=(file, row))
     others = saved(found.where("item_ != root").select(F.col("more_0").alias(file), F.col("more_1").alias(row)))
-    return lying.join(others, [file, row], "left_anti").select(*docs.columns)
+    return lying.join(others.hint("merge"), [file, row], "left_anti").select(*docs.columns)  # by a shuffle at any size

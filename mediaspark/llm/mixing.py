@@ -183,5 +183,6 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     sized = saved(sized_documents(lying, carry={"file_": file, "row_": row}))
     decided = copies(sized, targets(sized, **options)).where("copies > 0")
     places = sized.join(decided, "item_").select(F.col("file_").alias(file), F.col("row_").alias(row), F.col("copies").alias(copy))
-    taken = lying.join(saved(places), [file, row])  # each document meets its decision once, and is repeated behind the join
+    # each document meets its decision once, by a shuffle at any size, and is repeated behind the join
+    taken = lying.join(saved(places).hint("merge"), [file, row])
     return taken.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copy)))).select(*docs.columns)

@@ -687,3 +687,12 @@ def test_items_that_never_fit_together_end_the_rounds(spark):
 def test_best_fit_takes_the_fullest_bin():
     assert packing.best_fit(np.array([6, 5, 4, 4, 1]), 10) == [[0, 2], [1, 3, 4]]
     assert packing.best_fit(np.array([], dtype=int), 10) == []
+
+
+def test_texts_meet_decisions_in_the_same_way_at_any_size(spark):
+    """Small decisions are not broadcast either, so the disk that texts take grows with them from the first."""
+    df = spark.createDataFrame([(i, f"w{i} " * (20 + i % 7), "en", "ab"[i % 2], 9) for i in range(60)], "doc_id long, text string, lang string, source string, n_chars int")
+    for made in (mixing.mixed(df), minhash.one_of_each(df)):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        assert made.columns == df.columns and made.count() > 0
