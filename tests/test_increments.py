@@ -123,3 +123,19 @@ def test_the_silver_job_counts_what_increments_add(spark, lake):
 
 def test_days_near_the_ends_of_the_calendar():
     assert increment.near_days([dt.date.min, dt.date(2025, 1, 1)], 1) == [dt.date.min, dt.date(2024, 12, 31), dt.date(2025, 1, 1), dt.date(2025, 1, 2)]
+
+
+def test_a_first_increment_is_staged_once(spark, lake, monkeypatch):
+    staged = []
+    real = increments.overwrite_folders
+
+    def noted(df, *rest):
+        staged.extend(sorted(p.name for p in Path(lake.silver("_staging")).glob("*/*") if not p.parent.name.endswith("_files")))
+        return real(df, *rest)
+
+    monkeypatch.setattr(increments, "overwrite_folders", noted)
+    deliver(spark, lake, event("a", "2025-01-01T10:00:00Z"), event("b", "2025-01-02T10:00:00Z"), event("c", "soon"))
+    assert [entry[3:] for entry in log(spark, lake)] == [(2, 0, 2)]
+    assert staged == ["days"]
+    deliver(spark, lake, event("a", "2025-01-01T09:00:00Z"))
+    assert log(spark, lake)[1][3:] == (1, 1, 1) and staged == ["days", "changed", "days", "new"]
