@@ -99,26 +99,35 @@ def streaming_traffic(
     raise ValueError(f"no events by {dimension}")
 
 
-def activity_changes(activity: DataFrame, dimensions=(), minutes: int = LIVE_MINUTES) -> DataFrame:
+def activity_changes(activity: DataFrame, dimensions=(), minutes: int = LIVE_MINUTES, stored: DataFrame | None = None) -> DataFrame:
     """When events (e) and users (u) enter and leave the sliding windows: ``at`` is the end of the first window concerned.
 
-    A user is in the windows that end 1 to ``minutes`` minutes after an active one. Where such runs of windows
-    begin and end is told by the user's minute before and after, so each row gives two changes at most.
+    A user is in the windows that end 1 to ``minutes`` minutes after an active one. Each row adds those that the user's row
+    before does not reach, so one sort by user gives three changes a row at most; a minute may be given in several rows.
+    With rows ``stored`` earlier, the changes that ``activity`` makes to theirs: a stored row counts only where a new row
+    now reaches into its windows.
     """
     length = F.make_dt_interval(mins=F.lit(minutes))
     step = F.make_dt_interval(mins=F.lit(1))
-    mine = Window.partitionBy(*dimensions, "user_id").orderBy("minute")
-    before, after = F.lag("minute").over(mine), F.lead("minute").over(mine)
-    row = F.when(F.col("user_id").isNull(), 0)  # events without a user count, users do not
-    begins = row.when(before.isNull() | (F.col("minute") - before > length), 1).otherwise(0)
-    ends = row.when(after.isNull() | (after - F.col("minute") > length), -1).otherwise(0)
-    single = activity.groupBy("minute", *dimensions, "user_id").agg(F.sum("events").alias("events"))
-    moved = single.select("minute", *dimensions, "events", begins.alias("begins"), ends.alias("ends"))
-    change = F.inline(F.array(
-        F.struct((F.col("minute") + step).alias("at"), F.col("events").alias("e"), F.col("begins").alias("u")),
-        F.struct((F.col("minute") + step + length).alias("at"), (-F.col("events")).alias("e"), F.col("ends").alias("u")),
-    ))
-    return moved.select(*dimensions, change).groupBy("at", *dimensions).agg(F.sum("e").alias("e"), F.sum("u").alias("u"))
+    minute, events, mine = F.col("minute"), F.col("events"), Window.partitionBy(*dimensions, "user_id").orderBy("minute")
+    user = F.when(F.col("user_id").isNull(), 0).otherwise(1)  # events without a user count, users do not
+    change = lambda at, e, u: F.struct((at + step).alias("at"), e.cast("long").alias("e"), u.cast("long").alias("u"))
+    none = F.lit(0)
+    added_from = lambda before: F.greatest(minute, before + length)
+    leaves = change(minute + length, -events, -user)
+    first = F.col("_first")
+    changes = F.when(first.eqNullSafe(minute), F.array(change(minute, events, user), leaves)).otherwise(
+        F.array(change(minute, events, none), change(first, none, user), leaves)
+    )
+    if stored is None:
+        rows = activity.withColumn("_first", added_from(F.lag("minute").over(mine)))
+    else:
+        both = activity.withColumn("_new", F.lit(True)).unionByName(stored.select(*activity.columns).withColumn("_new", F.lit(False)))
+        before = F.last(F.when(~F.col("_new"), minute), ignorenulls=True).over(mine.rowsBetween(Window.unboundedPreceding, -1))
+        rows = both.withColumns({"_first": added_from(F.lag("minute").over(mine)), "_was_first": added_from(before)})
+        was_first = F.col("_was_first")
+        changes = F.when(F.col("_new"), changes).when(first > was_first, F.array(change(first, none, user), change(was_first, none, -user)))
+    return rows.select(*dimensions, F.inline(changes)).groupBy("at", *dimensions).agg(F.sum("e").alias("e"), F.sum("u").alias("u"))
 
 
 def windows_of(changes: DataFrame, dimensions=(), minutes: int = LIVE_MINUTES) -> DataFrame:

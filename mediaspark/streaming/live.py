@@ -16,7 +16,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from mediaspark.functions import temporal
 from mediaspark.layout import LakeLayout
-from mediaspark.operators.gold import content_genres
 from mediaspark.plans.traffic import LIVE_MINUTES, activity_changes, sliding_estimates, windows_of
 
 LATENESS = "10 minutes"
@@ -41,8 +40,9 @@ def without_repeats(events: DataFrame, lateness: str = LATENESS, spread: Column
 
 
 def with_genre(events: DataFrame, content: DataFrame) -> DataFrame:
-    """Stream-static join to the genres of each title."""
-    return events.join(content_genres(content), "content_id")
+    """Stream-static join to the genres of each title; an event is repeated for its genres only after it has met its title."""
+    titles = content.select("content_id", F.col("genre_array").alias("_genres"))
+    return events.join(titles, "content_id").select("*", F.explode("_genres").alias("genre")).drop("_genres")
 
 
 def minute_activity(events: DataFrame, dimensions: Sequence[str] = (), lateness: str = LATENESS) -> DataFrame:
@@ -111,6 +111,9 @@ class Traffic:
 SKETCH_LOG = 14
 # Days since 1970 that rows are filed under. Beyond so many days in one batch (garbled times) a range is given to the scan.
 MOST_DAYS = 1_000
+# A batch of so many rows is sent to every task to pick the stored rows of its users (a few MB). A larger one cannot spare
+# the stored rows their shuffle, and meets all of them in the sort that it needs in any case.
+MOST_PICKED = 100_000
 
 
 def _day(time: Column) -> Column:
@@ -144,30 +147,31 @@ def minute_counts(events: DataFrame, dimensions: Sequence[str] = (), content: Da
 
 
 def _affected(spark: SparkSession, tables: Traffic, batch_id: int, counts: DataFrame) -> DataFrame | None:
-    """Minutes of earlier batches that share a window with new ones, of the users and dimensions concerned.
+    """Minutes of earlier batches that share a window with new ones; for a small batch, only of the users and dimensions concerned.
 
     Days are read as folders; within them the range of the batch's minutes reaches the files' statistics.
     """
     if batch_id == 0:
         return None
     length = F.make_dt_interval(mins=F.lit(tables.length))
-    first, last = counts.agg(F.min("minute") - length, F.max("minute") + length).first()
+    first, last, rows = counts.agg(F.min("minute") - length, F.max("minute") + length, F.count(F.lit(1))).first()
     if first is None:
         return None
     reach = (tables.length + 1_439) // 1_440
     days = sorted({row[0] + n for row in counts.select(_day(F.col("minute"))).distinct().collect() for n in range(-reach, reach + 1)})
     near = F.col("day").isin(days) if len(days) <= MOST_DAYS else F.col("day").between(days[0], days[-1])
     stored = tables.read(spark, "minutes").filter(near & F.col("minute").between(first, last) & (F.col("batch") < batch_id))
+    if rows > MOST_PICKED:
+        return stored.select(*counts.columns)
     keys = [*tables.dimensions, "user_id"]
-    who = counts.select(*[F.col(k).alias(f"{k}_") for k in keys]).distinct()
+    who = F.broadcast(counts.select(*[F.col(k).alias(f"{k}_") for k in keys]).distinct())
     return stored.join(who, [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys], "left_semi").select(*counts.columns)
 
 
 def take_traffic(batch: DataFrame, batch_id: int, *, tables: Traffic, content: DataFrame | None = None, sketches: bool = False) -> None:
     """Add a micro-batch of events (event_ts, user_id and the dimensions) to the tables.
 
-    What changes is the difference between the changes with and without the batch, for the users in it alone and the
-    minutes within a window's reach; all other changes cancel out.
+    What changes is told from the batch and the stored minutes within a window's reach, each user sorted once.
     """
     spark, fmt = batch.sparkSession, tables.layout.fmt
     if sketches:
@@ -176,13 +180,7 @@ def take_traffic(batch: DataFrame, batch_id: int, *, tables: Traffic, content: D
         return
     _file(minute_counts(batch, tables.dimensions, content), tables.path("minutes"), fmt, "minute", batch_id)
     counts = tables.read(spark, "minutes").filter(F.col("batch") == batch_id).drop("day", "batch")
-    before = _affected(spark, tables, batch_id, counts)
-    changes = partial(activity_changes, dimensions=tables.dimensions, minutes=tables.length)
-    delta = changes(counts)
-    if before is not None:
-        undone = changes(before).withColumns({"e": -F.col("e"), "u": -F.col("u")})
-        delta = changes(counts.unionByName(before)).unionByName(undone)
-    delta = delta.groupBy("at", *tables.dimensions).agg(F.sum("e").alias("e"), F.sum("u").alias("u"))
+    delta = activity_changes(counts, tables.dimensions, tables.length, _affected(spark, tables, batch_id, counts))
     _file(delta.filter("e <> 0 OR u <> 0"), tables.path("changes"), fmt, "at", batch_id)
 
 

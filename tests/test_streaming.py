@@ -179,6 +179,32 @@ def test_a_batch_that_is_run_again_replaces_its_own_rows(spark, lake):
     assert collected(tables.windows(spark)) == once
 
 
+@pytest.mark.parametrize("picked", [0, 1_000])
+def test_batches_of_any_size_add_up_to_the_whole(spark, lake, monkeypatch, picked):
+    """Large batches meet all stored minutes, small ones those of their users; both equal windows over all events."""
+    monkeypatch.setattr(live, "MOST_PICKED", picked)
+    rng, tables = random.Random(5), live.Traffic(lake, "genre", ("genre",), length=6)
+    content = frame(spark, "content_id string, genre_array array<string>", ("c1", ["A", "B"]), ("c2", ["B", "B"]), ("c3", None), ("c2", ["C"]))
+    rows = [(START + dt.timedelta(minutes=rng.randrange(60)), rng.choice(["u", "v", "w", None]), rng.choice(["c1", "c2", "c3", "c4"]), n % 3) for n in range(150)]
+    events = spark.createDataFrame(rows, "event_ts timestamp, user_id string, content_id string, go int")
+    for batch in range(3):
+        live.take_traffic(events.filter(F.col("go") == batch), batch, tables=tables, content=content)
+    placed = events.join(content, "content_id").select("*", F.explode("genre_array").alias("genre"), F.explode(F.sequence(F.lit(1), F.lit(6))).alias("n"))
+    window_end = F.date_trunc("minute", "event_ts") + F.make_dt_interval(mins=F.col("n"))
+    expected = placed.groupBy(window_end.alias("window_end"), "genre").agg(F.count(F.lit(1)).alias("events"), F.count_distinct("user_id").alias("users"))
+    assert collected(tables.windows(spark).select(expected.columns)) == collected(expected)
+
+
+def test_changes_shuffle_and_sort_the_rows_of_users_once(spark):
+    activity = spark.range(100).selectExpr("timestamp_seconds(id * 60) AS minute", "id % 3 AS user_id", "id % 2 AS genre", "1L AS events")
+    for stored in (None, activity.limit(50)):
+        changes = traffic.activity_changes(activity, ["genre"], stored=stored)
+        plan = changes._jdf.queryExecution().executedPlan().toString()
+        plan = plan.split("== Initial Plan ==")[-1]
+        assert plan.count("Window [") == 1
+        assert plan.count("Exchange hashpartitioning") == 2 and "hashpartitioning(minute" not in plan
+
+
 def test_estimates_are_near_the_exact_numbers(spark, lake):
     rng = random.Random(4)
     rows = [(START + dt.timedelta(minutes=rng.randrange(20)), rng.randrange(4_000)) for _ in range(10_000)]
