@@ -111,9 +111,10 @@ class Traffic:
 SKETCH_LOG = 14
 # Days since 1970 that rows are filed under. Beyond so many days in one batch (garbled times) a range is given to the scan.
 MOST_DAYS = 1_000
-# A batch of so many rows is sent to every task to pick the stored rows of its users (a few MB). A larger one cannot spare
-# the stored rows their shuffle, and meets all of them in the sort that it needs in any case.
+# A batch of so many rows is sent to every task (a few MB) to pick the stored rows of its users. A larger one meets all the
+# stored rows within reach where they are fewer than so many times its own: a join would shuffle and sort them once more.
 MOST_PICKED = 100_000
+PICKED_FROM = 10
 
 
 def _day(time: Column) -> Column:
@@ -147,7 +148,7 @@ def minute_counts(events: DataFrame, dimensions: Sequence[str] = (), content: Da
 
 
 def _affected(spark: SparkSession, tables: Traffic, batch_id: int, counts: DataFrame) -> DataFrame | None:
-    """Minutes of earlier batches that share a window with new ones; for a small batch, only of the users and dimensions concerned.
+    """Minutes of earlier batches that share a window with new ones; unless the batch is a large part of them, of the users and dimensions concerned.
 
     Days are read as folders; within them the range of the batch's minutes reaches the files' statistics.
     """
@@ -161,10 +162,11 @@ def _affected(spark: SparkSession, tables: Traffic, batch_id: int, counts: DataF
     days = sorted({row[0] + n for row in counts.select(_day(F.col("minute"))).distinct().collect() for n in range(-reach, reach + 1)})
     near = F.col("day").isin(days) if len(days) <= MOST_DAYS else F.col("day").between(days[0], days[-1])
     stored = tables.read(spark, "minutes").filter(near & F.col("minute").between(first, last) & (F.col("batch") < batch_id))
-    if rows > MOST_PICKED:
+    if rows > MOST_PICKED and stored.count() < PICKED_FROM * rows:
         return stored.select(*counts.columns)
     keys = [*tables.dimensions, "user_id"]
-    who = F.broadcast(counts.select(*[F.col(k).alias(f"{k}_") for k in keys]).distinct())
+    who = counts.select(*[F.col(k).alias(f"{k}_") for k in keys]).distinct()
+    who = F.broadcast(who) if rows <= MOST_PICKED else who
     return stored.join(who, [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys], "left_semi").select(*counts.columns)
 
 
